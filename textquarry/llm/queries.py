@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import mixing, urlfilter
+from textquarry.llm import mixing, packing, urlfilter
 from textquarry.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,5 +24,9 @@ def op9_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op9_url_verdicts)}
+def op10_packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op9_url_verdicts, op10_packed_windows)}
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}
