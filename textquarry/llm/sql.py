@@ -43,4 +43,15 @@ SELECT page_id, j.host, path, hit[1] AS rule, coalesce(hit[2], CASE WHEN v.bad T
 """
 
 
-ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op9_url_verdicts": _op9()}
+OP8 = r"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT rid, doc_id, CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
+e AS MATERIALIZED (SELECT rid, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS MATERIALIZED (SELECT a.rid AS x, b.rid AS y FROM e a JOIN e b ON a.g = b.g AND a.rid < b.rid GROUP BY a.rid, b.rid HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))),
+l AS MATERIALIZED (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r(x, y) AS (SELECT rid, rid FROM s UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+c AS (SELECT r.x, min(s.doc_id) AS component_id FROM r JOIN s ON s.rid = r.y GROUP BY r.x)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON c.x = s.rid
+"""
+
+ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
