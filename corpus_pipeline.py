@@ -1,15 +1,65 @@
-"""The document pipeline: classify, remove near copies, replace personal data, mix, pack."""
+"""The document pipeline: classify, remove near copies, replace personal data, mix, pack.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a table that is written
+as Parquet before the next stage reads it.  All but the last return the columns
+of ``documents``.  An empty table passes through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from textquarry.llm import mixing, ngram_join, packing, pii, quality
+from textquarry.storage import written
+
+#: Words of a shingle and similarity in percent for near copies.
+SHINGLE_WORDS, SIMILARITY = 5, 80
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return quality.keep_good(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies, the document with the smallest id stays; rows without shingles or id all stay.
+
+    Where rows share an id and a component, one of them stays: the first by text.
+    """
+    return ngram_join.keep_first(docs, words=SHINGLE_WORDS, percent=SIMILARITY)
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents, personal data replaced by surrogates."""
+    return pii.replace(docs).select(*docs.columns)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, repeated as often as it takes them."""
+    return mixing.mixed_documents(docs)
+
+
+def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix's pieces with their windows."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", good_documents),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("PII surrogates", without_personal_data),
+    ("source mix", mixed_sources),
+    ("packing", packed_windows),
+]
+
+#: Surrogates and tokens are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = written(docs, "stage")
     return docs

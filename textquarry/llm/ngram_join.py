@@ -45,7 +45,7 @@ from textquarry.storage import written
 
 #: Characters of text whose shingles a task sends at once, and of the input for each block of the shingle range.
 PORTION, BLOCK = 12_000_000, 24_000_000
-PACKED = "block int, doc_id long, n int, class long, classes binary, sizes binary, counts binary, shingles binary"
+PACKED = "block int, doc_id long, text_key long, n int, class long, classes binary, sizes binary, counts binary, shingles binary"
 
 
 def _parts(sorted_keys: np.ndarray, n: int) -> np.ndarray:
@@ -58,12 +58,12 @@ def _incidence(docs: DataFrame, words: int, blocks: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for rows in portions(batches, lambda r: len(r[1] or ""), PORTION):
-            sets = [shingle_set(hashes.of(text), words) for _, text in rows]
+            sets = [shingle_set(hashes.of(text), words) for _, text, _ in rows]
             classes = np.array([_class_of(s) for s in sets], dtype=np.int64)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             out: dict[str, list] = {c.split()[0]: [] for c in PACKED.split(", ")}
-            for k, (doc, _) in enumerate(rows):
-                _put(out, block=k % blocks, doc_id=doc, n=int(sizes[k]), **{"class": int(classes[k]) if sizes[k] else None})
+            for k, (doc, _, key) in enumerate(rows):
+                _put(out, block=k % blocks, doc_id=doc, text_key=key, n=int(sizes[k]), **{"class": int(classes[k]) if sizes[k] else None})
             _, first = np.unique(classes, return_index=True)
             first = first[sizes[first] > 0]
             if len(first):
@@ -82,7 +82,7 @@ def _incidence(docs: DataFrame, words: int, blocks: int) -> DataFrame:
                             out = {c: [] for c in out}
             yield _batch(out)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PACKED)
+    return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, PACKED)
 
 
 def _class_of(shingles: np.ndarray) -> int:
@@ -96,21 +96,21 @@ def _put(out: dict[str, list], **values) -> None:
         column.append(values.get(c))
 
 
-TYPES = {"block": pa.int32(), "doc_id": pa.int64(), "n": pa.int32(), "class": pa.int64(), "classes": pa.binary(), "sizes": pa.binary(), "counts": pa.binary(), "shingles": pa.binary()}
+TYPES = {"block": pa.int32(), "doc_id": pa.int64(), "text_key": pa.int64(), "n": pa.int32(), "class": pa.int64(), "classes": pa.binary(), "sizes": pa.binary(), "counts": pa.binary(), "shingles": pa.binary()}
 
 
 def _batch(out: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, TYPES[c]) for c, v in out.items()], names=list(out))
 
 
-SHARED = "bucket int, doc_id long, n int, class long, classes binary, sizes binary, counts binary, shingles binary, frequencies binary"
+SHARED = "bucket int, doc_id long, text_key long, n int, class long, classes binary, sizes binary, counts binary, shingles binary, frequencies binary"
 
 
 def _shared(table: pa.Table, buckets: int) -> pa.Table:
     """One block: documents pass through; shingles of two classes or more go on, by bucket of the class."""
     packed = table.filter(pa.compute.is_valid(table["shingles"]))
     docs = table.filter(pa.compute.is_null(table["shingles"]))
-    out = [docs.select(["doc_id", "n", "class"])]
+    out = [docs.select(["doc_id", "text_key", "n", "class"])]
     read = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), dtype=kind) for x in packed[c]]) if len(packed) else np.empty(0, kind)
     classes, sizes, counts, shingles = read("classes", np.int64), read("sizes", np.int32), read("counts", np.int32), read("shingles", np.uint64)
     rows = []
@@ -137,7 +137,7 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
                 starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
                 own = part[starts]
                 rows.append({"bucket": b, "classes": classes[own].tobytes(), "sizes": sizes[own].tobytes(), "counts": np.diff(np.append(starts, len(part))).astype(np.int32).tobytes(), "shingles": shingles[ends[b] : ends[b + 1]].tobytes(), "frequencies": frequency[ends[b] : ends[b + 1]].astype(np.int32).tobytes()})
-    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int32()), ("class", pa.int64()), *[(c, pa.binary()) for c in ("classes", "sizes", "counts", "shingles", "frequencies")]])
+    schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int32()), ("class", pa.int64()), *[(c, pa.binary()) for c in ("classes", "sizes", "counts", "shingles", "frequencies")]])
     fill = lambda t: pa.Table.from_arrays([t[c].combine_chunks().cast(f.type) if c in t.column_names else pa.nulls(len(t), f.type) for c, f in zip(schema.names, schema, strict=True)], schema=schema)
     return pa.concat_tables([fill(out[0]), pa.Table.from_pylist(rows, schema=schema)])
 
@@ -204,18 +204,13 @@ def _links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def join(docs: DataFrame, *, words: int = 4, percent: int = 85) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``doc_id, text``.
-
-    Two documents link when 100 times their common shingles are at least
-    ``percent`` times their shingles together; a component is what links reach,
-    named by its smallest id.
-    """
+def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, n_shingles, root`` for every row; rows of one component, and no others, share a root (null: no shingles)."""
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(8, -(-chars // BLOCK))
     matrix = _incidence(docs, words, blocks).repartition(blocks, "block")
     held = written(matrix.groupBy("block").applyInArrow(lambda t: _shared(t, blocks), SHARED), "incidence")
-    rows = held.where("shingles is null").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("class"))
+    rows = held.where("shingles is null").select("doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), F.col("class"))
     packed = held.where("shingles is not null").select("bucket", "classes", "sizes", "counts", "shingles", "frequencies")
     classes = written(packed.groupBy("bucket").applyInPandas(lambda p: _candidates(p, percent), CLASSES), "classes")
     columns = written(_columns(classes), "columns")
@@ -236,8 +231,36 @@ def join(docs: DataFrame, *, words: int = 4, percent: int = 85) -> DataFrame:
     rest = x.join(y, (F.col("shingle") == F.col("s")) & (F.col("la") < F.col("lb")) & sizes).select("a", "b").distinct()
     edges = found.select(F.col("class").alias("a"), F.col("label").alias("b")).union(_links(rest, classes, percent))
     found = connected_components(edges, "a", "b").select(F.col("node").alias("class"), "component")
-    smallest = rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("low"))
-    named = smallest.join(found, "class", "left").select("class", "low", F.coalesce("component", "class").alias("component"))
-    best = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = written(named.join(best, "component").select("class", "component_id"), "components")
-    return rows.join(named, "class", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    rows = rows.join(written(found, "roots"), "class", "left")
+    return rows.select("doc_id", "text_key", "n_shingles", F.coalesce("component", "class").alias("root"))
+
+
+def join(docs: DataFrame, *, words: int = 4, percent: int = 85) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``doc_id, text``.
+
+    Two documents link when 100 times their common shingles are at least
+    ``percent`` times their shingles together; a component is what links reach,
+    named by its smallest id.
+    """
+    rows = written(components(docs, words, percent), "rows")
+    names = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
+    return rows.join(names, "root", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def keep_first(docs: DataFrame, *, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` without all but one row of each component.
+
+    The row with the smallest id stays, a null id last; under one id the one of
+    smallest text hash; of rows equal in id and text any.  Rows without
+    shingles stay.
+    """
+    rows = written(components(docs, words, percent).where("root is not null"), "rows")
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("first"))
+    pairs = rows.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("times")).join(first, "root")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    marked = written(pairs.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), stays.alias("__stays"), "times").where("not __stays or times > 1"), "marked")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
+    kept = docs.join(marked, same, "left_anti")
+    again = docs.join(marked.where("__stays"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.unionByName(again) if not marked.where("__stays").isEmpty() else kept

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import mixing, ngram_join, packing, quality, urlfilter
+from textquarry.llm import mixing, ngram_join, packing, pii, quality, urlfilter
 from textquarry.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
 
@@ -36,5 +40,5 @@ def op10_packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op3_quality, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_surrogates, op3_quality, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}
