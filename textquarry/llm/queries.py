@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textquarry.llm import mixing, ngram_join, packing, pii, quality, urlfilter
+from textquarry.llm import mixing, ngram_join, packing, pii, quality, urlfilter, warc
 from textquarry.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
 
 
+def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.capture_index(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -40,5 +44,5 @@ def op10_packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_surrogates, op3_quality, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_surrogates, op3_quality, op6_capture_index, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}

@@ -43,6 +43,16 @@ SELECT page_id, j.host, path, hit[1] AS rule, coalesce(hit[2], CASE WHEN v.bad T
 """
 
 
+OP6 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
+m AS (SELECT s, max(page_id) AS big FROM p GROUP BY s)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (CAST('0x' || substr(p.s, 1 + 5 * (i // 4), 5) AS BIGINT) >> (5 * (3 - i % 4))) % 32 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN big IS NULL OR page_id = big THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN big IS NULL OR page_id = big THEN NULL ELSE big END AS refers_to
+FROM p JOIN m ON m.s = p.s
+"""
+
 OP8 = r"""
 WITH RECURSIVE w AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS MATERIALIZED (SELECT rid, doc_id, CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
@@ -54,4 +64,4 @@ c AS (SELECT r.x, min(s.doc_id) AS component_id FROM r JOIN s ON s.rid = r.y GRO
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON c.x = s.rid
 """
 
-ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
+ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op6_capture_index": OP6, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
