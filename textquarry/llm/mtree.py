@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from textquarry.llm.vectors import in_blocks, matrix, numbered
 from textquarry.storage import written
 
-BLOCK, PAGE, FANOUT, PORTION = 16_384, 256, 16, 4_096
+BLOCK, PAGE, FANOUT, PORTION = 16_384, 1024, 16, 4_096
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -75,44 +75,45 @@ def lengthened(v: np.ndarray) -> tuple[np.ndarray, float]:
     return np.column_stack([v, np.sqrt(top - squares)]), top
 
 
-def search(pages: list[dict], v: np.ndarray, ids: np.ndarray, rows: np.ndarray, query: np.ndarray, own_row: int, k: int) -> list[tuple[int, int]]:
-    """The k best ``(score, vec_id)`` for one query, best first."""
-    x, top = lengthened(v)
-    return _search(pages, v, x, top, x.mean(axis=0) if len(x) else None, ids, rows, query, own_row, k)
+def leaf(v: np.ndarray, ids: np.ndarray, numbers: np.ndarray, parent: np.ndarray) -> dict:
+    return {"v": v, "ids": ids, "numbers": numbers, "parent": parent}
+
 
+def search(pages: list[dict], root: np.ndarray, top: float, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+    """The k best ``(score, vec_id)`` for one query but the row numbered ``own``, best first.
 
-def _search(pages, v, x, top, root, ids, rows, query, own_row, k):
+    ``root`` is the centre of the first page, ``top`` the block's largest square.
+    """
     q = np.append(query, 0.0)
     square = float(query @ query)
     margin = 1e-7 * (1.0 + square + top)
-    best: list[tuple[float, int, int]] = []  # (score, -id, row), the worst first
-
-    def reach() -> float:
-        """The largest distance that can still matter."""
-        return np.inf if len(best) < k else float(np.sqrt(max(0.0, square + top - 2 * best[0][0] + margin)))
-
+    best: list[tuple[float, int, int]] = []  # (score, -id, number), the worst first
+    limit = np.inf  # the largest distance that can still matter
     queue = [(0.0, 0, float(np.sqrt(((q - root) ** 2).sum())))] if pages else []
     while queue:
         least, at, from_parent = heapq.heappop(queue)
-        limit = reach()
         if least > limit:
             break
         page = pages[at]
-        if "rows" in page:
-            some = np.flatnonzero((np.abs(from_parent - page["parent"]) <= limit + margin) & (rows[page["rows"]] != own_row))
-            members = page["rows"][some]
-            if len(members) > k and len(best) == k:
-                scores = v[members] @ query
-                good = scores >= best[0][0]
-                members, scores = members[good], scores[good]
-            else:
-                scores = v[members] @ query
-            for s, m in zip(scores.tolist(), members.tolist(), strict=True):
-                entry = (s, -int(ids[m]), m)
+        if "v" in page:
+            near = np.abs(from_parent - page["parent"]) <= limit + margin
+            some = None if 2 * np.count_nonzero(near) > len(near) else np.flatnonzero(near)
+            scores = (page["v"] if some is None else page["v"][some]) @ query
+            if len(best) == k:
+                good = np.flatnonzero(scores >= best[0][0])
+            else:  # ties of the k-th score stay in
+                good = np.arange(len(scores)) if len(scores) <= k else np.flatnonzero(scores >= np.partition(scores, -k - 1)[-k - 1])
+            members = good if some is None else some[good]
+            for s, i, m in zip(scores[good].tolist(), page["ids"][members].tolist(), page["numbers"][members].tolist(), strict=True):
+                entry = (s, -i, m)
+                if m == own:
+                    continue
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
                     heapq.heapreplace(best, entry)
+            if len(best) == k:
+                limit = float(np.sqrt(max(0.0, square + top - 2 * best[0][0] + margin)))
         else:
             some = np.flatnonzero(np.abs(from_parent - page["parent"]) - page["radii"] <= limit + margin)
             away = np.sqrt(((page["centres"][some] - q) ** 2).sum(axis=1))
@@ -123,7 +124,7 @@ def _search(pages, v, x, top, root, ids, rows, query, own_row, k):
     return [(int(s), -i) for s, i, _ in sorted(best, reverse=True)]
 
 
-INDEX = "block int, page int, leaf boolean, members binary, vec_ids binary, numbers binary, radii binary, parent binary, width int"
+INDEX = "block int, page int, leaf boolean, members binary, vec_ids binary, numbers binary, radii binary, parent binary, width int, root binary, top double"
 ANSWERS = "query_row long, query_id long, vec_id long, score long"
 
 
@@ -133,15 +134,16 @@ def _pages_of(table: pa.Table, width: int) -> pa.Table:
     v = np.floor(256.0 * matrix(table["vector"].to_pylist(), width))
     ids = table["vec_id"].fill_null(NO_ID).to_numpy()
     numbers = table["row"].to_numpy()
-    x, _ = lengthened(v)
+    x, top = lengthened(v)
     out = []
     for at, page in enumerate(build(x)):
-        leaf = "rows" in page
+        is_leaf = "rows" in page
         out.append({
-            "block": block, "page": at, "leaf": leaf, "members": (v[page["rows"]] if leaf else page["centres"]).tobytes(), "vec_ids": ids[page["rows"]].tobytes() if leaf else None,
-            "numbers": (numbers[page["rows"]] if leaf else page["pages"]).astype(np.int64).tobytes(), "radii": None if leaf else page["radii"].tobytes(), "parent": page["parent"].tobytes(), "width": width,
+            "block": block, "page": at, "leaf": is_leaf, "members": (v[page["rows"]] if is_leaf else page["centres"]).tobytes(), "vec_ids": ids[page["rows"]].tobytes() if is_leaf else None,
+            "numbers": (numbers[page["rows"]] if is_leaf else page["pages"]).astype(np.int64).tobytes(), "radii": None if is_leaf else page["radii"].tobytes(), "parent": page["parent"].tobytes(), "width": width,
+            "root": x.mean(axis=0).tobytes() if at == 0 else None, "top": top,
         })
-    kinds = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 5, pa.int32()]
+    kinds = [pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 5, pa.int32(), pa.binary(), pa.float64()]
     return pa.Table.from_pylist(out, schema=pa.schema(list(zip([c.split()[0] for c in INDEX.split(", ")], kinds, strict=True))))
 
 
@@ -152,23 +154,17 @@ def _answer(table: pa.Table, k: int) -> pa.Table:
     found = []
     if stored:
         width = stored[0]["width"]
-        pages, vs, ids, numbers, n = [], [], [], [], 0
+        pages = []
         for r in stored:
             parent = np.frombuffer(r["parent"])
             if r["leaf"]:
-                vs.append(np.frombuffer(r["members"]).reshape(-1, width))
-                ids.append(np.frombuffer(r["vec_ids"], dtype=np.int64))
-                numbers.append(np.frombuffer(r["numbers"], dtype=np.int64))
-                pages.append({"rows": np.arange(n, n + len(parent)), "parent": parent})
-                n += len(parent)
+                pages.append(leaf(np.frombuffer(r["members"]).reshape(-1, width), np.frombuffer(r["vec_ids"], dtype=np.int64), np.frombuffer(r["numbers"], dtype=np.int64), parent))
             else:
                 pages.append({"pages": np.frombuffer(r["numbers"], dtype=np.int64), "centres": np.frombuffer(r["members"]).reshape(-1, width + 1), "radii": np.frombuffer(r["radii"]), "parent": parent})
-        v, ids, numbers = np.concatenate(vs), np.concatenate(ids), np.concatenate(numbers)
-        x, top = lengthened(v)
-        root = x.mean(axis=0)
+        root, top = np.frombuffer(stored[0]["root"]), stored[0]["top"]
         asked = np.floor(256.0 * matrix(queries["vector"].to_pylist(), width))
         for q, row, query_id in zip(asked, queries["row"].to_pylist(), queries["vec_id"].to_pylist(), strict=True):
-            found += [(row, query_id, None if i == NO_ID else i, s) for s, i in _search(pages, v, x, top, root, ids, numbers, q, row, k)]
+            found += [(row, query_id, None if i == NO_ID else i, s) for s, i in search(pages, root, top, q, row, k)]
     columns = list(zip(*found, strict=True)) or [()] * 4
     return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in ANSWERS.split(", ")])
 

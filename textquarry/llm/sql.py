@@ -43,6 +43,14 @@ SELECT page_id, j.host, path, hit[1] AS rule, coalesce(hit[2], CASE WHEN v.bad T
 """
 
 
+OP5 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r, a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+t AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM t WHERE rank <= 5
+"""
+
 OP6 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS s FROM pages),
 m AS (SELECT s, max(page_id) AS big FROM p GROUP BY s)
@@ -64,4 +72,4 @@ c AS (SELECT r.x, min(s.doc_id) AS component_id FROM r JOIN s ON s.rid = r.y GRO
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON c.x = s.rid
 """
 
-ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op6_capture_index": OP6, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
+ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op5_top_products": OP5, "op6_capture_index": OP6, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
