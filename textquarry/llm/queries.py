@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textquarry.llm import mixing, mtree, ngram_join, packing, pii, quality, urlfilter, warc
+from textquarry.llm import covertree, mixing, mtree, ngram_join, packing, pii, quality, urlfilter, warc
 from textquarry.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op6_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_index(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_surrogates, op3_quality, op5_top_products, op6_capture_index, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_surrogates, op3_quality, op5_top_products, op6_capture_index, op7_near_vectors, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}

@@ -61,6 +61,15 @@ SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
 FROM p JOIN m ON m.s = p.s
 """
 
+OP7 = """
+WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, CASE WHEN embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0 THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS q FROM embeddings),
+p AS MATERIALIZED (SELECT a.r AS x, b.r AS y FROM v a JOIN v b ON a.r <> b.r AND a.q IS NOT NULL AND b.q IS NOT NULL WHERE list_cosine_similarity(a.q, b.q) >= 0.9),
+n AS (SELECT x, count(*) AS n FROM p GROUP BY x),
+c(x, y) AS (SELECT r, r FROM v UNION SELECT c.x, p.y FROM c JOIN p ON p.x = c.y),
+m AS (SELECT c.x, min(v.vec_id) AS component_id FROM c JOIN v ON v.r = c.y GROUP BY c.x)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, m.component_id, coalesce(v.vec_id = m.component_id, FALSE) AS kept FROM v JOIN m ON m.x = v.r LEFT JOIN n ON n.x = v.r
+"""
+
 OP8 = r"""
 WITH RECURSIVE w AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 s AS MATERIALIZED (SELECT rid, doc_id, CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w),
@@ -72,4 +81,4 @@ c AS (SELECT r.x, min(s.doc_id) AS component_id FROM r JOIN s ON s.rid = r.y GRO
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON c.x = s.rid
 """
 
-ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op5_top_products": OP5, "op6_capture_index": OP6, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
+ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op5_top_products": OP5, "op6_capture_index": OP6, "op7_near_vectors": OP7, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
