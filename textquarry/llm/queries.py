@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textquarry.llm import covertree, mixing, mtree, ngram_join, packing, pii, quality, urlfilter, warc
+from textquarry.llm import covertree, lm, mixing, mtree, ngram_join, packing, pii, quality, urlfilter, warc
 from textquarry.llm.sql import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
 
 
+def op4_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -53,5 +57,5 @@ def op10_packed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_surrogates, op3_quality, op5_top_products, op6_capture_index, op7_near_vectors, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op2_surrogates, op3_quality, op4_backoff_scores, op5_top_products, op6_capture_index, op7_near_vectors, op8_shingle_join, op9_url_verdicts, op10_packed_windows)}
 ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}

@@ -43,6 +43,22 @@ SELECT page_id, j.host, path, hit[1] AS rule, coalesce(hit[2], CASE WHEN v.bad T
 """
 
 
+OP4 = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+t AS MATERIALIZED (SELECT r, unnest(ws) AS w, unnest(list_prepend(NULL, ws[:-2])) AS c FROM d),
+w1 AS MATERIALIZED (SELECT w, count(*) AS n FROM t GROUP BY w), w1d AS MATERIALIZED (SELECT r, w, count(*) AS n FROM t GROUP BY r, w),
+x1 AS MATERIALIZED (SELECT c, count(*) AS n FROM t WHERE c IS NOT NULL GROUP BY c), x1d AS MATERIALIZED (SELECT r, c, count(*) AS n FROM t WHERE c IS NOT NULL GROUP BY r, c),
+b AS MATERIALIZED (SELECT c, w, count(*) AS n FROM t WHERE c IS NOT NULL GROUP BY c, w), bd AS MATERIALIZED (SELECT r, c, w, count(*) AS n FROM t WHERE c IS NOT NULL GROUP BY r, c, w),
+k AS (SELECT t.r, t.c, b.n - bd.n AS pairs, x1.n - x1d.n AS contexts, w1.n - w1d.n AS words
+  FROM t JOIN w1 ON w1.w = t.w JOIN w1d ON w1d.r = t.r AND w1d.w = t.w LEFT JOIN x1 ON x1.c = t.c LEFT JOIN x1d ON x1d.r = t.r AND x1d.c = t.c
+  LEFT JOIN b ON b.c = t.c AND b.w = t.w LEFT JOIN bd ON bd.r = t.r AND bd.c = t.c AND bd.w = t.w),
+s AS (SELECT r, coalesce(pairs, 0) = 0 AS alone, CASE WHEN coalesce(pairs, 0) > 0 THEN round(1e6 * (ln(pairs) - ln(contexts)))
+  ELSE CASE WHEN words > 0 THEN round(1e6 * ln(words)) ELSE round(1e6 * ln(0.4)) END + CASE WHEN c IS NULL THEN 0 ELSE round(1e6 * ln(0.4)) END END AS v FROM k),
+g AS (SELECT r, sum(v) AS v, count(*) FILTER (alone) AS a FROM s GROUP BY r),
+f AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(a, 0) AS n_backoff, (coalesce(v, 0) - coalesce(a, 0) * round(1e6 * ln(greatest((SELECT sum(len(ws)) FROM d) - len(ws), 1)))) / 1e6 AS log_score FROM d LEFT JOIN g ON g.r = d.r)
+SELECT *, CASE WHEN n_words > 0 THEN log_score / n_words END AS mean_log_score FROM f
+"""
+
 OP5 = """
 WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -81,4 +97,4 @@ c AS (SELECT r.x, min(s.doc_id) AS component_id FROM r JOIN s ON s.rid = r.y GRO
 SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON c.x = s.rid
 """
 
-ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op5_top_products": OP5, "op6_capture_index": OP6, "op7_near_vectors": OP7, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
+ORACLES: dict[str, str] = {"op1_source_mix": OP1, "op4_backoff_scores": OP4, "op5_top_products": OP5, "op6_capture_index": OP6, "op7_near_vectors": OP7, "op8_shingle_join": OP8, "op9_url_verdicts": _op9()}
