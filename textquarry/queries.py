@@ -1,6 +1,301 @@
-"""The registered queries of the engine's own operators, with their SQL."""
+"""The registered queries of the engine's own operators."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from textquarry.functions import risk
+from textquarry.functions import text as T
+from textquarry.operators import accounting, contamination, duplicates, inventory, sampling, splits
+from textquarry.plans import labelled
+from textquarry.sql import ORACLES
+from textquarry.storage import written
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.records(table(spark, d, "documents"), lang=F.col("lang"), source=F.col("source"), text=F.coalesce("text", F.lit("")))
+
+
+def _distinct(spark: SparkSession, d: str) -> DataFrame:
+    rows = _records(spark, d)
+    return written(duplicates.survivors(rows, duplicates.exact(rows)), "survivors")
+
+
+@query
+def f_text_profile(spark: SparkSession, d: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    words = T.tokens(F.lower(t))
+    return table(spark, d, "documents").select(
+        "doc_id", F.length(t).cast("long").alias("n"), F.size(words).cast("long").alias("n_words"), F.size(T.shingles(words, 5)).cast("long").alias("n_shingles"),
+        F.size(T.sentences(t, fold=True)).cast("long").alias("n_sentences"), F.array_join(T.numbers(t), " ").alias("numbers"), T.slug(F.substring(t, 1, 40)).alias("slug"),
+    )
+
+
+@query
+def f_script_counts(spark: SparkSession, d: str) -> DataFrame:
+    c = T.greek_counts(F.coalesce("text", F.lit("")))
+    return table(spark, d, "documents").select("doc_id", c["alphabetic_characters"].cast("long").alias("letters"), c["greek_characters"].cast("long").alias("greek"), c["greek_ratio"].alias("greek_ratio"), c["accented_characters"].cast("long").alias("accented"))
+
+
+@query
+def r_risk_flags(spark: SparkSession, d: str) -> DataFrame:
+    flags = risk.inventory_flags(F.coalesce("text", F.lit("")))
+    return table(spark, d, "documents").select("doc_id", *[v.alias(k) for k, v in flags.items()])
+
+
+@query
+def a4_risk_counters(spark: SparkSession, d: str) -> DataFrame:
+    return risk.counters(table(spark, d, "documents"), F.coalesce("text", F.lit("")), "source")
+
+
+@query
+def d1_exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.exact(_records(spark, d))
+
+
+@query
+def d2_contained_texts(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.contained(_distinct(spark, d))
+
+
+@query
+def d3_near_removal(spark: SparkSession, d: str) -> DataFrame:
+    rows = _distinct(spark, d).where("n >= 240")
+    same = rows.select("id", "lang", T.numbers(F.col("norm")).alias("numbers"))
+    a, b = (same.select(F.col("id").alias(f"{s}_id"), F.col("lang").alias(f"l{s}"), F.col("numbers").alias(f"n{s}")) for s in ("left", "right"))
+    pairs = duplicates.near_pairs(rows, 0.8).join(a, "left_id").join(b, "right_id").where("lleft = lright and nleft = nright")
+    return duplicates.first_come(rows, pairs).where("removed").select("id", "keeper_id")
+
+
+@query
+def d4_sentence_subsets(spark: SparkSession, d: str) -> DataFrame:
+    rows = _distinct(spark, d).withColumn("sentences", T.sentences(F.col("text"), fold=True))
+    return duplicates.sentence_subsets(rows)
+
+
+@query
+def j14_near_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return duplicates.near_pairs(_distinct(spark, d), 0.8).withColumn("similarity", F.round("similarity", 6))
+
+
+@query
+def j5_contamination_hits(spark: SparkSession, d: str) -> DataFrame:
+    found = contamination.hits(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "method", F.round("overlap", 6).alias("overlap"))
+
+
+@query
+def a11_contamination_by_source(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    marked = contamination.partition(docs.select("doc_id", "source"), contamination.hits(docs, table(spark, d, "benchmark")))
+    return marked.groupBy("source").agg(F.count_if(F.col("status") == "clean").alias("clean"), F.count_if(F.col("status") == "contaminated").alias("contaminated"), F.sum("n_hits").alias("hits"))
+
+
+def _assigned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = _records(spark, d)
+    kept = written(duplicates.survivors(rows, duplicates.exact(rows)), "survivors")
+    pairs = written(duplicates.near_pairs(kept, 0.8), "pairs")
+    declared = F.concat_ws("/", "source", F.substring("norm", 1, 40))
+    edges = splits.key_edges(rows, F.col("h")).union(splits.key_edges(rows, declared)).union(pairs.select("left_id", "right_id"))
+    grouped = rows.join(splits.groups(rows, edges), "id")
+    return written(grouped.withColumn("split", splits.split_of(F.col("group_id"))), "assigned"), pairs
+
+
+@query
+def d8_grouped_split(spark: SparkSession, d: str) -> DataFrame:
+    return _assigned(spark, d)[0].select("id", "group_id", "split")
+
+
+@query
+def a18_split_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _assigned(spark, d)[0].groupBy("split", "lang", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("characters"))
+
+
+@query
+def d10_leakage(spark: SparkSession, d: str) -> DataFrame:
+    assigned, pairs = _assigned(spark, d)
+    return splits.leakage(assigned, pairs)
+
+
+@query
+def d9_capped_groups(spark: SparkSession, d: str) -> DataFrame:
+    counts = _assigned(spark, d)[0].groupBy("group_id", F.col("lang").alias("domain")).agg(F.count(F.lit(1)).alias("n"))
+    return splits.capped_groups(counts, {"en": 400, "de": 100})
+
+
+@query
+def d13_removal_rates(spark: SparkSession, d: str) -> DataFrame:
+    rows = _records(spark, d)
+    return splits.removal_rates(rows, duplicates.exact(rows), "lang", protected=("de",)).withColumn("rate", F.round("rate", 6))
+
+
+@query
+def d12_fertility(spark: SparkSession, d: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    rows = table(spark, d, "documents").select(F.size(T.tokens(t)).cast("long").alias("w"), F.size(F.regexp_extract_all(t, F.lit(r"[\p{L}\p{N}_]{1,4}"), F.lit(0))).cast("long").alias("k"))
+    return splits.fertility(rows, "w", "k").withColumn("mean_fertility", F.round("mean_fertility", 6))
+
+
+@query
+def w1_status_ranges(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select(F.col("user_id").cast("string").alias("path"), F.row_number().over(inventory.by("user_id", "event_id")).cast("long").alias("line"), F.col("event_type").alias("status"), F.lit("-").alias("reason"), F.sha2(F.col("event_id").cast("string"), 256).alias("row_sha256"))
+    return inventory.ranges(rows, most=3)
+
+
+@query
+def a2_rollup_by_family(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select(F.col("source").alias("family"), F.lit(1).cast("long").alias("records"), F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("bytes"))
+    return inventory.rollup(rows)
+
+
+@query
+def a3_schema_variants(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select(F.col("event_type").alias("path"), F.col("event_id").alias("line"), F.col("props").alias("raw"))
+    return inventory.schema_variants(rows, most=256)
+
+
+@query
+def a6_hash_chains(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("path"), F.col("turn").alias("line"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("row_sha256"))
+    return inventory.hash_chain(rows, "path")
+
+
+@query
+def p1_path_classes(spark: SparkSession, d: str) -> DataFrame:
+    path = F.regexp_replace(F.split_part("url", F.lit("://"), F.lit(2)), "[?#].*$", "")
+    rows = table(spark, d, "pages").select("page_id", path.alias("path"))
+    return rows.select("page_id", inventory.family("path", deep=("blog.ththan.example.net",)).alias("family"), inventory.artifact("path").alias("artifact"), inventory.kind("path", F.lit("other")).alias("kind"), inventory.excluded("path", ("spam-farm.example.org", "www.cheap-pills.example.com")).alias("excluded"))
+
+
+@query
+def j28_content_groups(spark: SparkSession, d: str) -> DataFrame:
+    return inventory.content_groups(_files(spark, d))
+
+
+@query
+def a13_breakdown(spark: SparkSession, d: str) -> DataFrame:
+    return inventory.breakdown(_files(spark, d))
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, d, "documents").select(
+        F.format_string("%s/%08d.txt", F.col("source"), F.col("doc_id")).alias("relative_path"), F.sha2(t, 256).alias("sha256"), F.octet_length(t).cast("long").alias("size_bytes"),
+        F.col("source").alias("family"), F.col("lang").alias("format"), F.when(F.length(t) < 500, "short").otherwise("long").alias("kind"),
+    )
+
+
+@query
+def j18_drift(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"), "doc_id")
+    old = rows.where("doc_id % 7 <> 0")
+    new = rows.where("doc_id % 11 <> 0").withColumn("sha256", F.when(F.col("doc_id") % 13 == 0, F.sha2("sha256", 256)).otherwise(F.col("sha256")))
+    return accounting.drift(old, new, "path", "sha256")
+
+
+def _ledger(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.sha2(F.concat_ws("|", "o_custkey", "o_orderpriority"), 256).alias("h"), "o_orderstatus")
+    kept = rows.where("o_orderstatus <> 'F'").withColumn("h", F.when(F.col("id") % 97 == 0, F.lit("changed")).otherwise(F.col("h")))
+    gone = rows.where("o_orderstatus = 'F' or id % 89 = 0").where("id % 83 <> 0")
+    return rows, kept.union(spark.range(1).select((-F.col("id") - 1).alias("id"), F.lit("x").alias("h"), F.lit("O").alias("s"))), gone
+
+
+@query
+def u3_partition_proof(spark: SparkSession, d: str) -> DataFrame:
+    whole, kept, gone = _ledger(spark, d)
+    return accounting.partition_faults(whole, {"kept": kept, "gone": gone}, "id", "h")
+
+
+@query
+def j26_terminal_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    _, kept, gone = _ledger(spark, d)
+    return accounting.outcomes({"kept": kept, "gone": gone}, "id", "o_orderstatus")
+
+
+@query
+def j22_coverage(spark: SparkSession, d: str) -> DataFrame:
+    declared = table(spark, d, "orders").select(F.col("o_orderkey").alias("path"), (F.col("o_orderkey") % 7 + 1).alias("records"))
+    return accounting.coverage(declared, table(spark, d, "lineitem").select(F.col("l_orderkey").alias("path")), "path", "records")
+
+
+@query
+def w4_contiguity(spark: SparkSession, d: str) -> DataFrame:
+    spans = table(spark, d, "lineitem").where("l_linenumber <> 3").select(F.col("l_orderkey").alias("path"), F.col("l_linenumber").cast("long").alias("first_record"), F.col("l_linenumber").cast("long").alias("last_record"))
+    return accounting.range_faults(spans, table(spark, d, "orders").select(F.col("o_orderkey").alias("path"), F.lit(4).cast("long").alias("record_count")))
+
+
+@query
+def j3_paired_evidence(spark: SparkSession, d: str) -> DataFrame:
+    left = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("n_chars").alias("value"))
+    right = table(spark, d, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") * 1000).cast("long").alias("value"))
+    return accounting.paired(left, right, "id", "value").groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def a22_gates(spark: SparkSession, d: str) -> DataFrame:
+    whole, kept, gone = _ledger(spark, d)
+    faults = accounting.partition_faults(whole, {"kept": kept, "gone": gone}, "id", "h")
+    return accounting.gates(spark, {"partition_is_exact": faults, "no_negative_price": table(spark, d, "orders").where("o_totalprice < 0")})
+
+
+@query
+def a10_failure_gate(spark: SparkSession, d: str) -> DataFrame:
+    return accounting.failure_rate(table(spark, d, "labels"), F.col("quality") == 1, most=0.01).withColumn("rate", F.round("rate", 6))
+
+
+@query
+def w6_stratified_sample(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("candidate_hash"), F.concat_ws("|", "source", "lang").alias("stratum"))
+    return sampling.round_robin(rows, 60, seed=1729)
+
+
+@query
+def a19_volume_estimate(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.volume(table(spark, d, "conversations"), F.coalesce("text", F.lit("")))
+
+
+@query
+def a20_agreement(spark: SparkSession, d: str) -> DataFrame:
+    gold = table(spark, d, "labels").where("toxic = 0").select(F.col("doc_id").alias("id"), F.col("quality").cast("string").alias("decision"))
+    reviews = table(spark, d, "documents").where("doc_id % 10 <> 3").select(F.col("doc_id").alias("id"), F.when(F.length("text") > 100, "1").otherwise("0").alias("decision"))
+    return sampling.agreement(gold, reviews, least=0.9).withColumn("agreement", F.round("agreement", 6))
+
+
+@query
+def p10_rule_cascade(spark: SparkSession, d: str) -> DataFrame:
+    return labelled.decided(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id")).select("doc_id", "status", "reason", "prompt_sha256", "answer", "group_id")
+
+
+@query
+def p13_validation_issues(spark: SparkSession, d: str) -> DataFrame:
+    made = labelled.decided(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id"))
+    return labelled.issues(made).select("doc_id", F.array_join("issues", ";").alias("issues"))
+
+
+@query
+def a9_issue_histogram(spark: SparkSession, d: str) -> DataFrame:
+    made = labelled.decided(table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id"))
+    return labelled.issues(made).select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def m6_canonical_messages(spark: SparkSession, d: str) -> DataFrame:
+    return labelled.canonical_messages(table(spark, d, "conversations"))
+
+
+ORACLE_SQL: dict[str, str] = {k: v for k, v in ORACLES.items() if k in QUERIES}

@@ -55,3 +55,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with Spark's own file system client."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)  # noqa: SLF001
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Arrow batches hold fewer rows than Spark's default of 10,000: long texts would make those very large."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
