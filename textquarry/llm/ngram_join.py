@@ -44,7 +44,7 @@ from textquarry.operators.components import connected_components
 from textquarry.storage import written
 
 #: Characters of text whose shingles a task sends at once, and of the input for each block of the shingle range.
-PORTION, BLOCK = 12_000_000, 24_000_000
+PORTION, BLOCK = 8_000_000, 16_000_000
 PACKED = "block int, doc_id long, text_key long, n int, class long, classes binary, sizes binary, counts binary, shingles binary"
 
 
@@ -116,18 +116,20 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
     rows = []
     if len(classes):
         # a class sent by many tasks counts once
+        of = np.repeat(np.arange(len(classes), dtype=np.int32), counts)
         _, first = np.unique(classes, return_index=True)
-        once = np.zeros(len(classes), dtype=bool)
-        once[first] = True
-        kept = np.repeat(once, counts)
-        shingles, of = shingles[kept], np.repeat(np.arange(len(classes)), counts)[kept]
+        if len(first) < len(classes):
+            once = np.zeros(len(classes), dtype=bool)
+            once[first] = True
+            shingles, of = shingles[once[of]], of[once[of]]
         order = np.argsort(shingles)
-        ordered = shingles[order]
-        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        times = np.diff(np.append(starts, len(ordered)))
+        shingles, of = shingles[order], of[order]
+        del order
+        starts = np.flatnonzero(np.concatenate(([True], shingles[1:] != shingles[:-1])))
+        times = np.diff(np.append(starts, len(shingles))).astype(np.int32)
         many = np.repeat(times > 1, times)
-        at, frequency = order[many], np.repeat(times, times)[many]
-        shingles, of = shingles[at], of[at]
+        shingles, of, frequency = shingles[many], of[many], np.repeat(times, times)[many]
+        del starts, times, many
         order = np.lexsort((of, (classes[of] % buckets)))
         shingles, of, frequency = shingles[order], of[order], frequency[order]
         ends = _parts(classes[of] % buckets, buckets)

@@ -14,7 +14,7 @@ S29, S32 = np.uint64(29), np.uint64(32)
 class WordHashes(dict):
     """Bytes of a word -> its 64-bit hash; emptied when it has grown large."""
 
-    LIMIT = 1_000_000
+    LIMIT = 500_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
