@@ -14,13 +14,15 @@ blocks and only where a link is possible:
    ``shared - ceil(t * n) + 1`` must hold one of any partner's: only these
    columns of the matrix are multiplied.  Copies of frequent passages thus never
    meet through those passages alone.
-3. For each such column the smallest class is its centre.  Overlap counts are
-   accumulated by (class, centre), and each class is compared with the centre it
-   meets most: pairs in number of classes, not their square.  Exact comparison
-   counts the shared shingles of both; components follow from the links found.
-4. All remaining pairs of a column that lie in different components and whose
-   sizes allow a link are compared too.  So no link between components is missed, and pairs
-   inside a component, which can change nothing, are never made.
+3. Each such column has a centre, the class with the fewest shingles of its
+   own.  Overlap counts are accumulated by (class, centre), and each class is
+   compared with the centre it meets most: pairs in number of classes, not their
+   square.  Exact comparison counts the shared shingles of both; components
+   follow from the links found.  Classes that a centre did not reach get another.
+4. All remaining pairs of a column that lie in different components are compared
+   too, if sizes and places allow a link: if the column is the first one shared,
+   what follows it in both bounds the overlap.  So no link between components is
+   missed, and pairs inside a component, which can change nothing, are never made.
 
 Shingles and classes are 64-bit hashes.  Edge cases: without words or text the
 set is empty and linked with nothing; fewer words than a shingle are one
@@ -36,15 +38,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.words import WordHashes, portions, shingle_set
+from textquarry.llm.words import WordHashes, portions, release, shingle_set
 from textquarry.operators.components import connected_components
-from textquarry.storage import written
+from textquarry.storage import small_batches, written
 
 #: Characters of text whose shingles a task sends at once, and of the input for each block of the shingle range.
 PORTION, BLOCK = 8_000_000, 16_000_000
+#: Rounds of comparing classes with centres before all that is left is compared.
+ROUNDS = 2
 PACKED = "block int, doc_id long, text_key long, n int, class long, classes binary, sizes binary, counts binary, shingles binary"
 
 
@@ -81,6 +86,8 @@ def _incidence(docs: DataFrame, words: int, blocks: int) -> DataFrame:
                             yield _batch(out)
                             out = {c: [] for c in out}
             yield _batch(out)
+        hashes.clear()
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(run, PACKED)
 
@@ -108,8 +115,8 @@ SHARED = "bucket int, doc_id long, text_key long, n int, class long, classes bin
 
 def _shared(table: pa.Table, buckets: int) -> pa.Table:
     """One block: documents pass through; shingles of two classes or more go on, by bucket of the class."""
-    packed = table.filter(pa.compute.is_valid(table["shingles"]))
-    docs = table.filter(pa.compute.is_null(table["shingles"]))
+    packed = table.filter(pc.is_valid(table["shingles"]))
+    docs = table.filter(pc.is_null(table["shingles"]))
     out = [docs.select(["doc_id", "text_key", "n", "class"])]
     read = lambda c, kind: np.concatenate([np.frombuffer(x.as_buffer(), dtype=kind) for x in packed[c]]) if len(packed) else np.empty(0, kind)
     classes, sizes, counts, shingles = read("classes", np.int64), read("sizes", np.int32), read("counts", np.int32), read("shingles", np.uint64)
@@ -139,6 +146,8 @@ def _shared(table: pa.Table, buckets: int) -> pa.Table:
                 starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
                 own = part[starts]
                 rows.append({"bucket": b, "classes": classes[own].tobytes(), "sizes": sizes[own].tobytes(), "counts": np.diff(np.append(starts, len(part))).astype(np.int32).tobytes(), "shingles": shingles[ends[b] : ends[b + 1]].tobytes(), "frequencies": frequency[ends[b] : ends[b + 1]].astype(np.int32).tobytes()})
+    del classes, sizes, counts, shingles
+    release()
     schema = pa.schema([("bucket", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int32()), ("class", pa.int64()), *[(c, pa.binary()) for c in ("classes", "sizes", "counts", "shingles", "frequencies")]])
     fill = lambda t: pa.Table.from_arrays([t[c].combine_chunks().cast(f.type) if c in t.column_names else pa.nulls(len(t), f.type) for c, f in zip(schema.names, schema, strict=True)], schema=schema)
     return pa.concat_tables([fill(out[0]), pa.Table.from_pylist(rows, schema=schema)])
@@ -169,8 +178,11 @@ def _candidates(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["class", "n", "shared", "probes"])
 
 
+COLUMNS = "shingle long, class long, n int, s int, at int"
+
+
 def _columns(classes: DataFrame) -> DataFrame:
-    """``shingle, class, n``: the columns to multiply."""
+    """The columns to multiply: each class's rarest shared shingles, its size, its number of shared shingles and the place among them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,9 +190,30 @@ def _columns(classes: DataFrame) -> DataFrame:
             parts = [np.frombuffer(s, dtype=np.int64, count=p) for s, p in zip(shared, probes, strict=True)]
             sizes = [len(p) for p in parts]
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), pa.array(np.repeat(np.array(cls, dtype=np.int64), sizes)), pa.array(np.repeat(np.array(n, dtype=np.int32), sizes))], names=["shingle", "class", "n"])
+                per_class = (np.array(cls, dtype=np.int64), np.array(n, dtype=np.int32), np.array([len(s) // 8 for s in shared], dtype=np.int32))
+                at = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), *[pa.array(np.repeat(x, sizes)) for x in per_class], pa.array(at)], names=["shingle", "class", "n", "s", "at"])
+
+    return classes.select("class", "n", "shared", "probes").mapInArrow(run, COLUMNS)
+
 
-    return classes.select("class", "n", "shared", "probes").mapInArrow(run, "shingle long, class long, n int")
+def _may_link(percent: int) -> Column:
+    """Whether x and y can link if this column is the first they share: then no shingle before it is common, so the overlap is at most what follows."""
+    left = F.least(F.col("x.s") - F.col("x.at"), F.col("y.s") - F.col("y.at"))
+    return left * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+
+
+def _centred(lists: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of a class and the centre it meets most, and each list's centre.
+
+    The centre of a column is the class with the fewest shingles of its own: what
+    edited copies have in common.
+    """
+    best = lists.groupBy("shingle").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("own"), "n", "class", "s", "at")).alias("c"), F.count(F.lit(1)).alias("many")).where("many > 1")
+    centres = best.select("shingle", F.col("c.class").alias("class"), F.col("c.n").alias("n"), F.col("c.s").alias("s"), F.col("c.at").alias("at"))
+    met = lists.alias("x").join(centres.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.class") != F.col("y.class")) & _may_link(percent))
+    met = met.groupBy(F.col("x.class").alias("a"), F.col("y.class").alias("b")).agg(F.count(F.lit(1)).alias("overlap"))
+    return met.groupBy("a").agg(F.max_by("b", F.struct("overlap", "b")).alias("b")), centres.select("shingle", F.col("class").alias("centre"))
 
 
 def _links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -208,6 +241,7 @@ def _links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id, text_key, n_shingles, root`` for every row; rows of one component, and no others, share a root (null: no shingles)."""
+    small_batches(docs.sparkSession)
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(8, -(-chars // BLOCK))
     matrix = _incidence(docs, words, blocks).repartition(blocks, "block")
@@ -217,22 +251,22 @@ def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     classes = written(packed.groupBy("bucket").applyInPandas(lambda p: _candidates(p, percent), CLASSES), "classes")
     columns = written(_columns(classes), "columns")
 
-    centre = columns.groupBy("shingle").agg(F.min(F.struct("n", "class")).alias("c"), F.count(F.lit(1)).alias("many")).where("many > 1")
-    centre = centre.select("shingle", F.col("c.class").alias("b"), F.col("c.n").alias("nb"))
-    fits = F.col("nb") * 100 >= F.col("n") * percent
-    met = columns.join(centre, "shingle").where(fits & (F.col("class") != F.col("b"))).groupBy("class", "b").agg(F.count(F.lit(1)).alias("overlap"))
-    first = met.groupBy("class").agg(F.max_by("b", F.struct("overlap", "b")).alias("b")).select(F.col("class").alias("a"), "b")
-    links = written(_links(first, classes, percent), "links")
-    found = written(connected_components(links, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("label")), "labels")
-    labelled = columns.join(found, "class", "left").select("shingle", "class", "n", F.coalesce("label", "class").alias("label"))
-    torn = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
-    left = written(labelled.join(torn, "shingle"), "left")
-    x = left.select("shingle", F.col("class").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = left.select(F.col("shingle").alias("s"), F.col("class").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    sizes = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    rest = x.join(y, (F.col("shingle") == F.col("s")) & (F.col("la") < F.col("lb")) & sizes).select("a", "b").distinct()
-    edges = found.select(F.col("class").alias("a"), F.col("label").alias("b")).union(_links(rest, classes, percent))
-    found = connected_components(edges, "a", "b").select(F.col("node").alias("class"), "component")
+    lists, edges = columns, None
+    for step in range(ROUNDS):
+        pairs, centres = _centred(lists, percent)
+        links = written(_links(pairs, classes, percent), "links")
+        edges = links if edges is None else edges.union(links)
+        found = written(connected_components(edges, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("label")), "labels")
+        labelled = columns.join(found, "class", "left").withColumn("label", F.coalesce("label", "class"))
+        torn = labelled.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("shingle")
+        left = written(labelled.join(torn, "shingle"), "left")
+        if step + 1 < ROUNDS:
+            # what a column's centre did not reach gets a centre of its own
+            near = centres.join(found, centres.centre == found["class"], "left").select("shingle", F.coalesce("label", "centre").alias("reached"))
+            lists = written(left.join(near, "shingle").where("label <> reached").select(*columns.columns), "unreached")
+    apart = (F.col("x.label") < F.col("y.label")) & _may_link(percent)
+    rest = left.alias("x").join(left.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & apart).select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct()
+    found = connected_components(edges.union(_links(rest, classes, percent)), "a", "b").select(F.col("node").alias("class"), "component")
     rows = rows.join(written(found, "roots"), "class", "left")
     return rows.select("doc_id", "text_key", "n_shingles", F.coalesce("component", "class").alias("root"))
 
