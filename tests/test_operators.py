@@ -152,3 +152,22 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert contamination.hits(empty, spark.createDataFrame([], "item_id long, text string")).count() == 0
     assert accounting.failure_rate(empty, F.lit(True)).first()["blocked"] is False
+
+
+def test_record_faults(spark, tmp_path):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from textquarry.sources import records
+
+    rows = spark.sql("SELECT 'a' AS id, array(named_struct('role','system','content','s'), named_struct('role','user','content','u'), named_struct('role','assistant','content',' ')) AS messages, named_struct('source_file','f','source_record_hash','h') AS metadata")
+    assert records.canonical_faults(rows).first()["fault"] == "empty_message"
+    bad = [("a/b", "0" * 64, 1), ("../x", "0" * 64, 1), ("a//b", "0" * 64, 1), ("c", "zz", 1), ("d", "0" * 64, 0), ("e", records.EMPTY_SHA256, 0), ("a/b", "0" * 64, 1)]
+    got = sorted((r["relative_path"], r["fault"]) for r in records.manifest_faults(spark.createDataFrame(bad, "relative_path string, sha256 string, size_bytes long")).collect())
+    assert got == [("../x", "unsafe_path"), ("a//b", "unsafe_path"), ("a/b", "repeated_path"), ("c", "bad_sha256"), ("d", "bad_empty_file")]
+    (tmp_path / "x.jsonl").write_text('{"a":1}\n{oops\n')
+    good, wrong = records.audited_json(spark, str(tmp_path / "x.jsonl"), StructType([StructField("a", LongType())]))
+    assert (good.count(), wrong.count()) == (1, 1)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        records.strict_json(spark, str(tmp_path / "x.jsonl"), "a long").collect()
+    with pytest.raises(ValueError, match="manifest"):
+        records.require_none(records.manifest_faults(spark.createDataFrame(bad, "relative_path string, sha256 string, size_bytes long")), "manifest")
