@@ -1,0 +1,296 @@
+"""The ten operators against brute force on small tables with awkward rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from textquarry.llm import covertree, lm, mixing, mtree, ngram_join, packing, pii, quality, urlfilter, warc
+
+DOCS = "doc_id long, text string, source string, lang string, n_chars long"
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, s, "en", len(t or "")) for i, t, s in rows], DOCS)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def awkward(rng, n=60):
+    rows = [(i, " ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(0, 40))), f"s{i % 4}" if i % 9 else None) for i in range(n)]
+    return rows + [(n, None, "s1"), (n + 1, "", "s2"), (n + 2, " \t\n", "s3"), (None, "a b c", "s0"), (5, rows[5][1], rows[5][2]), (n + 3, "long " * 20_000, "s0"), (n + 4, "x", "only")]
+
+
+def test_mix_reaches_targets(spark):
+    rows = awkward(random.Random(3))
+    df = docs(spark, rows).withColumn("size", F.lit(1)).withColumn("taken", F.lit("x")).withColumn("keep_text", F.lit(0))
+    got = mixing.mix(df).collect()
+    assert len(got) == len(rows)
+    sizes, taken, targets = Counter(), Counter(), {}
+    for r in got:
+        sizes[r["source"]] += r["size"]
+        taken[r["source"]] += r["taken"]
+        targets[r["source"]] = r["target"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    order = sorted((s for s in sizes if s is not None)) + [None]
+    weight, left = {s: 1 + i % 3 for i, s in enumerate(order)}, dict.fromkeys(order)
+    fixed = {}
+    while True:  # rounds of redistribution
+        rest = sum(sizes.values()) - sum(fixed.values())
+        free = {s: weight[s] for s in left if s not in fixed}
+        share = {s: rest * w / sum(free.values()) for s, w in free.items()}
+        over = {s: 3.0 * sizes[s] for s in share if share[s] >= 3 * sizes[s]}
+        if not over:
+            break
+        fixed |= over
+    for s in order:
+        assert targets[s] == pytest.approx(fixed.get(s, share.get(s)))
+        assert taken[s] == math.floor(targets[s] + 0.5)
+    copies = mixing.mixed_documents(df).collect()
+    by_source = Counter()
+    for r in copies:
+        by_source[r["source"]] += len(words(r["text"]))
+    assert by_source == +taken and mixing.mix(docs(spark, [])).count() == 0
+    assert sorted(map(str, mixing.mix(df.repartition(5)).collect())) == sorted(map(str, got))
+
+
+def test_surrogates_keep_form_and_coreference(spark):
+    a = "Mail Ann.Lee@corp.org or ANN.LEE@CORP.ORG, call +1 (743) 555-3824 or 743-555-3824; 10.1.2.3 4111 1111 1111 1111 Frau Anna Müller and Dr. Anna Müller, Κύριος Νίκος Παππάς. token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\""
+    rows = [(1, a, "s"), (2, "again 743.555.3824 and ann.lee@corp.org", "s"), (3, "clean words, version 3.1 of 2024", "s"), (4, None, "s"), (5, "", "s"), (None, a, None), (1, a, "s"), (7, "x " * 50_000 + "b@c.de", "s"), (8, " ".join(f"u{i}@mail.net" for i in range(300)), "s")]
+    df = docs(spark, rows).withColumn("key", F.lit(1)).withColumn("plan", F.lit("p")).withColumn("kind", F.lit(2))
+    got = {(r["doc_id"], r["source"]): r for r in pii.replace(df).collect()}
+    one, two = got[1, "s"]["text"], got[2, "s"]["text"]
+    mail = re.search(r"Mail (\S+) or (\S+),", one)
+    assert mail[1].lower() == mail[2].lower() != "ann.lee@corp.org" and mail[2].isupper() and mail[1].lower() in two
+    phone = re.search(r"\+1 \((\d{3})\) (\d{3})-(\d{4}) or (\d{3})-(\d{3})-(\d{4})", one)
+    assert phone.groups()[:3] == phone.groups()[3:] and ".".join(phone.groups()[:3]) in two and phone[1] + phone[2] + phone[3] != "7435553824"
+    name = re.search(r"Frau ([^,]+?) and Dr\. ([^,]+), Κύριος ([^.]+)\.", one)
+    assert name[1] == name[2] != "Anna Müller" and name[1].split()[0] in pii.FIRST["latin", "f"] and name[3].split()[0] in pii.FIRST["greek", "m"]
+    assert pii.luhn(re.search(r"(\d{4} ){3}\d{4}", one)[0].replace(" ", "")) and re.search(r'token = "[0-9a-f]{40}"', one) and "24be6443" not in one
+    assert got[3, "s"]["text"] == rows[2][1] and got[3, "s"]["n_entities"] == 0 and got[4, "s"]["text"] is None and got[5, "s"]["text"] == ""
+    assert got[None, None]["text"] == one and "b@c.de" not in got[7, "s"]["text"]
+    many = re.findall(r"\S+@\S+", got[8, "s"]["text"])
+    assert len(set(many)) == 300 and not set(many) & set(rows[8][1].split())
+    assert pii.replace(docs(spark, [])).count() == 0 and pii.replace(df).count() == len(rows)
+
+
+def test_quality_rejects_junk_and_keeps_clean(spark):
+    d = "/root/testdata/sf0.01"
+    scored = quality.score(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").collect()
+    good, bad = [r["keep"] for r in scored if r["quality"]], [not r["keep"] for r in scored if not r["quality"]]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) >= 0.9 * len(bad)
+    odd = docs(spark, [(1, None, "s"), (2, "", "s"), (3, " \n", "s"), (None, "This.", None)])
+    assert sorted((r["doc_id"] or 0, r["keep"]) for r in quality.score(odd).collect())[1:] == [(1, False), (2, False), (3, False)]
+    assert quality.score(docs(spark, [])).count() == 0 and quality.keep_good(odd.withColumn("score", F.lit(1))).columns[-1] == "score"
+
+
+def test_em_finds_the_better_labeller():
+    rng = random.Random(0)
+    counts, truth = Counter(), Counter()
+    for _ in range(5000):
+        bad = rng.random() < 0.2
+        v = "".join(str(quality.BAD if rng.random() < (p if bad else q) else quality.GOOD) for p, q in ((0.9, 0.02), (0.6, 0.05), (0.5, 0.1)))
+        counts[v] += 1
+        truth[v, bad] += 1
+    post, like, good = quality.estimate(counts)
+    assert abs(good - 0.8) < 0.04 and like[0, 0, 0] > like[0, 1, 0] > like[0, 2, 0] - 0.05
+    assert post["000"] < 0.05 and post["111"] > 0.95 and quality.estimate({})[0] == {}
+
+
+def test_backoff_scores_match_brute_force(spark):
+    rows = [(i, t, s) for i, t, s in awkward(random.Random(7), 25) if not t or len(t) < 1000] + [(90, "unseen", "s"), (91, "The the THE the", "s")]
+    sets = [[w.translate({c: c + 32 for c in range(65, 91)}) for w in words(t)] for _, t, _ in rows]
+    uni, bi, ctx = Counter(w for s in sets for w in s), Counter(p for s in sets for p in zip(s, s[1:])), Counter(w for s in sets for w in s[:-1])
+    total = sum(uni.values())
+    expected = []
+    for (i, _, _), s in zip(rows, sets):
+        u, b, c, v, alone = Counter(s), Counter(zip(s, s[1:])), Counter(s[:-1]), 0, 0
+        for k, w in enumerate(s):
+            if k and bi[s[k - 1], w] > b[s[k - 1], w]:
+                v += round(1e6 * (math.log(bi[s[k - 1], w] - b[s[k - 1], w]) - math.log(ctx[s[k - 1]] - c[s[k - 1]])))
+                continue
+            alone += 1
+            n = uni[w] - u[w]
+            v += round(1e6 * math.log(n)) if n else lm.LOG_ALPHA
+            v += lm.LOG_ALPHA if k else 0
+        expected.append((i, len(s), alone, (v - alone * round(1e6 * math.log(max(1, total - len(s))))) / 1e6))
+    got = [(r["doc_id"], r["n_words"], r["n_backoff"], r["log_score"]) for r in lm.score(docs(spark, rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected)) and lm.score(docs(spark, [])).count() == 0
+
+
+def vectors(spark, rng, n=300):
+    base = [[rng.gauss(0, 0.2) for _ in range(8)] for _ in range(n)]
+    for k in range(0, n, 10):
+        base[k + 1] = [x + rng.gauss(0, 0.01) for x in base[k]]
+        base[k + 2] = list(base[k])
+    rows = [(i, v) for i, v in enumerate(base)] + [(n, None), (n + 1, [float("nan")] * 8), (n + 2, [0.0] * 8), (n + 3, [None] * 8), (n + 4, [1.0, float("inf")] * 4), (None, base[0]), (50, base[0]), (n + 5, [])]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("row", F.lit(1)).withColumn("block", F.lit("b"))
+
+
+def usable(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+
+def test_top_products_match_brute_force(spark):
+    rows, df = vectors(spark, random.Random(2))
+    q = [np.floor(256 * np.pad(np.array(v, dtype=np.float32).astype(float), (0, 8 - len(v)))) if usable(v) else None for _, v in rows]
+    expected = []
+    for a, (i, _) in enumerate(rows):
+        if i is not None and i % 50 == 0 and q[a] is not None:
+            found = sorted(((-int(q[a] @ q[b]), j if j is not None else math.inf, j) for b, (j, _) in enumerate(rows) if a != b and q[b] is not None), key=lambda t: t[:2])[:5]
+            expected += [(i, k + 1, j, -s) for k, (s, _, j) in enumerate(found)]
+    got = [tuple(r) for r in mtree.top_k(df, F.col("vec_id") % 50 == 0, block=64, portion=3).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+    assert mtree.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_m_tree_with_many_pages_is_exact():
+    rng = np.random.default_rng(1)
+    v = np.floor(256 * np.concatenate([rng.normal(c, 0.05, (900, 6)) for c in rng.normal(0, 1, (6, 6))]))
+    x, top = mtree.lengthened(v)
+    pages = [mtree.leaf(v[p["rows"]], p["rows"], p["rows"], p["parent"]) if "rows" in p else p for p in mtree.build(x)]
+    assert len(pages) > 5
+    for q in range(0, len(v), 500):
+        s = v @ v[q]
+        s[q] = -1e18
+        best = np.lexsort((np.arange(len(v)), -s))[:5]
+        assert mtree.search(pages, x.mean(axis=0), top, v[q], q, 5) == [(int(s[b]), int(b)) for b in best]
+
+
+def test_near_vectors_match_brute_force(spark):
+    rows, df = vectors(spark, random.Random(4))
+    x = [np.array(v, dtype=np.float32).astype(float) if usable(v) and any(v) else None for _, v in rows]
+    near = [[a != b and x[a] is not None and x[b] is not None and x[a] @ x[b] / math.sqrt(x[a] @ x[a]) / math.sqrt(x[b] @ x[b]) >= 0.9 for b in range(len(rows))] for a in range(len(rows))]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for a in range(len(rows)):
+            for b in np.flatnonzero(near[a]):
+                root[a] = root[b] = min(root[a], root[b])
+    names = [min((rows[b][0] for b in range(len(rows)) if root[b] == root[a] and rows[b][0] is not None), default=None) for a in range(len(rows))]
+    expected = [(i, int(sum(near[a])), names[a], i is not None and i == names[a]) for a, (i, _) in enumerate(rows)]
+    for block in (4096, 40):
+        assert sorted(map(str, map(tuple, covertree.near_copies(df, block=block).collect()))) == sorted(map(str, expected))
+    assert covertree.near_copies(df.limit(0)).count() == 0
+
+
+def test_archives_round_trip_and_histories(spark):
+    rows = [(i, f"http://H{i % 3}.example.org/a?{i % 5}", f"<p>{i % 7}</p>ü") for i in range(40)] + [(40, None, None), (41, "x y\r\nz", ""), (42, "http://h1.example.org/a", "WARC/1.1\r\n\r\nContent-Length: 3"), (None, "http://h/", "<p>1</p>ü"), (39, "http://h/", rows_text := "<p>4</p>ü"), (43, "http://h/", "long" * 50_000)]
+    assert rows_text == rows[39][2]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("path", F.lit("p")).withColumn("sha", F.lit(1)).repartition(3)
+    largest = {}
+    for i, _, h in rows:
+        largest[h or ""] = max(largest.get(h or "", -1), -1 if i is None else i)
+    expected = []
+    for i, _, h in rows:
+        p, top = (h or "").encode(), largest[h or ""]
+        again = i is None or i != top
+        expected.append((i, len(p), warc.digest_of(p), "revisit" if again else "response", top if again else None))
+    got = warc.capture_index(df).collect()
+    assert sorted(str((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"])) for r in got) == sorted(map(str, expected))
+    keys = [warc.order(r.asDict()) for r in got]
+    assert keys == sorted(keys) and warc.capture_index(df.limit(0)).count() == 0
+    assert {r["record_type"] for r in warc.capture_index(df, least_bytes=10**9).collect()} == {"response"}
+
+
+def test_loser_tree_merges_any_runs():
+    rng = random.Random(1)
+    row = lambda k: {"url_key": str(k), "captured": "", "page_id": None, "run": "", "position": 0}
+    for n in (0, 1, 2, 3, 7, 8):
+        runs = [sorted((row(rng.randrange(9)) for _ in range(rng.randrange(5))), key=warc.order) for _ in range(n)]
+        assert [r["url_key"] for r in warc.LoserTree(map(iter, runs))] == sorted(r["url_key"] for x in runs for r in x)
+
+
+def test_shingle_components_match_brute_force(spark):
+    rng = random.Random(11)
+    rows = awkward(rng, 20)
+    passage = " ".join(f"p{k}" for k in range(30))
+    base = [f"b{k}" for k in range(120)]
+    for k in range(40):  # one large group of near copies, and documents that share a passage only
+        copy = list(base)
+        copy[rng.randrange(120)] = f"edit{k}"
+        rows.append((200 + k, " ".join(copy), "s"))
+        rows.append((300 + k, passage + " " + " ".join(f"q{k}x{j}" for j in range(60)), "s"))
+    rows += [(400 + k, " ".join(base[: 120 - 4 * k]), "s") for k in range(8)]
+    rows += [(500, "One two", "s"), (501, "one TWO", "s"), (502, "two one", "s"), (503, "ÄB c d e", "s"), (504, "äB c d e", "s")]
+    sets = []
+    for _, t, _ in rows:
+        w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in words(t)]
+        sets.append({tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set())
+    root = list(range(len(rows)))
+    link = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    for _ in rows:
+        for a, b in link:
+            root[a] = root[b] = min(root[a], root[b])
+    expected = [(i, len(sets[a]), min((rows[b][0] for b in range(len(rows)) if root[b] == root[a] and rows[b][0] is not None), default=None)) for a, (i, _, _) in enumerate(rows)]
+    df = docs(spark, rows).withColumn("n", F.lit(1)).withColumn("class", F.lit("c"))
+    got = ngram_join.join(df.repartition(4)).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    assert ngram_join.join(docs(spark, [])).count() == 0
+    kept = ngram_join.keep_first(df, words=4, percent=85)
+    assert kept.columns == df.columns and kept.count() == len({root[a] for a in range(len(rows)) if sets[a]}) + sum(not s for s in sets)
+
+
+def test_url_rules_and_propagation(spark):
+    link = lambda h: f'<a href="http://{h}/x">y</a>'
+    rows = [(1, "HTTP://Sub.Example.COM/en/7a?q#f", ""), (2, "http://x.com/en/1", None), (3, "http://example.net/de/81", ""), (4, "http://a.net/de/", ""), (5, "http://o.org/es/", link("friend.info")), (6, None, ""), (7, "nothing", ""),
+            (8, "http://friend.info/a", link("o.org")), (9, "http://spamfan.info", link("o.org") + link("x.com")), (10, "http://plain.info/#a", link("spamfan.info")), (11, "ftp://u:p@h:1?x://y/z", ""), (1, "http://xcom/en/", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("h")).withColumn("kind", F.lit(1))
+    got = {(r["page_id"], r["host"]): r for r in urlfilter.judge(df).collect()}
+    shown = {k: (r["path"], r["rule"], r["verdict"]) for k, r in got.items()}
+    assert shown[1, "sub.example.com"] == ("/en/7a", "example.com/en/7", "allow") and shown[2, "x.com"][1:] == ("com/en/", "block")
+    assert shown[3, "example.net"][1:] == ("example.net/de/8", "block") and shown[4, "a.net"][1:] == ("net/de/", "allow") and shown[5, "o.org"][1:] == ("org/es/", "block")
+    assert shown[6, ""] == ("", None, "allow") and shown[7, ""] == ("", None, "allow") and shown[11, "u:p@h:1"] == ("", None, "allow") and shown[1, "xcom"][1] is None
+    assert got[9, "spamfan.info"]["distrust"] > got[10, "plain.info"]["distrust"] > 0 == got[4, "a.net"]["distrust"]
+    assert len(got) == len(rows)
+    strict, hosts = urlfilter.judge(df, margin=0.4).where("rule is null and host <> ''").collect(), len({h for _, h in got})
+    assert {r["host"] for r in strict if r["verdict"] == "block"} == {r["host"] for r in strict if r["distrust"] - r["trust"] > 0.4 / hosts} >= {"spamfan.info"}
+    assert urlfilter.judge(df.limit(0)).count() == 0
+
+
+def test_fill_is_the_best_sum():
+    rng = random.Random(6)
+    for _ in range(60):
+        room = rng.randrange(1, 60)
+        counts = {rng.randrange(1, 40): rng.randrange(0, 4) for _ in range(5)}
+        sums = {0}
+        for length, n in counts.items():
+            sums = {s + length * k for s in sums for k in range(n + 1)}
+        used = packing.fill(counts, room)
+        assert sum(k * n for k, n in used.items()) == max(s for s in sums if s <= room) and all(n <= counts[k] for k, n in used.items())
+
+
+def test_packing_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    rows = awkward(random.Random(9)) + [(800 + k, f"Text {k}, don't! <|endoftext|> ß\u0301 {'é' * k}\x01 \x01" * (k + 1), "s") for k in range(30)]
+    df = docs(spark, rows).withColumn("length", F.lit(1)).withColumn("piece", F.lit(2))
+    got = [r.asDict() for r in packing.pack(df).collect()]
+    t = Tokenizer.from_file(packing.default_tokenizer())
+    expected = Counter()
+    for i, text, _ in rows:
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4").tobytes()
+        for k in range(0, len(ids), 4 * 2048):
+            expected[i, k // 4, len(ids[k : k + 8192]) // 4, zlib.crc32(ids[k : k + 8192]), len(ids) // 4] += 1
+    assert Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got) == expected
+    windows = {}
+    for r in got:
+        windows.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for w in windows.values():
+        at = 0
+        for offset, length in sorted(w):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(windows) * 2048 - sum(r["length"] for r in got) < 2048 and packing.pack(docs(spark, [])).count() == 0
+
+
+def test_digest_form():
+    assert warc.digest_of(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ" and hashlib.sha1(b"").hexdigest().startswith("da39")  # noqa: S324
