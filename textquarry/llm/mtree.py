@@ -26,6 +26,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -149,8 +150,8 @@ def _pages_of(table: pa.Table, width: int) -> pa.Table:
 
 def _answer(table: pa.Table, k: int) -> pa.Table:
     """One block's pages with one portion of queries."""
-    stored = sorted((r for r in table.filter(pa.compute.is_valid(table["page"])).to_pylist()), key=lambda r: r["page"])
-    queries = table.filter(pa.compute.is_null(table["page"]))
+    stored = sorted((r for r in table.filter(pc.is_valid(table["page"])).to_pylist()), key=lambda r: r["page"])
+    queries = table.filter(pc.is_null(table["page"]))
     found = []
     if stored:
         width = stored[0]["width"]
