@@ -268,6 +268,21 @@ def test_url_rules_and_propagation(spark):
     assert urlfilter.judge(df.limit(0)).count() == 0
 
 
+def chain(spark, hosts):
+    """h9 -> h8 -> ... -> h1 -> x.org, which alone is blocked by rule, and further hosts without links."""
+    rows = [(k, f"http://h{k}.info/", f'<a href="http://{f"h{k - 1}.info" if k > 1 else "x.org"}/">y</a>') for k in range(1, 10)] + [(0, "http://x.org/es/", "")]
+    return spark.createDataFrame(rows + [(100 + i, f"http://p{i}.info/", "") for i in range(hosts - 10)], "page_id long, url string, html string")
+
+
+def test_distrust_reaches_over_any_number_of_links(spark):
+    got = {r["page_id"]: r for r in urlfilter.judge(chain(spark, 30)).collect()}
+    for k in range(1, 10):
+        assert got[k]["distrust"] == pytest.approx(got[0]["distrust"] * 0.85**k, rel=1e-2), k
+    assert {got[k]["verdict"] for k in range(10)} == {"block"} and got[100]["verdict"] == "allow"
+    few = {r["page_id"]: r["verdict"] for r in urlfilter.judge(chain(spark, 10)).collect()}
+    assert few[1] == "block" and few[8] == few[9] == "allow"
+
+
 def test_fill_is_the_best_sum():
     rng = random.Random(6)
     for _ in range(60):

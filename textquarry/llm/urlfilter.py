@@ -8,7 +8,8 @@ the links (who links to a blocked host is suspect).  A host is blocked when its
 distrust exceeds its trust by more than ``margin`` times the uniform share of a
 host.  Every round is one join of edges with scores and one sum by host, both
 open to partial aggregation and skew splitting, and is written to the shared
-folder.
+folder; rounds go on until no further ones could change a score by a thousandth
+of that limit, so a host is reached over any number of links.
 
 Edge cases: a null url, or one without ``://``, has empty host and path, fits no
 rule and is allowed; null or empty html has no links; links inside a host and
@@ -86,13 +87,17 @@ def host_graph(pages: DataFrame) -> DataFrame:
     return found.select("src", host_of(F.col("link")).alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(hosts: DataFrame, graph: DataFrame, *, damping: float = 0.85, rounds: int = 8) -> DataFrame:
+def propagate(hosts: DataFrame, graph: DataFrame, *, damping: float = 0.85, error: float = 1e-6) -> DataFrame:
     """``host, trust0, distrust0`` and the graph -> ``host, trust, distrust``.
 
     The two walks run together: an edge carries trust from its source and
-    distrust from its target.  Mass at a host without a way on is given up, as
-    only comparisons of scores matter.  Without edges the seeds are the scores.
+    distrust from its target.  A round moves on what the round before brought,
+    until all that is still to come, by any number of rounds, sums to ``error``
+    at most.  Mass at a host without a way on is given up, as only comparisons
+    of scores matter.  Without edges the seeds are the scores.
     """
+    if not 0 <= damping < 1 or error <= 0:
+        raise ValueError("damping must be in [0, 1) and error above 0")
     known = hosts.select(F.col("host").alias("known"))
     graph = graph.join(known, graph.src == known.known, "left_semi").join(known, graph.dst == known.known, "left_semi")
     ways = graph.select(F.lit(1).alias("kind"), F.col("src").alias("from"), F.col("dst").alias("to"), "links").union(
@@ -100,20 +105,25 @@ def propagate(hosts: DataFrame, graph: DataFrame, *, damping: float = 0.85, roun
     )
     out = ways.groupBy("kind", "from").agg(F.sum("links").alias("all_links"))
     ways = written(ways.join(out, ["kind", "from"]).select("kind", "from", "to", (F.col("links") / F.col("all_links")).alias("part")), "ways")
-    seeds = written(hosts.select(F.col("host").alias("from"), F.explode(F.array(
+    scores = written(hosts.select(F.col("host").alias("from"), F.explode(F.array(
         F.struct(F.lit(1).alias("kind"), F.col("trust0").alias("seed")), F.struct(F.lit(2).alias("kind"), F.col("distrust0").alias("seed"))
-    )).alias("x")).select("x.kind", "from", "x.seed"), "seeds")
-    scores, base = seeds.withColumnRenamed("seed", "score"), F.col("seed") * (1 - damping)
+    )).alias("x")).select("x.kind", "from", F.col("x.seed").alias("score"), F.col("x.seed").alias("new")), "scores")
+    share = 1.0
     if not ways.isEmpty():
-        for _ in range(rounds):
-            moved = ways.join(scores.where("score > 0"), ["kind", "from"]).groupBy("kind", F.col("to").alias("from")).agg(F.sum(F.col("score") * F.col("part")).alias("got"))
-            following = written(seeds.join(moved, ["kind", "from"], "left").select("kind", "from", (base + damping * F.coalesce("got", F.lit(0.0))).alias("score")), "scores")
+        share, to_come = 1 - damping, 1.0
+        while to_come > error:
+            moved = ways.join(scores.where("new > 0"), ["kind", "from"]).groupBy("kind", F.col("to").alias("from")).agg((damping * F.sum(F.col("new") * F.col("part"))).alias("got"))
+            got = F.coalesce("got", F.lit(0.0))
+            following = written(scores.join(moved, ["kind", "from"], "left").select("kind", "from", (F.col("score") + got).alias("score"), got.alias("new")), "scores")
             forget(scores)
             scores = following
-    return scores.groupBy(F.col("from").alias("host")).agg(F.sum(F.when(F.col("kind") == 1, F.col("score")).otherwise(0.0)).alias("trust"), F.sum(F.when(F.col("kind") == 2, F.col("score")).otherwise(0.0)).alias("distrust"))
+            # the scores are in units of the share of a seed; each later round brings at most damping times the one before
+            to_come = damping * (scores.agg(F.sum("new")).first()[0] or 0.0)
+    total = lambda kind: (share * F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)))
+    return scores.groupBy(F.col("from").alias("host")).agg(total(1).alias("trust"), total(2).alias("distrust"))
 
 
-def judge(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, damping: float = 0.85, rounds: int = 8, margin: float = 1.0) -> DataFrame:
+def judge(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, damping: float = 0.85, margin: float = 1.0) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust`` for every row of ``page_id, url, html``."""
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -126,7 +136,9 @@ def judge(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, damping: float =
     hosts = written(hosts.select("host", F.greatest(lean, F.lit(0.0)).alias("good"), F.greatest(-lean, F.lit(0.0)).alias("bad")), "hosts")
     sums = hosts.agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
     share = lambda c: F.col(c) / F.lit(sums[c]) if sums[c] else F.lit(0.0)
-    scores = propagate(hosts.select("host", share("good").alias("trust0"), share("bad").alias("distrust0")), host_graph(pages), damping=damping, rounds=rounds)
-    bad = F.col("distrust") - F.col("trust") > margin / max(1, sums["n"])
+    limit = margin / max(1, sums["n"])
+    # scores stop changing far below the limit; a limit of 0 asks for all that doubles can tell
+    scores = propagate(hosts.select("host", share("good").alias("trust0"), share("bad").alias("distrust0")), host_graph(pages), damping=damping, error=max(abs(limit) / 1000, 1e-15))
+    bad = F.col("distrust") - F.col("trust") > limit
     scores = written(scores.withColumn("host_verdict", F.when(bad & (F.col("host") != ""), "block").otherwise("allow")), "host-scores")
     return judged.join(scores, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("by_rule", "host_verdict", F.lit("allow")).alias("verdict"), "trust", "distrust")
