@@ -283,6 +283,31 @@ def test_distrust_reaches_over_any_number_of_links(spark):
     assert few[1] == "block" and few[8] == few[9] == "allow"
 
 
+def test_verdicts_do_not_depend_on_links_elsewhere(spark):
+    rows = [(2 * i + k, f"http://s{i}.org/{'es/' * k}", "") for i in range(20) for k in (0, 1)] + [(100 + i, f"http://p{i}.info/", "") for i in range(80)]
+    schema = "page_id long, url string, html string"
+    alone, linked = ({r["page_id"]: (r["verdict"], r["distrust"]) for r in urlfilter.judge(spark.createDataFrame(t, schema)).collect()} for t in (rows, [*rows, (200, "http://p1.info/a", '<a href="http://p2.info/">y</a>')]))
+    assert {alone[2 * i][0] for i in range(20)} == {"block"} == {linked[2 * i][0] for i in range(20)}
+    assert all(linked[k] == (v, pytest.approx(d)) for k, (v, d) in alone.items())
+
+
+def test_propagation_matches_brute_force(spark):
+    rng, n = random.Random(9), 40
+    hosts = [(f"h{i}", rng.choice([0.0, 0.0, 0.1]), rng.choice([0.0, 0.0, 0.3])) for i in range(n)]
+    edges = {(a, b): rng.randrange(1, 5) for a, b in (rng.sample(range(n // 2 if k % 2 else n), 2) for k in range(60))}
+    df = urlfilter.propagate(spark.createDataFrame(hosts, "host string, trust0 double, distrust0 double"), spark.createDataFrame([(f"h{a}", f"h{b}", w) for (a, b), w in edges.items()], "src string, dst string, links long"))
+    got = {r["host"]: r for r in df.collect()}
+    for side, name in ((0, "trust"), (1, "distrust")):
+        seed = np.array([h[1 + side] for h in hosts])
+        step = np.zeros((n, n))  # from, to
+        for (a, b), w in edges.items():
+            step[(b, a) if side else (a, b)] = w
+        dangling = step.sum(1) == 0
+        step = np.where(dangling[:, None], seed / seed.sum(), step / np.maximum(step.sum(1), 1)[:, None])
+        expected = np.linalg.solve(np.eye(n) - 0.85 * step.T, 0.15 * seed)
+        assert [got[f"h{i}"][name] for i in range(n)] == pytest.approx(list(expected), abs=1e-5), name
+
+
 def test_fill_is_the_best_sum():
     rng = random.Random(6)
     for _ in range(60):

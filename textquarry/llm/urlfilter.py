@@ -93,8 +93,9 @@ def propagate(hosts: DataFrame, graph: DataFrame, *, damping: float = 0.85, erro
     The two walks run together: an edge carries trust from its source and
     distrust from its target.  A round moves on what the round before brought,
     until all that is still to come, by any number of rounds, sums to ``error``
-    at most.  Mass at a host without a way on is given up, as only comparisons
-    of scores matter.  Without edges the seeds are the scores.
+    at most.  Mass at a host without a way on returns to the seeds: the sums of
+    the rounds, in proportion, so that a walk's scores sum to its seeds.  One
+    formula holds with and without edges, where the seeds are the scores.
     """
     if not 0 <= damping < 1 or error <= 0:
         raise ValueError("damping must be in [0, 1) and error above 0")
@@ -108,19 +109,20 @@ def propagate(hosts: DataFrame, graph: DataFrame, *, damping: float = 0.85, erro
     scores = written(hosts.select(F.col("host").alias("from"), F.explode(F.array(
         F.struct(F.lit(1).alias("kind"), F.col("trust0").alias("seed")), F.struct(F.lit(2).alias("kind"), F.col("distrust0").alias("seed"))
     )).alias("x")).select("x.kind", "from", F.col("x.seed").alias("score"), F.col("x.seed").alias("new")), "scores")
-    share = 1.0
-    if not ways.isEmpty():
-        share, to_come = 1 - damping, 1.0
-        while to_come > error:
-            moved = ways.join(scores.where("new > 0"), ["kind", "from"]).groupBy("kind", F.col("to").alias("from")).agg((damping * F.sum(F.col("new") * F.col("part"))).alias("got"))
-            got = F.coalesce("got", F.lit(0.0))
-            following = written(scores.join(moved, ["kind", "from"], "left").select("kind", "from", (F.col("score") + got).alias("score"), got.alias("new")), "scores")
-            forget(scores)
-            scores = following
-            # the scores are in units of the share of a seed; each later round brings at most damping times the one before
-            to_come = damping * (scores.agg(F.sum("new")).first()[0] or 0.0)
-    total = lambda kind: (share * F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)))
-    return scores.groupBy(F.col("from").alias("host")).agg(total(1).alias("trust"), total(2).alias("distrust"))
+    seeded = dict(scores.groupBy("kind").agg(F.sum("new")).collect())
+    total, moving = dict(seeded), bool(seeded)
+    while moving:
+        moved = ways.join(scores.where("new > 0"), ["kind", "from"]).groupBy("kind", F.col("to").alias("from")).agg((damping * F.sum(F.col("new") * F.col("part"))).alias("got"))
+        got = F.coalesce("got", F.lit(0.0))
+        following = written(scores.join(moved, ["kind", "from"], "left").select("kind", "from", (F.col("score") + got).alias("score"), got.alias("new")), "scores")
+        forget(scores)
+        scores, moving = following, False
+        for k, new in scores.groupBy("kind").agg(F.sum("new")).collect():
+            total[k] += new
+            # each later round brings at most damping times the one before
+            moving = moving or new * damping / (1 - damping) > error * total[k]
+    walk = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)) * (seeded[kind] / total[kind] if total.get(kind) else 1.0)
+    return scores.groupBy(F.col("from").alias("host")).agg(walk(1).alias("trust"), walk(2).alias("distrust"))
 
 
 def judge(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, damping: float = 0.85, margin: float = 1.0) -> DataFrame:
