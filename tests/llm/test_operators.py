@@ -1,6 +1,7 @@
 """The ten operators against brute force on small tables with awkward rows."""
 
 import hashlib
+import ipaddress
 import math
 import random
 import re
@@ -95,6 +96,24 @@ def test_what_the_detector_finds_is_possible(spark):
     assert left == {} and all(t not in SINGLE for t in (r["text"] for r in pii.replace(df).collect()))
 
 
+#: A text and what must not be left of it.
+FORMS = [("Mr O'Brien spoke", "Brien"), ("Mr O’Brien's car", "Brien"), ("Dr McDonald", "Donald"), ("Herr von Goethe", "Goethe"), ("Señora de la Cruz", "Cruz"), ("Monsieur d'Artagnan", "Artagnan"), ("Mr JOHN SMITH", "SMITH"), ("Frau Müller-Schmidt", "Schmidt"), ("Mr Jean-Luc Picard", "Luc"), ("Mr J.R.R. Tolkien", "Tolkien"),
+         ("at 2001:db8::1 now", "2001:db8"), ("at fe80::1ff:fe23:4567:890a", "890a"), ("at 2001:DB8::192.0.2.1/64", "192.0.2.1"), ("7435553824", "5553824"), ("6912345678", "6912345678"), ("2101234567", "2101234567"), ("030 1234567", "1234567"), ("(030) 1234567", "1234567"), ("06 12 34 56 78", "12 34 56"), ("0612345678", "612345678"), ("tel: 555-3824", "555-3824"), ("phone 612 34 56 78.", "612 34")]
+PLAIN = ["order 7435553824", "$ 7435553824", "ISBN 0306406152", "call 911 now", "on 2024-05-06 at 01/02/2024", "call on 2024-05-06", "at 1700000000", "x[1::2] and std::cout", "Madame la Ministre", "Mr and Miss"]
+
+
+def test_surrogates_for_usual_forms(spark):
+    rows = [(i, t, "s") for i, (t, _) in enumerate(FORMS)] + [(100 + i, t, "s") for i, t in enumerate(PLAIN)]
+    same = ["743-555-3824", "+30 691 234 5678", "at 2001:0db8:0:0:0:0:0:1 now", "Mr John Smith"]
+    got = {r["doc_id"]: r["text"] for r in pii.replace(docs(spark, rows + [(200 + i, t, "s") for i, t in enumerate(same)])).collect()}
+    assert [(t, got[i]) for i, (t, gone) in enumerate(FORMS) if gone in got[i]] == []
+    assert [got[100 + i] for i in range(len(PLAIN))] == PLAIN
+    own = {t: got[i] for i, (t, _) in enumerate(FORMS)}
+    assert own["7435553824"] == got[200].replace("-", "") and own["6912345678"] == got[201][4:].replace(" ", "") and got[203].upper() == own["Mr JOHN SMITH"].upper()
+    spellings = [ipaddress.IPv6Address(x.split()[1]) for x in (own["at 2001:db8::1 now"], got[202])]
+    assert spellings[0] == spellings[1] and own["Mr O’Brien's car"].endswith("'s car") and own["030 1234567"][0] == "0" and own["Mr JOHN SMITH"][3:].isupper()
+
+
 def test_quality_rejects_junk_and_keeps_clean(spark):
     d = "/root/testdata/sf0.01"
     scored = quality.score(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").collect()
