@@ -18,27 +18,37 @@ SELECT doc_id, size, source_size, target, CAST(passes * size + least(size, great
 """
 
 
-def _op9(rounds: int = 8) -> str:
+def _op9(rounds: int = 100) -> str:
+    """Rules, then both walks for so many rounds, after which 0.85 ** rounds of their mass is still on its way."""
+
     def host(x: str) -> str:
         return f"coalesce(translate(regexp_extract(CASE WHEN instr({x}, '://') > 0 THEN substr({x}, instr({x}, '://') + 3) ELSE '' END, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '')"
 
-    walks = "".join(f""",
-s{k} AS MATERIALIZED (SELECT seeds.kind, seeds.host, 0.15 * seed + 0.85 * coalesce(got, 0) AS score FROM seeds LEFT JOIN
-  (SELECT ways.kind, ways.t AS host, sum(score * part) AS got FROM ways JOIN s{k - 1} s ON s.kind = ways.kind AND s.host = ways.f GROUP BY ALL) m ON m.kind = seeds.kind AND m.host = seeds.host)""" for k in range(1, rounds + 1))
+    def path(x: str) -> str:
+        return f"coalesce(regexp_extract(CASE WHEN instr({x}, '://') > 0 THEN substr({x}, instr({x}, '://') + 3) ELSE '' END, '^[^/?#]*([^?#]*)', 1), '')"
+
+    def hit(h: str, p: str) -> str:
+        return f"(SELECT max_by([rhost || rpath, action], length(rhost || rpath)) FROM rules WHERE ({h} = rhost OR ends_with({h}, '.' || rhost)) AND starts_with({p}, rpath))"
+
     return rf"""
-WITH p AS MATERIALIZED (SELECT page_id, {host('url')} AS host, coalesce(regexp_extract(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END, '^[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
+WITH RECURSIVE p AS MATERIALIZED (SELECT page_id, {host('url')} AS host, {path('url')} AS path, html FROM pages),
 rules(action, rhost, rpath) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
-j AS MATERIALIZED (SELECT page_id, host, path, (SELECT max_by([rhost || rpath, action], length(rhost || rpath)) FROM rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS hit FROM p),
-h AS MATERIALIZED (SELECT host, greatest((count(*) FILTER (hit[2] = 'allow') - count(*) FILTER (hit[2] = 'block')) / count(*), 0) AS good, greatest((count(*) FILTER (hit[2] = 'block') - count(*) FILTER (hit[2] = 'allow')) / count(*), 0) AS bad FROM j GROUP BY host),
-l AS (SELECT host AS src, unnest(list_distinct(regexp_extract_all(html, '(?i)\bhref\s*=\s*["'']?\s*([a-z][a-z0-9+.\-]*://[^"''\s<>]+)', 1))) AS link FROM p),
-g AS (SELECT src, {host('link')} AS dst, count(*) AS links FROM l GROUP BY ALL HAVING src <> dst AND src <> '' AND dst <> ''),
-k AS (SELECT * FROM g WHERE src IN (SELECT host FROM h) AND dst IN (SELECT host FROM h)),
+j AS MATERIALIZED (SELECT page_id, host, path, {hit('host', 'path')} AS hit FROM p),
+l0 AS (SELECT host AS src, unnest(list_distinct(regexp_extract_all(html, '(?i)\bhref\s*=\s*["'']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^"''\s<>]+)', 1))) AS link FROM p),
+l1 AS (SELECT src, CASE WHEN starts_with(link, '//') THEN ':' || link ELSE link END AS link FROM l0),
+l2 AS (SELECT src, {host('link')} AS dst, {path('link')} AS path FROM l1),
+l AS MATERIALIZED (SELECT src, dst, {hit('dst', 'path')} AS hit FROM l2 WHERE src <> dst AND src <> '' AND dst <> ''),
+h0 AS (SELECT host, TRUE AS own, count(*) AS n, count(*) FILTER (hit[2] = 'allow') - count(*) FILTER (hit[2] = 'block') AS lean FROM j GROUP BY host
+  UNION ALL SELECT dst, FALSE, count(*), count(*) FILTER (hit[2] = 'allow') - count(*) FILTER (hit[2] = 'block') FROM l WHERE dst NOT IN (SELECT host FROM j) GROUP BY dst),
+h AS MATERIALIZED (SELECT host, own, greatest(lean / n, 0) AS good, greatest(-lean / n, 0) AS bad FROM h0),
+k AS (SELECT src, dst, count(*) AS links FROM l GROUP BY ALL),
 w AS (SELECT 1 AS kind, src AS f, dst AS t, links FROM k UNION ALL SELECT 2, dst, src, links FROM k),
 ways AS MATERIALIZED (SELECT kind, f, t, links / sum(links) OVER (PARTITION BY kind, f) AS part FROM w),
 seeds AS MATERIALIZED (SELECT 1 AS kind, host, coalesce(good / nullif((SELECT sum(good) FROM h), 0), 0) AS seed FROM h UNION ALL SELECT 2, host, coalesce(bad / nullif((SELECT sum(bad) FROM h), 0), 0) FROM h),
-s0 AS (SELECT kind, host, seed AS score FROM seeds){walks},
-f AS (SELECT kind, host, score FROM s{rounds} WHERE (SELECT count(*) FROM ways) > 0 UNION ALL SELECT kind, host, score FROM s0 WHERE (SELECT count(*) FROM ways) = 0),
-v AS (SELECT host, sum(CASE WHEN kind = 2 THEN score ELSE -score END) > 1.0 / (SELECT count(*) FROM h) AND host <> '' AS bad FROM f GROUP BY host)
+walk(round, kind, host, mass) AS (SELECT 0, kind, host, CAST(seed AS DOUBLE) FROM seeds WHERE seed > 0
+  UNION ALL SELECT walk.round + 1, ways.kind, ways.t, CAST(sum(0.85::DOUBLE * walk.mass * ways.part) AS DOUBLE) FROM walk JOIN ways ON ways.kind = walk.kind AND ways.f = walk.host WHERE walk.round < {rounds} GROUP BY walk.round, ways.kind, ways.t),
+s AS MATERIALIZED (SELECT kind, host, sum(mass) / sum(sum(mass)) OVER (PARTITION BY kind) AS score FROM walk GROUP BY kind, host),
+v AS (SELECT host, sum(CASE WHEN kind = 2 THEN score ELSE -score END) > 1.0 / (SELECT count(*) FROM h WHERE own) AND host <> '' AS bad FROM s GROUP BY host)
 SELECT page_id, j.host, path, hit[1] AS rule, coalesce(hit[2], CASE WHEN v.bad THEN 'block' ELSE 'allow' END) AS verdict FROM j LEFT JOIN v ON v.host = j.host
 """
 

@@ -1,20 +1,24 @@
 """URL verdicts: literal rules first, else trust and distrust spread over the host graph (DataFrame functions only).
 
-Hosts link to hosts by the absolute links in their pages; links are summed by
-host pair, so the graph has one edge a pair whatever the number of pages.
+Hosts link to hosts by the links in their pages that name a host, with a scheme
+or without (``//host/``); links are summed by host pair, so the graph has one
+edge a pair whatever the number of pages.  Hosts that are linked to but have no
+pages are part of it; the rules that fit the links to them stand for their pages.
 Trust is a personalised PageRank from hosts whose pages allow rules cover, along
 the links; distrust is one from hosts whose pages block rules cover, against
 the links (who links to a blocked host is suspect).  A host is blocked when its
 distrust exceeds its trust by more than ``margin`` times the uniform share of a
-host.  Every round is one join of edges with scores and one sum by host, both
+host with pages.  Every round is one join of edges with scores and one sum by host, both
 open to partial aggregation and skew splitting, and is written to the shared
 folder; rounds go on until no further ones could change a score by a thousandth
 of that limit, so a host is reached over any number of links.
 
 Edge cases: a null url, or one without ``://``, has empty host and path, fits no
-rule and is allowed; null or empty html has no links; links inside a host and
-links to hosts without pages are left out; repeated rows are judged alike;
-an empty table gives an empty result; further columns are ignored.
+rule and is allowed; null or empty html has no links; links inside a host are
+left out, and a page's repeated links count once; html is read whole, however
+long; of rules of equal length the smaller text wins, then the earlier rule;
+repeated rows are judged alike; an empty table gives an empty result; further
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +31,8 @@ from pyspark.sql import functions as F
 from textquarry.storage import forget, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: An absolute link in an attribute.
-LINK = r"""(?i)\bhref\s*=\s*["']?\s*([a-z][a-z0-9+.\-]*://[^"'\s<>]+)"""
+#: A link in an attribute that names a host.
+LINK = r"""(?i)\bhref\s*=\s*["']?\s*((?:[a-z][a-z0-9+.\-]*:)?//[^"'\s<>]+)"""
 
 
 @dataclass(frozen=True)
@@ -81,14 +85,17 @@ def longest_rule(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[C
     return (text, verdict) if rules else (F.lit(None).cast("string"), F.lit(None).cast("string"))
 
 
-def host_graph(pages: DataFrame) -> DataFrame:
-    """``src, dst, links`` between different hosts, from absolute links in ``html``."""
+def host_graph(pages: DataFrame, rules: tuple[Rule, ...] = ()) -> DataFrame:
+    """``src, dst, links, allowed, blocked`` between different hosts, from the links in ``html`` and the rules that fit these."""
     found = pages.select(host_of(F.col("url")).alias("src"), F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)))).alias("link"))
-    return found.select("src", host_of(F.col("link")).alias("dst")).where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
+    found = found.withColumn("link", F.when(F.col("link").startswith("//"), F.concat(F.lit(":"), "link")).otherwise(F.col("link")))
+    found = found.select("src", host_of(F.col("link")).alias("dst"), path_of(F.col("link")).alias("path")).where("src <> dst and src <> '' and dst <> ''")
+    verdict = longest_rule(F.col("dst"), F.col("path"), rules)[1]
+    return found.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"), F.count_if(verdict == "allow").alias("allowed"), F.count_if(verdict == "block").alias("blocked"))
 
 
 def propagate(hosts: DataFrame, graph: DataFrame, *, damping: float = 0.85, error: float = 1e-6) -> DataFrame:
-    """``host, trust0, distrust0`` and the graph -> ``host, trust, distrust``.
+    """``host, trust0, distrust0`` and the graph between these hosts -> ``host, trust, distrust``.
 
     The two walks run together: an edge carries trust from its source and
     distrust from its target.  A round moves on what the round before brought,
@@ -99,8 +106,6 @@ def propagate(hosts: DataFrame, graph: DataFrame, *, damping: float = 0.85, erro
     """
     if not 0 <= damping < 1 or error <= 0:
         raise ValueError("damping must be in [0, 1) and error above 0")
-    known = hosts.select(F.col("host").alias("known"))
-    graph = graph.join(known, graph.src == known.known, "left_semi").join(known, graph.dst == known.known, "left_semi")
     ways = graph.select(F.lit(1).alias("kind"), F.col("src").alias("from"), F.col("dst").alias("to"), "links").union(
         graph.select(F.lit(2).alias("kind"), F.col("dst").alias("from"), F.col("src").alias("to"), "links")
     )
@@ -131,16 +136,19 @@ def judge(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, damping: float =
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     text, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     judged = urls.select("page_id", "host", "path", text.alias("rule"), verdict.alias("by_rule"))
+    graph = written(host_graph(pages, rules), "host-graph")
     hosts = judged.groupBy("host").agg(
-        F.count(F.lit(1)).alias("pages"), F.count_if(F.col("by_rule") == "allow").alias("allowed"), F.count_if(F.col("by_rule") == "block").alias("blocked")
+        F.lit(True).alias("own"), F.count(F.lit(1)).alias("pages"), F.count_if(F.col("by_rule") == "allow").alias("allowed"), F.count_if(F.col("by_rule") == "block").alias("blocked")
     )
+    others = graph.groupBy(F.col("dst").alias("host")).agg(F.lit(False).alias("own"), F.sum("links").alias("pages"), F.sum("allowed").alias("allowed"), F.sum("blocked").alias("blocked"))
+    hosts = hosts.unionByName(others.join(hosts.select("host"), "host", "left_anti"))
     lean = (F.col("allowed") - F.col("blocked")) / F.col("pages")
-    hosts = written(hosts.select("host", F.greatest(lean, F.lit(0.0)).alias("good"), F.greatest(-lean, F.lit(0.0)).alias("bad")), "hosts")
-    sums = hosts.agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
+    hosts = written(hosts.select("host", "own", F.greatest(lean, F.lit(0.0)).alias("good"), F.greatest(-lean, F.lit(0.0)).alias("bad")), "hosts")
+    sums = hosts.agg(F.count_if("own").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad")).first()
     share = lambda c: F.col(c) / F.lit(sums[c]) if sums[c] else F.lit(0.0)
     limit = margin / max(1, sums["n"])
     # scores stop changing far below the limit; a limit of 0 asks for all that doubles can tell
-    scores = propagate(hosts.select("host", share("good").alias("trust0"), share("bad").alias("distrust0")), host_graph(pages), damping=damping, error=max(abs(limit) / 1000, 1e-15))
+    scores = propagate(hosts.select("host", share("good").alias("trust0"), share("bad").alias("distrust0")), graph, damping=damping, error=max(abs(limit) / 1000, 1e-15))
     bad = F.col("distrust") - F.col("trust") > limit
     scores = written(scores.withColumn("host_verdict", F.when(bad & (F.col("host") != ""), "block").otherwise("allow")), "host-scores")
     return judged.join(scores, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("by_rule", "host_verdict", F.lit("allow")).alias("verdict"), "trust", "distrust")
