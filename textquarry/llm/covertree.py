@@ -1,48 +1,67 @@
 """Near copies among embeddings by dual traversal of cover trees.
 
 Directions (vectors of length 1) are compared by Euclidean distance: a cosine of
-at least ``t`` is a distance of at most ``sqrt(2 - 2t)``.  Each block of rows has
-a cover tree: on a level of radius ``r`` every node's members lie within ``r`` of
-its centre, a node's centre is also the centre of its first child, and radii
-halve from level to level.  Two trees are walked together.  A pair of nodes is
-dropped when centres are further apart than the threshold and both covering
-radii; it is accepted whole, without looking inside, when even the farthest
-members are near; otherwise both nodes' children are paired, down to single
-vectors, which are compared by cosine in double precision.  A level's centres
-are compared as one matrix product, in single precision with a margin; only
+at least ``t`` is a distance of at most ``sqrt(2 - 2t)``.  Equal vectors are one,
+with their number.  Rows are dealt to the cell of their nearest pivot, large
+cells in blocks, and a pair of cells is dropped when the pivots are further apart
+than the threshold and both radii: its blocks never meet.
+
+Each block has a cover tree: on a level of radius ``r`` every node's members lie
+within ``r`` of its centre, a node's centre is also the centre of its first
+child, and radii halve from level to level.  Two trees are walked together.  A
+pair of nodes is dropped when centres are further apart than the threshold and
+both covering radii; it is accepted whole, without looking inside, when even the
+farthest members are near; otherwise both nodes' children are paired, down to
+single vectors, which are compared by cosine in double precision.  A level's
+centres are compared by matrix products, in single precision with a margin; only
 the margin's pairs go on to double precision.
 
 A pair of blocks is one task of bounded size.  It returns a link count for each
 vector and the edges of a spanning forest, never the pairs themselves, so a
-large group of near copies costs rows in proportion to its members.  All pairs
-of blocks are compared: where data has no clusters at all, exact results at this
-threshold allow no less, and the cost of that part is quadratic in blocks.
+large group of near copies costs rows in proportion to its members.  Where data
+has no clusters at all, no ball around a pivot is small against the distances,
+all pairs of blocks are left, and the cost of exact results is quadratic.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components
-link with nothing; shorter vectors are padded with zeros; repeated rows are rows
-of their own; a null id never names a component (null if no member has an id)
-and is never kept; an empty table gives an empty result; further columns are
+link with nothing; shorter vectors are padded with zeros; vectors are scaled by
+powers of two first, so very small and very large components keep their
+directions; repeated rows are rows of their own; a null id never names a
+component (null if no member has an id) and is never kept; ids that repeat are
+kept in each row; an empty table gives an empty result; further columns are
 ignored.
 """
 
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.llm.vectors import in_blocks, matrix, numbered
+from textquarry.llm.vectors import Cells, in_cells, matrix, numbered
+from textquarry.llm.words import release
 from textquarry.operators.components import connected_components
 from textquarry.storage import written
 
-BLOCK, MARGIN, CHUNK = 4096, 1e-3, 1 << 17
+BLOCK, MARGIN, CHUNK, BATCH = 8192, 1e-3, 1 << 17, 64
+
+
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest components near 1: directions to the last bit."""
+    top = np.abs(x).max(axis=1, initial=0.0)
+    return np.ldexp(x, -np.frexp(top)[1][:, None])
+
+
+def directions(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
 class Tree:
-    """A cover tree over rows of unit vectors, level by level.
+    """A cover tree over rows, level by level.
 
     ``order`` lists the rows so that each node's members are consecutive;
     ``levels`` holds arrays ``centre, start, stop, radius, parent`` of the nodes,
@@ -51,8 +70,7 @@ class Tree:
 
     def __init__(self, x: np.ndarray, least: float) -> None:
         self.x = x
-        self.unit = (x / np.sqrt((x * x).sum(axis=1))[:, None]).astype(np.float32)
-        gram = self.unit @ self.unit.T
+        self.unit = directions(x).astype(np.float32)
         self.order = np.arange(len(x))
         self.levels = [(np.array([0]), np.array([0]), np.array([len(x)]), np.array([2.0]), np.array([0]))]
         scale = 1.0
@@ -61,22 +79,8 @@ class Tree:
             order = self.order.copy()
             for node, (c, a, b, r) in enumerate(zip(*(z.tolist() for z in self.levels[-1][:4]), strict=True)):
                 members = self.order[a:b]
-                if r == 0:
-                    groups = [(c, members, 0.0)]
-                else:
-                    groups, left = [], members
-                    near = 1.0 - (scale * scale) / 2
-                    while len(left):
-                        centre = c if not groups else int(left[0])
-                        cosine = gram[centre, left]
-                        inside = cosine >= near
-                        inside[left == centre] = True
-                        own = left[inside]
-                        low = float(cosine[inside].min())
-                        groups.append((centre, own, float(np.sqrt(max(0.0, 2 - 2 * low))) if len(own) > 1 else 0.0))
-                        left = left[~inside]
                 at = a
-                for centre, own, radius in groups:
+                for centre, own, radius in [(c, members, 0.0)] if r == 0 else self._cover(c, members, scale):
                     order[at : at + len(own)] = own
                     centres.append(centre)
                     starts.append(at)
@@ -89,6 +93,29 @@ class Tree:
             scale /= 2
         self._index()
 
+    def _cover(self, first: int, members: np.ndarray, scale: float) -> list[tuple[int, np.ndarray, float]]:
+        """Groups ``centre, members, radius`` within ``scale`` of their centres, taken in turn from what no centre before covers.
+
+        Some candidates at a time are compared with all that is left; members
+        that a centre covers are compared no more.
+        """
+        groups, near = [], 1.0 - (scale * scale) / 2
+        left = np.concatenate(([first], members[members != first]))
+        while len(left):
+            some = left[:BATCH]
+            cosine = self.unit[some] @ self.unit[left].T
+            free = np.ones(len(left), dtype=bool)
+            for k, centre in enumerate(some.tolist()):
+                if free[k]:
+                    inside = free & (cosine[k] >= near)
+                    inside[k] = True
+                    low = float(cosine[k][inside].min())
+                    own = left[inside]
+                    groups.append((centre, own, float(np.sqrt(max(0.0, 2 - 2 * low))) if len(own) > 1 else 0.0))
+                    free &= ~inside
+            left = left[free]
+        return groups
+
     def _index(self) -> None:
         """For each level, where each node's children begin on the next."""
         self.first = [np.searchsorted(below[4], np.arange(len(level[0]) + 1)) for level, below in zip(self.levels, self.levels[1:], strict=False)]
@@ -104,12 +131,16 @@ class Tree:
         return begin, self.first[k][nodes + 1] - begin
 
     def packed(self) -> bytes:
-        return pickle.dumps((self.unit, self.order.astype(np.int32), [tuple(z.astype(np.float32 if k == 3 else np.int32) for k, z in enumerate(level)) for level in self.levels]))
+        small = self.x.astype(np.float32)
+        x = small if (small == self.x).all() else self.x  # nothing is lost
+        return pickle.dumps((x, self.order.astype(np.int32), [tuple(z.astype(np.float32 if k == 3 else np.int32) for k, z in enumerate(level)) for level in self.levels]))
 
     @classmethod
-    def unpacked(cls, x: np.ndarray, data: bytes) -> Tree:
+    def unpacked(cls, data: bytes) -> Tree:
         out = cls.__new__(cls)
-        out.x, (out.unit, out.order, out.levels) = x, pickle.loads(data)  # noqa: S301
+        x, out.order, out.levels = pickle.loads(data)  # noqa: S301
+        out.x = x.astype(np.float64)
+        out.unit = directions(out.x).astype(np.float32)
         out._index()
         return out
 
@@ -184,8 +215,8 @@ def _near(x: np.ndarray, y: np.ndarray, ca, cb, u: np.ndarray, v: np.ndarray, ra
         yield i[good], j[good]
 
 
-def links(a: Tree, b: Tree, cosine: float, same: bool) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
-    """Link counts of the rows of ``a`` and of ``b``, and a spanning forest as edges (row of a, row of b with ``len(a)`` added)."""
+def links(a: Tree, b: Tree, cosine: float, same: bool, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Links of the rows of ``a`` and of ``b``, each row counted ``weights`` times, and a spanning forest as edges (row of a, row of b with ``len(a)`` added)."""
     shift = 0 if same else len(a.x)
     count = np.zeros(len(a.x) + (0 if same else len(b.x)), dtype=np.int64)
     root = np.arange(len(count))
@@ -207,10 +238,10 @@ def links(a: Tree, b: Tree, cosine: float, same: bool) -> tuple[np.ndarray, np.n
     for p, q, whole, own in dual(a, b, cosine, same):
         if whole:
             if own:
-                count[p] += len(p) - 1
+                count[p] += weights[p].sum() - weights[p]
             else:
-                count[p] += len(q)
-                count[q + shift] += len(p)
+                count[p] += weights[q + shift].sum()
+                count[q + shift] += weights[p].sum()
             for y in q.tolist():
                 join(int(p[0]), y + shift)
             for x in p.tolist()[1:]:
@@ -220,53 +251,76 @@ def links(a: Tree, b: Tree, cosine: float, same: bool) -> tuple[np.ndarray, np.n
             if own:
                 good = np.triu(good, 1)
             if good.any():
-                count[p] += good.sum(axis=1)
-                count[q + shift] += good.sum(axis=0)
+                count[p] += good @ weights[q + shift]
+                count[q + shift] += weights[p] @ good
                 for x, y in zip(*np.nonzero(good), strict=True):
                     join(int(p[x]), int(q[y]) + shift)
     return count, root, edges
 
 
-PACKED = "block int, numbers binary, vectors binary, tree binary, width int"
+PACKED = "block int, cell int, numbers binary, weights binary, tree binary"
 FOUND = "row long, links long, other long"
 
 
-def _pack(table: pa.Table, width: int, cosine: float) -> pa.Table:
-    """One block's rows -> its vectors and its cover tree."""
-    x = matrix(table["vector"].to_pylist(), width).astype(np.float32)
-    schema = pa.schema([("block", pa.int32()), ("numbers", pa.binary()), ("vectors", pa.binary()), ("tree", pa.binary()), ("width", pa.int32())])
-    return pa.Table.from_pylist([{"block": table["block"][0].as_py(), "numbers": table["row"].to_numpy().tobytes(), "vectors": x.tobytes(), "tree": Tree(x.astype(np.float64), float(np.sqrt(2 - 2 * cosine))).packed(), "width": width}], schema=schema)
+def _pack(table: pa.Table, width: int, limit: float) -> pa.Table:
+    """One block's rows -> its cover tree."""
+    x = scaled(matrix(table["vector"], width))
+    schema = pa.schema([("block", pa.int32()), ("cell", pa.int32()), ("numbers", pa.binary()), ("weights", pa.binary()), ("tree", pa.binary())])
+    row = {"block": table["block"][0].as_py(), "cell": table["cell"][0].as_py(), "numbers": table["row"].to_numpy().tobytes(), "weights": table["weight"].to_numpy().tobytes(), "tree": Tree(x, limit).packed()}
+    release()
+    return pa.Table.from_pylist([row], schema=schema)
 
 
 def _tile(table: pa.Table, cosine: float) -> pa.Table:
-    """One block with itself, or two blocks: link counts (``other`` null) and forest edges (``links`` null)."""
+    """One block with itself, or two blocks: links (``other`` null) and forest edges (``links`` null)."""
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
-    numbers = [np.frombuffer(r["numbers"], dtype=np.int64) for r in rows]
-    trees = [Tree.unpacked(np.frombuffer(r["vectors"], dtype=np.float32).reshape(-1, r["width"]).astype(np.float64), r["tree"]) for r in rows]
-    same = len(rows) == 1
-    count, _, edges = links(trees[0], trees[-1], cosine, same)
-    numbers = np.concatenate(numbers)
+    numbers, weights = (np.concatenate([np.frombuffer(r[c], dtype=np.int64) for r in rows]) for c in ("numbers", "weights"))
+    trees = [Tree.unpacked(r["tree"]) for r in rows]
+    count, _, edges = links(trees[0], trees[-1], cosine, len(rows) == 1, weights)
     some = np.flatnonzero(count)
     ends = np.array(edges, dtype=np.int64).reshape(-1, 2)
+    del trees, rows
+    release()
     return pa.Table.from_arrays([
         pa.array(np.concatenate([numbers[some], numbers[ends[:, 0]]])), pa.array([*count[some].tolist(), *[None] * len(ends)], pa.int64()), pa.array([*[None] * len(some), *numbers[ends[:, 1]].tolist()], pa.int64()),
     ], names=["row", "links", "other"])
 
 
+def tiles(packed: DataFrame, cells: Cells, limit: float) -> DataFrame:
+    """Each block once for every pair of blocks, itself included, whose cells can hold a link: with ``low, high`` of the pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                block, cell = one.column("block")[0].as_py(), one.column("cell")[0].as_py()
+                away = np.sqrt(((cells.pivots - cells.pivots[cell]) ** 2).sum(axis=1))
+                for other in cells.blocks(away - cells.radii - cells.radii[cell] <= limit + MARGIN).tolist():
+                    ends = [pa.array([f(block, other)], pa.int32()) for f in (min, max)]
+                    yield pa.RecordBatch.from_arrays([*one.columns, *ends], names=[*one.schema.names, "low", "high"])
+
+    return packed.mapInArrow(run, PACKED + ", low int, high int")
+
+
 def near_copies(rows: DataFrame, *, cosine: float = 0.9, block: int = BLOCK) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vec_id, embedding``."""
     every = numbered(rows)
     able = every.where("able and exists(vector, x -> x <> 0)")
-    n, width = able.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    width = max(1, width or 1)
-    dealt, blocks = in_blocks(able, n, block)
-    packed = written(dealt.groupBy("block").applyInArrow(lambda t: _pack(t, width, cosine), PACKED), "blocks")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    tiles = packed.withColumn("other", other).withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
-    found = written(tiles.groupBy("low", "high").applyInArrow(lambda t: _tile(t, cosine), FOUND), "links")
+    # equal vectors, told by two 64-bit hashes, are one
+    keys = [F.xxhash64("vector").alias("h1"), F.xxhash64(F.lit(1), "vector").alias("h2")]
+    alike = written(able.select("row", F.size("vector").alias("width"), *keys).groupBy("h1", "h2").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("weight"), F.max("width").alias("width")), "alike")
+    n, width = alike.agg(F.count(F.lit(1)), F.max("width")).first()
+    width, limit = max(1, width or 1), float(np.sqrt(2 - 2 * cosine))
+    single = able.join(alike.select(F.col("first").alias("row"), "weight"), "row")
+    dealt, cells = in_cells(single, n, width, block, directions, ["row", "vector", "weight"])
+    packed = written(dealt.groupBy("block").applyInArrow(lambda t: _pack(t, width, limit), PACKED), "blocks")
+    found = written(tiles(packed, cells, limit).groupBy("low", "high").applyInArrow(lambda t: _tile(t, cosine), FOUND), "links")
     counts = found.where("links is not null").groupBy("row").agg(F.sum("links").alias("n_links"))
     roots = connected_components(found.where("other is not null"), "row", "other").select(F.col("node").alias("row"), F.col("component").alias("root"))
-    out = every.select("vec_id", "row").join(counts, "row", "left").join(written(roots, "roots"), "row", "left")
-    out = written(out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "row").alias("root")), "members")
+    named = alike.withColumnRenamed("first", "row").join(counts, "row", "left").join(written(roots, "roots"), "row", "left")
+    named = named.select("h1", "h2", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("root", "row").alias("root"))
+    out = able.select("vec_id", *keys).join(named, ["h1", "h2"]).select("vec_id", "n_links", "root")
+    others = every.where("not able or forall(vector, x -> x = 0)").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("row").alias("root"))
+    out = written(out.union(others), "members")
     names = out.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     return out.join(names, "root").select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
