@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textquarry.llm import covertree, lm, mixing, mtree, ngram_join, packing, pii, quality, urlfilter, warc
+from textquarry.llm import vectors as vectors_of
 
 DOCS = "doc_id long, text string, source string, lang string, n_chars long"
 
@@ -67,7 +68,7 @@ def test_surrogates_keep_form_and_coreference(spark):
     a = "Mail Ann.Lee@corp.org or ANN.LEE@CORP.ORG, call +1 (743) 555-3824 or 743-555-3824; 10.1.2.3 4111 1111 1111 1111 Frau Anna Müller and Dr. Anna Müller, Κύριος Νίκος Παππάς. token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\""
     rows = [(1, a, "s"), (2, "again 743.555.3824 and ann.lee@corp.org", "s"), (3, "clean words, version 3.1 of 2024", "s"), (4, None, "s"), (5, "", "s"), (None, a, None), (1, a, "s"), (7, "x " * 50_000 + "b@c.de", "s"), (8, " ".join(f"u{i}@mail.net" for i in range(300)), "s")]
     df = docs(spark, rows).withColumn("key", F.lit(1)).withColumn("plan", F.lit("p")).withColumn("kind", F.lit(2))
-    got = {(r["doc_id"], r["source"]): r for r in pii.replace(df).collect()}
+    got = {(r["doc_id"], r["source"]): r for r in pii.replace(df, key="k").collect()}
     one, two = got[1, "s"]["text"], got[2, "s"]["text"]
     mail = re.search(r"Mail (\S+) or (\S+),", one)
     assert mail[1].lower() == mail[2].lower() != "ann.lee@corp.org" and mail[2].isupper() and mail[1].lower() in two
@@ -80,7 +81,7 @@ def test_surrogates_keep_form_and_coreference(spark):
     assert got[None, None]["text"] == one and "b@c.de" not in got[7, "s"]["text"]
     many = re.findall(r"\S+@\S+", got[8, "s"]["text"])
     assert len(set(many)) == 300 and not set(many) & set(rows[8][1].split())
-    assert pii.replace(docs(spark, [])).count() == 0 and pii.replace(df).count() == len(rows)
+    assert pii.replace(docs(spark, []), key="k").count() == 0 and pii.replace(df, key="k").count() == len(rows)
 
 
 #: One text a pattern, each without any other entity; the last ones with digits and letters beyond ASCII.
@@ -92,8 +93,8 @@ def test_what_the_detector_finds_is_possible(spark):
     assert [t for t in SINGLE if not pii.detect(t)] == []
     df = docs(spark, [(i, t, "s") for i, t in enumerate(SINGLE)])
     assert [r["text"] for r in df.where(~pii.possible(F.col("text"))).collect()] == []
-    left = {r["doc_id"]: r["text"] for r in pii.replace(df).where("n_entities = 0").collect()}
-    assert left == {} and all(t not in SINGLE for t in (r["text"] for r in pii.replace(df).collect()))
+    left = {r["doc_id"]: r["text"] for r in pii.replace(df, key="k").where("n_entities = 0").collect()}
+    assert left == {} and all(t not in SINGLE for t in (r["text"] for r in pii.replace(df, key="k").collect()))
 
 
 #: A text and what must not be left of it.
@@ -105,7 +106,7 @@ PLAIN = ["order 7435553824", "$ 7435553824", "ISBN 0306406152", "call 911 now",
 def test_surrogates_for_usual_forms(spark):
     rows = [(i, t, "s") for i, (t, _) in enumerate(FORMS)] + [(100 + i, t, "s") for i, t in enumerate(PLAIN)]
     same = ["743-555-3824", "+30 691 234 5678", "at 2001:0db8:0:0:0:0:0:1 now", "Mr John Smith"]
-    got = {r["doc_id"]: r["text"] for r in pii.replace(docs(spark, rows + [(200 + i, t, "s") for i, t in enumerate(same)])).collect()}
+    got = {r["doc_id"]: r["text"] for r in pii.replace(docs(spark, rows + [(200 + i, t, "s") for i, t in enumerate(same)]), key="k").collect()}
     assert [(t, got[i]) for i, (t, gone) in enumerate(FORMS) if gone in got[i]] == []
     assert [got[100 + i] for i in range(len(PLAIN))] == PLAIN
     own = {t: got[i] for i, (t, _) in enumerate(FORMS)}
@@ -114,6 +115,55 @@ def test_surrogates_for_usual_forms(spark):
     assert spellings[0] == spellings[1] and own["Mr O’Brien's car"].endswith("'s car") and own["030 1234567"][0] == "0" and own["Mr JOHN SMITH"][3:].isupper()
 
 
+def drawn_in_turn(entities, key):
+    """Surrogates of ``(kind, value)`` by rounds over plain dictionaries."""
+    family = lambda k: k.split("-")[0]
+    taken, out, left, attempt = {(family(k), v) for k, v in entities}, {}, sorted(entities), 0
+    while left:
+        drawn = {e: (family(e[0]), pii.surrogate(key, *e, attempt)) for e in left}
+        first = {}
+        for kind, value in sorted(left, key=lambda e: (e[1], e[0])):
+            first.setdefault(drawn[kind, value], (kind, value))
+        won = {e: c for c, e in first.items() if c not in taken}
+        out |= {e: c[1] for e, c in won.items()}
+        taken |= set(won.values())
+        left, attempt = [e for e in left if e not in won], attempt + 1
+    return out
+
+
+def test_surrogates_never_run_out(spark):
+    signs = ["my password: ==========", "secret = -------=", "token: $$$$$$$="]
+    rows = [(i, t, "s") for i, t in enumerate(signs)] + [(10 + i, f"pwd: =======-{i}" if i < 10 else "pwd: =======-a", "s") for i in range(11)]
+    rows += [(30 + i, f"Mr {chr(65 + i // 26)}{chr(97 + i % 26)}", "s") for i in range(100)] + [(200, "at 1:0:0:0:0:0:0:2 and a1:0:0:0:0:0:0:0 now", "s")]
+    df = docs(spark, rows).withColumns({c: F.lit(c) for c in ("n_entities", "__key", "__plan", "__text", "__n", "a b")})
+    got = {r["doc_id"]: r for r in pii.replace(df, key="k").collect()}
+    assert [got[i]["text"] for i in range(3)] == signs and all(r["n_entities"] == "n_entities" and r["__key"] == "__key" and r["a b"] == "a b" for r in got.values())
+    assert [got[i]["n_entities_"] for i in (0, 10, 200)] == [0, 1, 2] and list(got[0].asDict())[:-1] == df.columns
+    assert all(got[i]["n_chars"] == len(got[i]["text"]) for i in got)
+    entities = {(k, v) for _, t, _ in rows for _, _, k, v in pii.detect(t)}
+    expected = drawn_in_turn(entities, "k")
+    found = {(r["kind"], r["value"]): r["core"] for r in pii.assign(spark.createDataFrame(sorted(entities), "kind string, value string"), "k").collect()}
+    assert found == expected and len({(k[:4], c) for (k, _), c in found.items()}) == len(entities)
+    assert not {c for (k, _), c in found.items()} & {v for _, v in entities}
+    for i, t, _ in rows:
+        kept, at = [], 0
+        for a, b, kind, value in pii.detect(t):
+            kept += [t[at:a], pii.written_like(kind, t[a:b], expected[kind, value])]
+            at = b
+        assert got[i]["text"] == "".join([*kept, t[at:]])
+
+
+def test_grown_surrogates_can_be_written():
+    raws = {"phone": "+30 691-234 5678", "card": "4111 1111 1111 1111", "ssn": "123-45-6789", "iban": "GB82 WEST 1234 5698 7654 32", "ipv6": "2001:db8::1", "ipv4": "1.2.3.4", "mac": "AA-BB-CC-DD-EE-FF", "email": "A.b@c.org", "secret": "abcdefg1", "name-m": "John Smith"}
+    for kind, raw in raws.items():
+        sizes = []
+        for attempt in (0, pii.GROW, pii.GROW + 4):
+            core = pii.surrogate("k", kind, pii.normal(kind, raw), attempt)
+            sizes.append(len(pii.written_like(kind, raw, core)))
+            assert pii.written_like(kind, raw, core) != raw
+        assert sizes[0] < sizes[1] < sizes[2] or kind == "ipv6" and sizes[0] < sizes[1], (kind, sizes)
+
+
 def test_quality_rejects_junk_and_keeps_clean(spark):
     d = "/root/testdata/sf0.01"
     scored = quality.score(spark.read.parquet(f"{d}/documents.parquet")).join(spark.read.parquet(f"{d}/labels.parquet"), "doc_id").collect()
@@ -197,6 +247,41 @@ def test_m_tree_with_many_pages_is_exact():
         assert mtree.search(pages, x.mean(axis=0), top, v[q], q, 5) == [(int(s[b]), int(b)) for b in best]
 
 
+def test_products_beyond_doubles_are_exact(spark):
+    rows = [(0, [2.0**22 + 1 / 256, 1.0]), (1, [2.0**22 + 3 / 256, -1.0]), (2, [2.0**22 + 3 / 256, 1.0]), (3, [-(2.0**22), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    q = [[math.floor(256 * x) for x in v] for _, v in rows]
+    expected = sorted(((sum(a * b for a, b in zip(q[0], q[j])), -j) for j in (1, 2, 3)), reverse=True)
+    assert [(r["score"], -r["vec_id"]) for r in mtree.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()] == expected
+    with pytest.raises(Exception, match="64 bits"):
+        mtree.top_k(df.withColumn("embedding", F.transform("embedding", lambda x: x * 1024.0)), F.col("vec_id") == 0).collect()
+
+
+def test_far_cells_are_not_visited(spark):
+    rng = random.Random(8)
+    centres = [[rng.choice([-1, 1]) * 4.0 for _ in range(8)] for _ in range(6)]
+    rows = [(i, [c + rng.gauss(0, 0.05) for c in centres[i % 6]]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    able = vectors_of.numbered(df)
+    dealt, cells = vectors_of.in_cells(able, 600, 8, 60, covertree.directions, ["row", "vector"])
+    assert dealt.count() == 600 and max(r["count"] for r in dealt.groupBy("block").count().collect()) <= 120
+    limit = math.sqrt(0.2)
+    packed = covertree.tiles(dealt.groupBy("block").agg(F.max("cell").alias("cell")).select("block", "cell", *[F.lit(b"").alias(c) for c in ("numbers", "weights", "tree")]), cells, limit)
+    blocks = int(cells.parts.sum())
+    assert packed.select("low", "high").distinct().count() < blocks * (blocks + 1) / 4
+    x = np.array([v for _, v in rows])
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    near = x @ x.T >= 0.9
+    got = {r["vec_id"]: r["n_links"] for r in covertree.near_copies(df, block=60).collect()}
+    assert got == {i: int(near[i].sum()) - 1 for i in range(600)}
+
+
+def test_directions_of_very_small_vectors(spark):
+    rows = [(0, [1e-50, 2e-50]), (1, [1e-50, 2e-50]), (2, [1.0, 2.0]), (3, [1e300, 2e300]), (4, [2.0, -1.0]), (5, [-0.0, 0.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in covertree.near_copies(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (3, 0), 4: (0, 4), 5: (0, 5)}
+
+
 def test_near_vectors_match_brute_force(spark):
     rows, df = vectors(spark, random.Random(4))
     x = [np.array(v, dtype=np.float32).astype(float) if usable(v) and any(v) else None for _, v in rows]
@@ -310,6 +395,31 @@ def test_verdicts_do_not_depend_on_links_elsewhere(spark):
     assert all(linked[k] == (v, pytest.approx(d)) for k, (v, d) in alone.items())
 
 
+def test_links_without_scheme_and_to_hosts_without_pages(spark):
+    rows = [(1, "http://a.info/", '<a href="//x.org/es/1">y</a><A HREF=\'//Plain.info/es/?q\'>z</a>'), (2, "http://b.info/", '<a href="http://x.net/de/">y</a><a href="/a//b.org/es/">'), (3, "http://c.info/", "<p>" * 50_000 + '<a href=//a.info>')]
+    df = spark.createDataFrame([*rows, *((10 + i, f"http://q{i}.info/", None) for i in range(20))], "page_id long, url string, html string")
+    assert {(r["src"], r["dst"], r["allowed"], r["blocked"]) for r in urlfilter.host_graph(df, urlfilter.RULES).collect()} == {("a.info", "x.org", 0, 1), ("a.info", "plain.info", 0, 0), ("b.info", "x.net", 1, 0), ("c.info", "a.info", 0, 0)}
+    got = {r["page_id"]: r for r in urlfilter.judge(df).collect()}
+    assert len(got) == 23 and got[1]["verdict"] == got[3]["verdict"] == "block" and got[2]["verdict"] == "allow" and got[2]["distrust"] == 0
+
+
+def test_verdicts_match_sql(spark, tmp_path):
+    import duckdb
+
+    from textquarry.llm.sql import ORACLES
+
+    rng = random.Random(12)
+    tails = ["com", "net", "org", "info"]
+    url = lambda k: f"http://h{k}.{tails[k % 4]}/{rng.choice(['en/', 'en/7', 'de/', 'es/', 'x'])}"
+    rows = [(i, url(rng.randrange(25)), "".join(f'<a href="{url(rng.randrange(40)).removeprefix("http:" if rng.random() < 0.5 else "")}">' for _ in range(rng.randrange(4)))) for i in range(60)]
+    df = spark.createDataFrame([*rows, (None, None, None), (60, "", "")], "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.register("pages", df.toPandas().astype({"page_id": "Int64"}))
+    expected = con.execute(ORACLES["op9_url_verdicts"]).fetchall()
+    got = [tuple(r) for r in urlfilter.judge(df).select("page_id", "host", "path", "rule", "verdict").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected)) and {r[4] for r in got if r[3] is None} == {"allow", "block"}
+
+
 def test_propagation_matches_brute_force(spark):
     rng, n = random.Random(9), 40
     hosts = [(f"h{i}", rng.choice([0.0, 0.0, 0.1]), rng.choice([0.0, 0.0, 0.3])) for i in range(n)]
