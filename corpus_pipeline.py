@@ -14,6 +14,8 @@ from textquarry.storage import written
 
 #: Words of a shingle and similarity in percent for near copies.
 SHINGLE_WORDS, SIMILARITY = 5, 80
+#: The setting with the key of the surrogates, and the key of trial runs that set none.
+KEY_SETTING, TRIAL_KEY = "spark.textquarry.pii.key", "trial run"
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same documents, personal data replaced by surrogates."""
-    return pii.replace(docs).select(*docs.columns)
+    return pii.replace(docs, key=spark.conf.get(KEY_SETTING, TRIAL_KEY)).select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
