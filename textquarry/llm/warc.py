@@ -8,21 +8,31 @@ returns their paths; only paths in the committed manifest are read, so archives
 of lost or repeated tasks count for nothing.
 
 Reading an archive back checks every payload against its digest and gives a
-capture run: its records sorted by URL key and time.  The index is the k-way
-merge of all runs.  The key range is split by sampled bounds (URL key, time and
-id together, so one hot URL splits too), and in each range a loser tree merges
-the runs' slices, giving globally ordered capture histories.
+capture run: its records sorted by URL key and time, written as a file of small
+blocks in the shared folder, with the first and last key of each block in a
+table.  The index is the k-way merge of all runs.  The key range is split by
+bounds sampled from these keys (URL key, time and id together, so one hot URL
+splits too).  For each range a task opens the runs at the first block that can
+hold it, and a loser tree takes rows from the files as it needs them, block by
+block: a task holds one block of each run, however long runs and ranges are, and
+nothing is sorted after the runs are written.  More than ``FAN_IN`` runs are
+merged in groups first, each into one longer run, until one pass can take all.
 
 Edge cases: a null or empty html is an empty payload; a null url has an empty
 target and key; a null page id is never the largest, and where no equal payload
 has an id all are responses; rows that repeat the largest id are responses each;
-an empty table gives an empty result; further columns are ignored.
+captures of equal URL key and time follow by id (null first), archive and place;
+payloads may be as long as a row; an empty table gives an empty result; further
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
+import itertools
+import pickle
 import re
 import uuid
 import zlib
@@ -32,10 +42,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.storage import new_path, written
+from textquarry.llm.words import release
+from textquarry.storage import new_path, small_batches, written
 
-#: Bytes of records after which a task begins another archive, and rows that one range of the index holds, about.
-ARCHIVE_BYTES, RANGE_ROWS = 32_000_000, 20_000
+#: Bytes of records after which a task begins another archive, of index rows in one range, and the most ranges and sampled keys a range that the driver holds.
+ARCHIVE_BYTES, RANGE_BYTES, RANGES, DRAWN = 32_000_000, 4_000_000, 10_000, 16
+#: Rows in a block of a run's file, and runs that one task merges at most.
+BLOCK_ROWS, FAN_IN = 256, 256
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RUN = "run string, url_key string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, position long"
 COLUMNS = [c.split()[0] for c in RUN.split(", ")]
@@ -98,9 +111,10 @@ def parse(content: bytes) -> dict:
 
 
 def _store(uri: str):
+    """The file system and path of a URI of the shared folder; the names that Hadoop gives S3 are known."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
 def write_archives(pages: DataFrame, *, least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
@@ -146,29 +160,67 @@ def write_archives(pages: DataFrame, *, least_bytes: int = 0, archive_bytes: int
     return manifest
 
 
+SCHEMA = pa.schema([(c.split()[0], pa.string() if c.endswith("string") else pa.int64()) for c in RUN.split(", ")])
+#: A block of a run's file: its first and last row's keys, packed.
+INDEX = "file string, block int, first binary, last binary, bytes long"
+INDEX_SCHEMA = pa.schema([("file", pa.string()), ("block", pa.int32()), ("first", pa.binary()), ("last", pa.binary()), ("bytes", pa.int64())])
+
+
+def order(row: dict) -> tuple:
+    page = row["page_id"]
+    return row["url_key"].encode(), row["captured"], page is not None, page or 0, row["run"], row["position"]
+
+
+def write_run(store, path: str, rows: Iterable[dict]) -> pa.RecordBatch:
+    """Write sorted rows as blocks of a file; returns the index of its blocks."""
+    index, some = [], []
+    with store.open_output_stream(path, compression=None) as out, pa.ipc.new_file(out, SCHEMA) as file:
+
+        def close() -> None:
+            block = pa.RecordBatch.from_pylist(some, schema=SCHEMA)
+            file.write_batch(block)
+            index.append((path, len(index), pickle.dumps(order(some[0])), pickle.dumps(order(some[-1])), block.nbytes))
+            some.clear()
+
+        for row in rows:
+            some.append(row)
+            if len(some) == BLOCK_ROWS:
+                close()
+        if some:
+            close()
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*index, strict=True)) or [()] * 5, INDEX_SCHEMA.types, strict=True)], schema=INDEX_SCHEMA)
+
+
+def read_slice(store, path: str, blocks: list[int], low: tuple | None, high: tuple | None) -> Iterator[dict]:
+    """Rows of a run from ``low`` on and before ``high``; a block is read when its first row is asked for."""
+    with store.open_input_file(path) as data:
+        file = pa.ipc.open_file(data)
+        for k in sorted(blocks):
+            for row in file.get_batch(k).to_pylist():
+                key = order(row)
+                if high is not None and key >= high:
+                    return
+                if low is None or key >= low:
+                    yield row
+
+
 def read_runs(manifest: DataFrame, folder: str) -> DataFrame:
-    """Each archive as a sorted capture run."""
+    """Each archive as a file with its sorted capture run; returns the index of all blocks."""
     n = max(1, manifest.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = _store(folder)
+        store, base = _store(folder)
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 with store.open_input_stream(path, compression=None) as f:
                     data = f.read()
                 rows = [{"run": path, "position": at} | parse(content) for at, content in members(data)]
+                del data
                 rows.sort(key=order)
-                yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
-
-    return written(manifest.select("path").repartition(min(n, 10_000)).mapInArrow(run, RUN), "runs")
+                yield write_run(store, f"{base}/run-{uuid.uuid4().hex}.arrow", rows)
+        release()
 
-
-SCHEMA = pa.schema([(c.split()[0], pa.string() if c.endswith("string") else pa.int64()) for c in RUN.split(", ")])
-
-
-def order(row: dict) -> tuple:
-    page = row["page_id"]
-    return row["url_key"].encode(), row["captured"], page is not None, page or 0, row["run"], row["position"]
+    return written(manifest.select("path").repartition(min(n, 10_000)).mapInArrow(run, INDEX), "runs")
 
 
 class LoserTree:
@@ -205,31 +257,70 @@ class LoserTree:
             self.winner = w
 
 
-def merged_index(runs: DataFrame) -> DataFrame:
-    """All capture runs as one table in order of URL key, time and id, partition after partition."""
-    n = max(1, -(-runs.count() // RANGE_ROWS))
+def bounds_of(index: DataFrame) -> list[tuple]:
+    """Keys that cut all runs' rows into ranges of about ``RANGE_BYTES``, from a bounded sample of blocks' first keys."""
+    size = index.agg(F.sum("bytes")).first()[0] or 0
+    ranges = min(RANGES, max(1, -(-size // RANGE_BYTES)))
+    drawn = index.select("first").orderBy(F.xxhash64("file", "block")).limit(DRAWN * ranges).collect() if ranges > 1 else []  # DRAWN * RANGES rows at most
+    keys = sorted(pickle.loads(r["first"]) for r in drawn)  # noqa: S301
+    return sorted({keys[len(keys) * k // ranges] for k in range(1, ranges)}) if keys else []
+
+
+def _ranged(index: DataFrame, bounds: list[tuple], groups: int) -> DataFrame:
+    """``part, group, slices``: for each range and group of runs the blocks that can hold its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices: dict[str, list[dict]] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                slices.setdefault(row["run"], []).append(row)
-        for rows in slices.values():
-            rows.sort(key=order)  # the exchange need not keep a run's order
-        out = []
-        for row in LoserTree(map(iter, slices.values())):
-            out.append(row)
-            if len(out) == 10_000:
-                yield pa.RecordBatch.from_pylist(out, schema=SCHEMA)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=SCHEMA)
+            out = []
+            for file, block, group, first, last in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "group", "first", "last")), strict=True):
+                ends = [bisect.bisect_right(bounds, pickle.loads(k)) for k in (first, last)]  # noqa: S301
+                out += [(part, group, file, block) for part in range(ends[0], ends[1] + 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [()] * 4, (pa.int32(), pa.int32(), pa.string(), pa.int32()), strict=True)], names=["part", "group", "file", "block"])
+
+    grouped = index.withColumn("group", F.pmod(F.xxhash64("file"), F.lit(groups)).cast("int"))
+    each = grouped.mapInArrow(run, "part int, group int, file string, block int")
+    slices = each.groupBy("part", "group", "file").agg(F.collect_list("block").alias("blocks"))
+    return slices.groupBy("part", "group").agg(F.collect_list(F.struct("file", "blocks")).alias("slices"))
+
+
+def _merging(folder: str, bounds: list[tuple], emit):
+    """A function over rows ``part, slices``: ``emit(store, base, merged rows)`` for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _store(folder)
+        for batch in batches:
+            for part, slices in zip(*(batch.column(c).to_pylist() for c in ("part", "slices")), strict=True):
+                low, high = bounds[part - 1] if part else None, bounds[part] if part < len(bounds) else None
+                inputs = [read_slice(store, x["file"], x["blocks"], low, high) for x in sorted(slices, key=lambda x: x["file"])]
+                yield from emit(store, base, iter(LoserTree(inputs)))
+        release()
+
+    return run
+
 
-    ranged = runs.repartitionByRange(n, "url_key", "captured", "page_id")
-    return ranged.select(*COLUMNS).mapInArrow(run, RUN)
+def _as_run(store, base: str, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    yield write_run(store, f"{base}/run-{uuid.uuid4().hex}.arrow", rows)
+
+
+def _as_rows(store, base: str, rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    while some := list(itertools.islice(rows, 10_000)):
+        yield pa.RecordBatch.from_pylist(some, schema=SCHEMA)
+
+
+def merged_index(index: DataFrame, folder: str, *, fan_in: int = FAN_IN) -> DataFrame:
+    """All capture runs as one table in order of URL key, time and id, partition after partition."""
+    bounds = bounds_of(index)
+    runs = index.select("file").distinct().count()
+    while runs > fan_in:
+        runs = max(1, -(-2 * runs // fan_in))  # groups of half the number on average, as a hash deals them
+        plan = _ranged(index, bounds, runs).repartition("part", "group")
+        index = written(plan.mapInArrow(_merging(folder, bounds, _as_run), INDEX), "runs")
+    plan = _ranged(index, bounds, 1).repartitionByRange(len(bounds) + 1, "part").sortWithinPartitions("part")
+    return plan.select("part", "slices").mapInArrow(_merging(folder, bounds, _as_rows), RUN)
 
 
-def capture_index(pages: DataFrame, *, least_bytes: int = 0) -> DataFrame:
+def capture_index(pages: DataFrame, *, least_bytes: int = 0, fan_in: int = FAN_IN) -> DataFrame:
     """Write the archives, read them back, and merge their runs."""
+    small_batches(pages.sparkSession)
     manifest = write_archives(pages, least_bytes=least_bytes)
-    return merged_index(read_runs(manifest, manifest._folder))  # noqa: SLF001
+    return merged_index(read_runs(manifest, manifest._folder), manifest._folder, fan_in=fan_in)  # noqa: SLF001
