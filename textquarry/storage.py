@@ -57,7 +57,22 @@ def remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)  # noqa: SLF001
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Arrow batches hold fewer rows than Spark's default of 10,000: long texts would make those very large."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: Settings that bound what a task holds of a table at once, and the most that this engine leaves them at.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20,
+    "spark.sql.parquet.columnarReaderBatchSize": 256,
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let batches between Spark and Python, and of Parquet readers, hold few rows and bytes: long texts and packed rows make the defaults very large.
+
+    The settings are read when a plan runs, which may be long after the caller
+    has it; so they are lowered for the session, and never raised.
+    """
+    for name, most in BATCHES.items():
+        now = spark.conf.get(name, None)
+        number = (now or "").removesuffix("b")
+        if not number.isdigit() or not 0 < int(number) <= most:
+            spark.conf.set(name, str(most))
