@@ -14,13 +14,16 @@ A pattern gives each of its lengths a range of ranks.  Ranks come from counts
 by (length, cell) with cells cut by a hash of the row, so no length, however
 frequent, is ranked in one task.
 
-Edge cases: a null or empty text has the end id alone; repeated rows are pieces
+Ties: which of equally long pieces takes which place follows the rows' numbers;
+of lengths that fill a window equally well the longer are used first.  Edge cases: a null or empty text has the end id alone; repeated rows are pieces
 of their own; a null id stays null; an empty table gives an empty result;
 further columns are ignored; long texts give many full windows.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textquarry.storage import written
+from textquarry.llm.words import portions, release
+from textquarry.storage import small_batches, written
 
 CAPACITY = 2048
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Rows that one task ranks, about.
-CELL_ROWS = 100_000
+#: Rows of a length that are ranked together, at least.
+CELL_ROWS = 256
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -45,65 +49,88 @@ def default_tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-class WordIds(dict):
-    """Bytes of a white-space separated word -> its ids as little-endian 32-bit numbers.
+class WordIds:
+    """A text's ids as little-endian 32-bit numbers, by way of its words.
 
-    The tokenizer never joins across white space, so a text's ids are those of
-    its words in turn.  Unknown words are encoded many at once, parted by a
-    control character that has one id of its own; words that hold it, or that
-    may hold a special token, are encoded alone.  The table is emptied when it
-    has grown large.
+    A tokenizer whose pieces never reach across white space, nor from letters to
+    signs, gives a text the ids of its words in turn, and a word of Latin letters
+    and signs behind them the ids of both.  Words are put together for a portion
+    of text at a time; the letters' ids (small and capital letters are one) are
+    kept from portion to portion up to ``LIMIT`` entries and dropped at a task's
+    end, so memory does not grow with the vocabulary.  Unknown letters are
+    encoded many at once, parted by a control character that has one id of its
+    own; words of other forms, or that may hold a special token, are encoded
+    alone.  Under any other tokenizer each text is encoded as a whole.
     """
 
-    LIMIT, AT_ONCE, PART = 1_000_000, 4096, "\x01"
+    LIMIT, AT_ONCE, PART, PORTION = 200_000, 1024, "\x01", 2_000_000
+    #: Pre-tokenizer and normalizer under which the above holds.
+    PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    NORMAL = ["NFC", "Replace", "Lowercase"]
+    #: Latin letters whose small form is one letter, then ASCII signs but the apostrophe.
+    FORM = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)([!-&(-/:-@\\[-`{-~]*)")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        own = self.tokenizer.encode(self.PART, add_special_tokens=False).ids
-        self.part = own[0] if len(own) == 1 else None
-
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self))
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-            new = list(words)
-        plain = [w for w in new if self.part is not None and b"\x01" not in w and b"<|" not in w]
-        for i in range(0, len(plain), self.AT_ONCE):
-            some = plain[i : i + self.AT_ONCE]
-            ids = np.array(self.tokenizer.encode(f" {self.PART} ".join(w.decode() for w in some), add_special_tokens=False).ids, dtype="<u4")
-            raw, ends, begin = ids.tobytes(), np.flatnonzero(ids == self.part).tolist(), 0
-            for w, end in zip(some, [*ends, len(ids)], strict=True):
-                self[w] = raw[4 * begin : 4 * end]
+        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        own = self._encoded(self.PART)
+        self.part = int.from_bytes(own, "little")
+        self.apart = len(own) == 4 and self._by_words()
+
+    def _by_words(self) -> bool:
+        config = json.loads(self.tokenizer.to_str())
+        steps = (config["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        normal = [x["type"] for x in (config["normalizer"] or {}).get("normalizers", [])]
+        first = steps[0]
+        by_pieces = first.get("type") == "Split" and first["pattern"] == {"Regex": self.PIECES} and first["behavior"] == "Removed" and first["invert"]
+        plain = all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in steps[1:])
+        return bool(by_pieces) and plain and normal == self.NORMAL and all("<|" in x["content"] for x in config["added_tokens"])
+
+    def _encoded(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        if len(self.known) + len(new) > self.LIMIT:
+            self.known.clear()
+        for i in range(0, len(new), self.AT_ONCE):
+            some = new[i : i + self.AT_ONCE]
+            raw = self._encoded(f" {self.PART} ".join(some))
+            ends, begin = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == self.part).tolist(), 0
+            for w, end in zip(some, [*ends, len(raw) // 4], strict=True):
+                self.known[w] = raw[4 * begin : 4 * end]
                 begin = end + 1
-        if len(plain) < len(new):
-            known = set(plain)
-            for w in new:
-                if w not in known:
-                    self[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def table(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of each word."""
+        parts, out = [], {}
+        for w in words:
+            text = w.decode()
+            m = self.FORM.fullmatch(text)
+            if m is None or "<|" in text:
+                out[w] = self._encoded(text)
+            else:
+                letters = m[1].lower() if m[1].isascii() else m[1]
+                parts.append((w, letters, m[2]))
+        needed = {x for _, a, b in parts for x in (a, b) if x}
+        new = [x for x in needed if x not in self.known]
+        if len(self.known) + len(new) > self.LIMIT:
+            new = list(needed)
+        self._learn(new)
+        self.known[""] = b""
+        for w, a, b in parts:
+            out[w] = self.known[a] + self.known[b]
+        return out
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text; words are learnt for some megabytes of text at once."""
-        for some in in_portions(texts, 4_000_000):
-            split = [(x or "").encode("utf-8", "replace").split() for x in some]
-            self.learn(set().union(*split))
-            for words in split:
-                yield b"".join(map(self.__getitem__, words))
-
-
-def in_portions(texts: list[str | None], most: int) -> Iterator[list[str | None]]:
-    """Runs of texts of at most ``most`` characters, or single longer ones."""
-    some, size = [], 0
-    for x in texts:
-        n = len(x or "")
-        if some and size + n > most:
-            yield some
-            some, size = [], 0
-        some.append(x)
-        size += n
-    if some:
-        yield some
+        """The ids of each text."""
+        if not self.apart:
+            yield from (self._encoded(x or "") for x in texts)
+            return
+        split = [(x or "").encode("utf-8", "replace").split() for x in texts]
+        table = self.table(set().union(*split))
+        for words in split:
+            yield b"".join(map(table.__getitem__, words))
 
 
 _loaded: dict[str, WordIds] = {}
@@ -121,15 +148,17 @@ def cut(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPACI
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end, step = encoder(path), np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
-        for batch in batches:
+        for rows in portions(batches, lambda r: len(r[1] or ""), words.PORTION):
             out: list[tuple] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), words.ids(batch.column(1).to_pylist()), strict=True):
+            for doc, ids in zip([r[0] for r in rows], words.ids([r[1] for r in rows]), strict=True):
                 raw = ids + end
                 n = len(raw) // 4
                 out += [(doc, i // 4, min(capacity, n - i // 4), zlib.crc32(raw[i : i + step]), n) for i in range(0, len(raw), step)]
-            if out:
-                columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            columns = list(zip(*out, strict=True))
+            del rows, out
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+        words.known.clear()
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pieces, PIECES)
 
@@ -192,11 +221,15 @@ def ranges(plan: list[tuple[int, dict[int, int]]]) -> np.ndarray:
 
 def pack(docs: DataFrame, *, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Every piece of every document with its window (``sequence_id``) and ``offset`` there."""
+    spark = docs.sparkSession
+    small_batches(spark)
     made = written(cut(docs, tokenizer=tokenizer, capacity=capacity, end_id=end_id).withColumn("piece", F.monotonically_increasing_id()), "pieces")
     counts = {r["length"]: r["count"] for r in made.groupBy("length").count().collect()}  # one row a length
     places = ranges(patterns(counts, capacity))
-    n_cells = max(1, -(-sum(counts.values()) // CELL_ROWS))
-    made = made.withColumn("cell", F.pmod(F.xxhash64("piece"), F.lit(n_cells)))
+    # a length's rows are ranked in about as many cells as a cell has rows, so neither grows beyond the root of their number
+    cells_of = [(k, max(1, int(min(n / CELL_ROWS, n**0.5)))) for k, n in counts.items()]
+    cells_of = F.broadcast(spark.createDataFrame(cells_of, "length long, cells long"))  # at most one row a length
+    made = made.join(cells_of, "length").withColumn("cell", F.pmod(F.xxhash64("piece"), F.col("cells")))
     before = Window.partitionBy("length").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = made.groupBy("length", "cell").agg(F.count(F.lit(1)).alias("n"))
     cells = cells.select("length", "cell", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
