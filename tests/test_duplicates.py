@@ -108,3 +108,39 @@ def test_leakage_measures(spark):
     assert {r["measure"]: r["n"] for r in found.collect()} == {"cross_split_near_pairs": 1, "exact_duplicates": 1, "groups_across_splits": 1}
     with pytest.raises(ValueError, match="leakage"):
         splits.require_no_leakage(found)
+
+
+def test_signatures_match_plain_arithmetic():
+    import numpy as np
+
+    from textquarry.functions import hashing
+
+    rng = random.Random(2)
+    x = np.array([rng.randrange(1 << 64) for _ in range(50)] + [0, 1, hashing.PRIME, hashing.PRIME - 1, (1 << 64) - 1], dtype=np.uint64)
+    perms = [*hashing.permutations(6, 1729), (hashing.PRIME - 1, hashing.PRIME - 1), (1, 0)]
+    assert hashing.signature(x, perms) == [min((a * (v % hashing.PRIME) + b) % hashing.PRIME for v in map(int, x)) for a, b in perms]
+
+
+def test_bands_find_near_copies_with_the_same_facts(spark):
+    rng = random.Random(3)
+    base = words(rng, 300)
+    other = base.replace(base.split()[150], "changed", 1)
+    texts = {"a": base, "b": other, "c": base + " end", "d": words(rng, 300), "e": base + " 17", "f": "short " * 5, "g": ""}
+    rows = duplicates.records(spark.createDataFrame(list(texts.items()), SCHEMA)).withColumn("numbers", T.numbers(F.col("norm")))
+    pairs = duplicates.banded_pairs(rows, 0.9)
+    every = {(r["left_id"], r["right_id"]) for r in duplicates.near_pairs(rows.where("n >= 240"), 0.9).collect()}
+    found = {(r["left_id"], r["right_id"]) for r in pairs.collect()}
+    assert {("a", "c"), ("a", "e")} <= found <= every
+    same = {(r["left_id"], r["right_id"]) for r in duplicates.same_facts(pairs, rows, ["numbers"]).collect()}
+    assert same == {("a", "c")}  # digits inside words are numbers too
+
+
+def test_source_text_takes_the_span(spark):
+    import pytest
+
+    make = "SELECT array(named_struct('role','system','content','s'), named_struct('role','user','content','before evidence'), named_struct('role','assistant','content','answer')) AS m, "
+    span = "named_struct('message_index', {}, 'start', {}, 'end', {})"
+    get = lambda s: spark.sql(make + s + " AS span").select(T.source_text(F.col("m"), F.col("span"))).first()[0]
+    assert get(span.format(1, 7, 15)) == "evidence\nanswer" and get(f"CAST(NULL AS {'struct<message_index:int,start:int,end:int>'})") == "before evidence\nanswer"
+    with pytest.raises(Exception, match="span"):
+        get(span.format(1, 7, 99))

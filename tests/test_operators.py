@@ -171,3 +171,25 @@ def test_record_faults(spark, tmp_path):
         records.strict_json(spark, str(tmp_path / "x.jsonl"), "a long").collect()
     with pytest.raises(ValueError, match="manifest"):
         records.require_none(records.manifest_faults(spark.createDataFrame(bad, "relative_path string, sha256 string, size_bytes long")), "manifest")
+
+
+def test_screen_reads_all_depths(spark):
+    from textquarry.operators import screen
+
+    rows = [("a", json.dumps({"x": {"y": ["καλημέρα", {"z": "ab"}]}, "email": 5})), ("b", json.dumps({"t": "x" * 4096 + "α" * 100_000 + "x" * 4096})), ("c", "[1]"), ("d", "{"), ("e", None), ("f", '{"n":1}'), ("g", json.dumps({"deep": [["a@b.gr"]]}))]
+    got = {r["key"]: r for r in screen.inspected(spark.createDataFrame(rows, "k string, raw string"), F.col("k"), F.col("raw")).collect()}
+    assert (got["a"]["greek"], got["a"]["letters"], got["a"]["screen"]) == (8, 10, "positive") and (got["b"]["greek"], got["b"]["screen"]) == (0, "negative")
+    assert [got[k]["status"] for k in "cdef"] == ["quarantined", "malformed", "malformed", "license_blocked"] and got["f"]["screen"] == "unknown" and got["c"]["screen"] is None
+    assert got["g"]["email"] and not got["a"]["email"] and got["f"]["fields"] == '{"n":"int"}'
+    assert screen.inspected(spark.createDataFrame([], "k string, raw string"), F.col("k"), F.col("raw")).count() == 0
+
+
+def test_gates_and_revisions(spark):
+    from textquarry.operators import audit
+
+    bad, none = spark.range(2), spark.range(0)
+    got = {r["gate"]: (r["passed"], r["faults"]) for r in audit.release_gates(spark, {"a": none}, {"split_leakage": bad}).collect()}
+    assert len(got) == 15 and got["split_leakage"] == (False, 2) and got["counts_reconciled"] == (True, 0) and got["release_auditor"][0] is False
+    assert not any(r["passed"] for r in audit.release_gates(spark, {"a": bad}, {}).collect())
+    row = spark.range(1).select(F.struct(F.lit("p").alias("split"), F.lit(1).alias("n")).alias("metadata"))
+    assert row.select(audit.with_fields("metadata", split=F.lit("train")).alias("m")).first()["m"]["split"] == "train"

@@ -80,23 +80,22 @@ def shingles(words: Column, width: int) -> Column:
     return F.get(F.transform(F.array(words), runs), F.lit(0))
 
 
-def shingle_keys(words: Column, width: int) -> Column:
-    """The shingles' 64-bit hashes."""
-    return F.transform(shingles(words, width), lambda s: F.xxhash64(s))
-
-
-def sentences(text: Column, fold: bool = False) -> Column:
-    """Distinct sentences of the raw text, folded one by one with blanks dropped; with ``fold`` by built-in functions alone."""
-    parts = F.split(text, SENTENCE_END)
-    if fold:
-        clean = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.replace(F.replace(F.lower(s), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ")), r"(?U)\s+", " ")))
-        return F.array_sort(F.array_distinct(F.filter(clean, lambda s: s != "")))
+def sentences(text: Column) -> Column:
+    """Distinct sentences of the raw text in order of code points, folded one by one, blanks dropped."""
 
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(lambda some: sorted({y for x in some if (y := fold_text(x))}), na_action="ignore")
 
     run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(run, "array<string>")(parts)
+    return F.pandas_udf(run, "array<string>")(F.split(text, SENTENCE_END))
+
+
+def source_text(messages: Column, span: Column) -> Column:
+    """What an example takes from its source: the span of the user's message, or all of it, and the answer; a span beyond the message raises."""
+    user, answer = (F.element_at(messages, i)["content"] for i in (2, 3))
+    fits = (span["message_index"] == 1) & (span["start"] >= 0) & (span["start"] < span["end"]) & (span["end"] <= F.length(user))
+    cut = F.when(F.coalesce(fits, F.lit(False)), F.substring(user, span["start"] + 1, span["end"] - span["start"])).otherwise(F.raise_error(F.lit("invalid source-evidence span")))
+    return F.concat(F.when(span.isNull(), user).otherwise(cut), F.lit("\n"), answer)
 
 
 def numbers(text: Column) -> Column:

@@ -69,7 +69,7 @@ def coverage(declared: DataFrame, rows: DataFrame, path: str, count: str) -> Dat
 
 def range_faults(spans: DataFrame, files: DataFrame) -> DataFrame:
     """``path, fault``: ranges that don't start at 1, leave a gap, overlap, or don't end at the file's count; ranges without a file, files without ranges."""
-    order = Window.partitionBy("path").orderBy("first_record")
+    order = Window.partitionBy("path").orderBy("first_record", "last_record")
     at = spans.withColumn("before", F.lag("last_record", 1, 0).over(order))
     gap = at.where("first_record <> before + 1").select("path", F.when(F.col("before") == 0, "bad_start").when(F.col("first_record") > F.col("before") + 1, "gap").otherwise("overlap").alias("fault")).distinct()
     ends = spans.groupBy("path").agg(F.max("last_record").alias("last"))

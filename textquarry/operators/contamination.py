@@ -8,12 +8,16 @@ gives an empty result.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textquarry.functions import hashing
 from textquarry.functions import text as T
 from textquarry.storage import written
 
+#: Keys of items that a task may hold.
+KEYS_HELD = 200_000
 WIDTH, SHORT_CHARS, SHORT_WORDS, LEAST_SHINGLES, SHARE = 5, 40, 6, 4, 0.8
 
 
@@ -39,10 +43,15 @@ def hits(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", item: str =
         pairs = some.join(short, "word").select("doc", "item", "q").join(d.select("doc", "norm"), "doc")
         brief = pairs.where(T.contains_words(F.col("norm"), F.col("q"))).select("doc", "item", F.lit("short_exact_word_sequence_requires_manual_audit").alias("method"), F.lit(1.0).alias("overlap"))
 
-    long = written(q.where(~is_short).withColumn("keys", T.shingle_keys(F.col("q_words"), WIDTH)), "long-items")
+    long = written(q.where(~is_short).withColumn("keys", hashing.shingle_hashes(F.col("q"), WIDTH)), "long-items")
     theirs = long.select("item", F.explode("keys").alias("key"))
-    wanted = theirs.select("key").distinct()
-    ours = d.select("doc", F.explode(T.shingle_keys(F.col("words"), WIDTH)).alias("key")).join(wanted, "key")
+    wanted = written(theirs.select("key").distinct(), "item-keys")
+    if wanted.count() <= KEYS_HELD:  # a bounded list, held by every task; more keys are met by a join
+        among = np.sort(np.array([r["key"] for r in wanted.collect()], dtype=np.int64))
+        found = d.select("doc", hashing.shingle_hashes(F.col("norm"), WIDTH, among).alias("keys")) if len(among) else d.limit(0).select("doc", F.array().cast("array<long>").alias("keys"))
+        ours = found.select("doc", F.explode("keys").alias("key"))
+    else:
+        ours = d.select("doc", F.explode(hashing.shingle_hashes(F.col("norm"), WIDTH)).alias("key")).join(wanted, "key", "left_semi")
     shared = ours.join(theirs, "key").groupBy("doc", "item").agg(F.count(F.lit(1)).alias("shared"))
     met = shared.join(long.select("item", "q", F.size("keys").alias("n")), "item").join(d.select("doc", "norm"), "doc")
     inside = F.col("norm").contains(F.col("q"))

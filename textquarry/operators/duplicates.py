@@ -16,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textquarry.functions import hashing
 from textquarry.functions import text as T
 from textquarry.storage import forget, written
 
-ANCHOR = 32
+ANCHOR, PLACES = 32, 3
 
 
 def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
@@ -42,29 +43,20 @@ def survivors(rows: DataFrame, removed: DataFrame) -> DataFrame:
     return rows.join(removed.where("removed").select("id"), "id", "left_anti")
 
 
-def _windows(norm: Column, n: Column, begin: Column) -> Column:
-    """Hashes of the ANCHOR windows of ANCHOR characters that begin at ``begin`` (from 0) and after."""
-    return F.transform(F.sequence(begin + 1, begin + ANCHOR), lambda i: F.xxhash64(F.substring(norm, i, F.lit(ANCHOR))))
-
-
 def contained(rows: DataFrame, least: int = 240) -> DataFrame:
     """``id, keeper_id`` of rows whose text stands inside an earlier row's, both of at least ``least`` characters.
 
     A container's text is cut at every ANCHOR-th character; whatever the place
     of a contained text, one of any ANCHOR consecutive windows of it meets such
-    a cut.  Of three places in the text the one with the rarest windows is used.
+    a cut.  Of PLACES places in the text the one with the rarest windows is used.
     """
     if least < 2 * ANCHOR:
         raise ValueError(f"least must be {2 * ANCHOR} or more")
     long = rows.where(F.col("n") >= least).select("id", "norm", "n")
-    n = F.col("n").cast("int")
-    cuts = F.transform(F.sequence(F.lit(0), F.floor((n - ANCHOR) / ANCHOR).cast("int")), lambda k: F.xxhash64(F.substring("norm", k * ANCHOR + 1, F.lit(ANCHOR))))
-    inside = written(long.select(F.col("id").alias("other"), F.explode(F.array_distinct(cuts)).alias("anchor")), "anchors")
+    inside = written(long.select(F.col("id").alias("other"), F.explode(F.array_distinct(hashing.cut_hashes(F.col("norm"), ANCHOR))).alias("anchor")), "anchors")
     often = inside.groupBy("anchor").agg(F.count(F.lit(1)).alias("many"))
-    places = F.array(F.lit(0), F.floor((n - 2 * ANCHOR + 1) / 2).cast("int"), n - 2 * ANCHOR + 1)
-    asked = long.select("id", F.explode(F.array_distinct(places)).alias("place"), "norm", "n")
-    asked = asked.select("id", "place", F.explode(_windows(F.col("norm"), F.col("n"), F.col("place"))).alias("anchor")).join(often, "anchor", "left")
-    asked = written(asked, "windows")
+    asked = long.select("id", F.posexplode(hashing.window_hashes(F.col("norm"), ANCHOR, PLACES)).alias("at", "anchor"))
+    asked = written(asked.select("id", F.floor(F.col("at") / ANCHOR).cast("int").alias("place"), "anchor").join(often, "anchor", "left"), "windows")
     rare = asked.groupBy("id", "place").agg(F.sum(F.coalesce("many", F.lit(0))).alias("weight")).groupBy("id").agg(F.min(F.struct("weight", "place")).alias("m"))
     asked = asked.where("many is not null").join(rare.select("id", F.col("m.place").alias("place")), ["id", "place"])
     pairs = asked.select("id", "anchor").join(inside, "anchor").where("id <> other").select("id", "other").distinct()
@@ -109,7 +101,7 @@ def near_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5) -> DataF
     first ``shared - ceil(threshold * n) + 1`` of a row must hold one of any
     partner's; rows with fewer shared shingles than that bound drop out.
     """
-    keyed = written(rows.select("id", T.shingle_keys(T.tokens(F.col("norm")), width).alias("keys")).where("size(keys) > 0"), "shingles")
+    keyed = written(rows.select("id", hashing.shingle_hashes(F.col("norm"), width).alias("keys")).where("size(keys) > 0"), "shingles")
     each = keyed.select("id", F.size("keys").alias("n"), F.explode("keys").alias("key"))
     often = each.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     needed = F.ceil(F.col("n") * F.lit(threshold) - 1e-9)
@@ -125,6 +117,31 @@ def near_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5) -> DataF
     return scored.where(F.col("similarity") >= threshold).select("left_id", "right_id", "similarity")
 
 
+def banded_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5, *, perms: int = 64, bands: int = 8, seed: int = 1729, least: int = 240) -> DataFrame:
+    """The pairs ``left_id < right_id, similarity`` of rows that share a band of their MinHash signatures and reach the Jaccard threshold.
+
+    What a search by bands finds and no more: a pair below 1 may share no band.
+    ``near_pairs`` finds all.  Rows shorter than ``least`` take no part.
+    """
+    if perms % bands:
+        raise ValueError("the number of permutations must be a multiple of the number of bands")
+    able = rows.where(F.col("n") >= least)
+    keyed = written(able.select("id", F.explode(hashing.band_keys(F.col("norm"), width=width, perms=perms, bands=bands, seed=seed)).alias("band")), "bands")
+    a, b = (keyed.select(F.col("id").alias(f"{s}_id"), "band") for s in ("left", "right"))
+    pairs = a.join(b, "band").where(F.col("left_id") < F.col("right_id")).select("left_id", "right_id").distinct()
+    keys = written(able.select("id", hashing.shingle_hashes(F.col("norm"), width).alias("keys")), "shingles")
+    x, y = (keys.select(F.col("id").alias(f"{s}_id"), F.col("keys").alias(f"k_{s}")) for s in ("left", "right"))
+    both = F.size(F.array_intersect("k_left", "k_right"))
+    scored = pairs.join(x, "left_id").join(y, "right_id").withColumn("similarity", both / (F.size("k_left") + F.size("k_right") - both))
+    return scored.where(F.col("similarity") >= threshold).select("left_id", "right_id", "similarity")
+
+
+def same_facts(pairs: DataFrame, rows: DataFrame, gates: list[str]) -> DataFrame:
+    """The pairs whose rows agree in every column of ``gates`` (answer, numbers, task): near copies with other facts are none."""
+    a, b = (rows.select(F.col("id").alias(f"{s}_id"), F.struct(*gates).alias(f"{s}_facts")) for s in ("left", "right"))
+    return pairs.join(a, "left_id").join(b, "right_id").where(F.col("left_facts").eqNullSafe(F.col("right_facts"))).drop("left_facts", "right_facts")
+
+
 def first_come(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Greedy removal along a relation that is not transitive: ``id, keeper_id, removed``.
 

@@ -1,7 +1,7 @@
 """The rule cascade, the issue list and the message form over generic annotated documents.
 
-``documents`` joined with ``labels`` stand for an annotated source: the quality
-label is the answer, the text the evidence.
+``documents`` with their ``labels``, where they have any, stand for an annotated
+source: the quality label is the answer, the text the evidence.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ def _rules() -> list[tuple[str, Column]]:
         ("insufficient_context", F.length(text) < LEAST_CHARS),
         ("repetitive_text", F.size(F.array_distinct(words)) < F.size(words) * LEAST_DISTINCT),
         ("toxic_annotation", F.col("toxic") == 1),
+        ("missing_annotation", F.col("quality").isNull()),
     ]
 
 
@@ -43,7 +44,7 @@ def decided(rows: DataFrame) -> DataFrame:
     answer = F.create_map(*[F.lit(x) for p in ANSWERS.items() for x in p])[F.col("quality")]
     return out.withColumns({
         "status": F.when(fine, "accepted").otherwise("rejected"), "prompt": F.when(fine, prompt), "prompt_sha256": F.when(fine, F.sha2(prompt, 256)), "answer": F.when(fine, answer),
-        "group_id": F.when(fine, F.sha2(F.concat_ws("|", "source", F.substring("text", 1, 40)), 256)),
+        "group_id": F.when(fine, F.sha2(F.concat_ws("|", "source", "text"), 256)),
     })
 
 

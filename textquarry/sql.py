@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from textquarry.plans import adapters, samples
+
 TEXT = "coalesce(text, '')"
 
 
@@ -18,9 +20,14 @@ def shingles(words: str) -> str:
     return f"CASE WHEN len({words}) >= 5 THEN list_distinct(list_transform(range(1, len({words}) - 3), lambda i: {run})) ELSE [] END"
 
 
-RECORDS = f"""r0 AS MATERIALIZED (SELECT CAST(doc_id AS VARCHAR) AS id, lang, source, {TEXT} AS text, {fold(TEXT)} AS norm FROM documents),
+def records(source: str) -> str:
+    """``r``: rows of ``id, text`` and more with their normalised text; ``k``: one of each."""
+    return f"""r0 AS MATERIALIZED (SELECT *, {fold('text')} AS norm FROM ({source})),
 r AS MATERIALIZED (SELECT *, length(norm) AS n, sha256(norm) AS h FROM r0),
-k AS MATERIALIZED (SELECT * FROM r WHERE id = (SELECT min(id) FROM r r2 WHERE r2.h = r.h))"""
+k AS MATERIALIZED (SELECT * FROM r QUALIFY id = min(id) OVER (PARTITION BY h))"""
+
+
+RECORDS = records(f"SELECT CAST(doc_id AS VARCHAR) AS id, lang, source, {TEXT} AS text FROM documents")
 
 PAIRS = f"""sh0 AS MATERIALIZED (SELECT id, {tokens('norm')} AS w FROM k),
 sh AS MATERIALIZED (SELECT id, {shingles('w')} AS s FROM sh0),
@@ -29,7 +36,7 @@ pairs AS MATERIALIZED (SELECT a.id AS left_id, b.id AS right_id, count(*) / (any
   FROM e a JOIN e b ON a.g = b.g AND a.id < b.id GROUP BY a.id, b.id HAVING count(*) / (any_value(a.n) + any_value(b.n) - count(*)) >= 0.8)"""
 
 GROUPS = """ed AS MATERIALIZED (SELECT left_id AS x, right_id AS y FROM pairs UNION ALL SELECT id, min(id) OVER (PARTITION BY h) FROM r
-  UNION ALL SELECT id, min(id) OVER (PARTITION BY source || '/' || substr(norm, 1, 40)) FROM r),
+  UNION ALL SELECT id, min(id) OVER (PARTITION BY source || '/' || sha256(regexp_replace(norm, '[0-9]+', '', 'g'))) FROM r),
 l AS MATERIALIZED (SELECT DISTINCT * FROM (SELECT x, y FROM ed UNION ALL SELECT y, x FROM ed)),
 c(x, y) AS (SELECT id, id FROM r UNION SELECT c.x, l.y FROM c JOIN l ON l.x = c.y),
 g AS MATERIALIZED (SELECT x AS id, min(y) AS group_id FROM c GROUP BY x),
@@ -37,7 +44,7 @@ u AS MATERIALIZED (SELECT id, group_id, CAST(CAST('0x' || substr(sha256('1729:'
 assigned AS MATERIALIZED (SELECT r.*, u.group_id, CASE WHEN u.u < 0.9::DOUBLE THEN 'train' WHEN u.u < 0.9::DOUBLE + 0.05::DOUBLE THEN 'validation' ELSE 'test' END AS split FROM r JOIN u USING (id))"""
 
 SENTENCES = r"""list_sort(list_distinct(list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?;\x{b7}\x{37e}])[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', '\1' || chr(10), 'g'), '\n+'),
-  lambda s: trim(regexp_replace(replace(replace(lower(s), 'ß', 'ss'), 'ς', 'σ'), '\s+', ' ', 'g'))), lambda s: s <> '')))"""
+  lambda s: trim(regexp_replace(replace(replace(lower(nfc_normalize(s)), 'ß', 'ss'), 'ς', 'σ'), '\s+', ' ', 'g'))), lambda s: s <> '')))"""
 
 EMAIL = r"\b[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9.\-]{1,200}\.[A-Za-z]{2,20}\b"
 PHONE = r"(?:^|[^0-9])(?:\+30[ .-]?)?(?:69|21|23|26|28)[0-9]{8}(?:[^0-9]|$)"
@@ -59,20 +66,20 @@ hits AS MATERIALIZED (SELECT doc_id, item_id, 'exact_field_fingerprint' AS metho
 FILES = f"""f AS MATERIALIZED (SELECT source || '/' || lpad(CAST(doc_id AS VARCHAR), 8, '0') || '.txt' AS relative_path, sha256({TEXT}) AS sha256, CAST(octet_length(encode({TEXT})) AS BIGINT) AS size_bytes, source AS family, lang AS format, CASE WHEN length({TEXT}) < 500 THEN 'short' ELSE 'long' END AS kind FROM documents),
 g AS MATERIALIZED (SELECT sha256, size_bytes, count(*) AS members, min(relative_path) AS representative FROM f GROUP BY ALL HAVING count(*) > 1)"""
 
-LEDGER = """w AS (SELECT o_orderkey AS id, sha256(CAST(o_custkey AS VARCHAR) || '|' || o_orderpriority) AS h, o_orderstatus FROM orders),
-kept AS (SELECT id, CASE WHEN id % 97 = 0 THEN 'changed' ELSE h END AS h, o_orderstatus FROM w WHERE o_orderstatus <> 'F' UNION ALL SELECT -1, 'x', 'O'),
-gone AS (SELECT * FROM w WHERE (o_orderstatus = 'F' OR id % 89 = 0) AND id % 83 <> 0),
+LEDGER = """w AS (SELECT o_orderkey AS id, sha256(CAST(o_custkey AS VARCHAR) || '|' || o_orderpriority) AS h, o_orderstatus, o_orderpriority AS p FROM orders),
+kept AS (SELECT id, CASE WHEN p = '5-LOW' THEN 'changed' ELSE h END AS h, o_orderstatus FROM w WHERE o_orderstatus <> 'F' AND NOT (o_orderstatus = 'O' AND p = '3-MEDIUM') UNION ALL SELECT -1, 'x', 'O'),
+gone AS (SELECT id, h, o_orderstatus FROM w WHERE o_orderstatus = 'F' OR (o_orderstatus = 'P' AND p = '1-URGENT')),
 m AS (SELECT 'kept' AS part, * FROM kept UNION ALL SELECT 'gone', * FROM gone),
 mn AS (SELECT id, count(*) AS n FROM m GROUP BY id),
 faults AS (SELECT w.id, 'missing' AS fault FROM w WHERE id NOT IN (SELECT id FROM mn) UNION ALL SELECT w.id, 'multiple' FROM w JOIN mn USING (id) WHERE n > 1
   UNION ALL SELECT id, 'foreign' FROM m WHERE id NOT IN (SELECT id FROM w) UNION ALL SELECT m.id, 'changed' FROM m JOIN w USING (id) WHERE m.h <> w.h)"""
 
-CASCADE = f"""x AS (SELECT d.*, l.quality, l.toxic, {TEXT} AS t, {tokens(f'lower({TEXT})')} AS ws FROM documents d JOIN labels l USING (doc_id)),
+CASCADE = f"""x AS (SELECT d.*, l.quality, l.toxic, {TEXT} AS t, {tokens(f'lower({TEXT})')} AS ws FROM documents d LEFT JOIN labels l USING (doc_id)),
 y AS (SELECT *, CASE WHEN trim(t) = '' THEN 'missing_or_ambiguous_required_field' WHEN length(t) > 20000 THEN 'whole_field_exceeds_limit_no_truncation'
   WHEN regexp_matches(t, '{EMAIL}') OR regexp_matches(t, '{IBAN}') THEN 'contact_or_financial_identifier' WHEN regexp_matches(t, '{SECRET}') THEN 'secret_pattern'
-  WHEN lang NOT IN ('en', 'fr') THEN 'unsupported_language' WHEN length(t) < 50 THEN 'insufficient_context' WHEN len(list_distinct(ws)) < len(ws) * 0.3 THEN 'repetitive_text' WHEN toxic = 1 THEN 'toxic_annotation' END AS reason FROM x),
+  WHEN lang NOT IN ('en', 'fr') THEN 'unsupported_language' WHEN length(t) < 50 THEN 'insufficient_context' WHEN len(list_distinct(ws)) < len(ws) * 0.3 THEN 'repetitive_text' WHEN toxic = 1 THEN 'toxic_annotation' WHEN quality IS NULL THEN 'missing_annotation' END AS reason FROM x),
 z AS MATERIALIZED (SELECT *, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS status, CASE WHEN reason IS NULL THEN 'Is the following text good or poor? Answer with one word.' || chr(10) || chr(10) || 'Text:' || chr(10) || text END AS prompt,
-  CASE WHEN reason IS NULL THEN CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END END AS answer, CASE WHEN reason IS NULL THEN sha256(source || '|' || substr(text, 1, 40)) END AS group_id FROM y)"""
+  CASE WHEN reason IS NULL THEN CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' END END AS answer, CASE WHEN reason IS NULL THEN sha256(source || '|' || text) END AS group_id FROM y)"""
 ISSUES = CASCADE + r""",
 i AS (SELECT doc_id, list_sort(list_filter([CASE WHEN len(regexp_extract_all(text, '\p{Nd}+')) > 0 THEN 'numbers_require_review' END,
   CASE WHEN length(regexp_replace(text, '[^\p{L}]', '', 'g')) * 10 < length(text) * 6 THEN 'letter_share_check_failed' END,
@@ -86,7 +93,7 @@ def _with(*parts: str) -> str:
 
 ORACLES: dict[str, str] = {
     "f_text_profile": rf"""SELECT doc_id, length({TEXT}) AS n, len(w) AS n_words, len({shingles('w')}) AS n_shingles, len(s) AS n_sentences,
-  array_to_string(regexp_extract_all({TEXT}, '\p{{Nd}}+(?:[.,/]\p{{Nd}}+)*'), ' ') AS numbers, substr(regexp_replace(substr({TEXT}, 1, 40), '[^A-Za-z0-9_-]', '_', 'g'), 1, 80) || '_' || substr(sha256(substr({TEXT}, 1, 40)), 1, 12) AS slug
+  array_to_string(regexp_extract_all({TEXT}, '\p{{Nd}}+(?:[.,/]\p{{Nd}}+)*'), ' ') AS numbers, substr(regexp_replace({TEXT}, '[^A-Za-z0-9_-]', '_', 'g'), 1, 80) || '_' || substr(sha256({TEXT}), 1, 12) AS slug
   FROM (SELECT doc_id, text, {tokens(f'lower({TEXT})')} AS w, {SENTENCES.replace('(text,', f'({TEXT},')} AS s FROM documents)""",
     "f_script_counts": rf"""SELECT doc_id, letters, greek, CASE WHEN letters > 0 THEN greek / letters ELSE 0.0::DOUBLE END AS greek_ratio, accented FROM (SELECT doc_id, length(regexp_replace({TEXT}, '[^\p{{L}}]', '', 'g')) AS letters,
   len(list_filter(regexp_extract_all({TEXT}, '[\x{{370}}-\x{{3ff}}\x{{1f00}}-\x{{1fff}}]'), lambda c: regexp_matches(c, '\p{{L}}'))) AS greek, length(regexp_replace({TEXT}, '[^άέήίόύώΐΰΆΈΉΊΌΎΏ]', '', 'g')) AS accented FROM documents)""",
@@ -94,15 +101,28 @@ ORACLES: dict[str, str] = {
     "a4_risk_counters": f"""SELECT source, count(*) AS records, count(*) FILTER (email) AS risk_email_records, count(*) FILTER (greek_phone) AS risk_greek_phone_records, count(*) FILTER (iban) AS risk_iban_records, count(*) FILTER (secret) AS risk_secret_records,
   count(*) FILTER (email OR greek_phone OR iban OR secret) AS flagged_records FROM (SELECT source, {FLAGS} FROM documents) GROUP BY source""",
     "d1_exact_duplicates": _with(RECORDS) + "SELECT id, keeper_id, id <> keeper_id AS removed FROM (SELECT id, min(id) OVER (PARTITION BY h) AS keeper_id FROM r)",
-    "d2_contained_texts": _with(RECORDS, "f AS MATERIALIZED (SELECT a.id, b.id AS other FROM k a JOIN k b ON a.id <> b.id AND a.n >= 240 AND (b.n > a.n OR (b.n = a.n AND b.id < a.id)) AND contains(b.norm, a.norm))")
+    "d2_contained_texts": _with(records(f"SELECT CAST(doc_id AS VARCHAR) AS id, {TEXT} AS text FROM documents UNION ALL SELECT 'item' || item_id, {TEXT} FROM benchmark"),
+        "f AS MATERIALIZED (SELECT a.id, b.id AS other FROM k a JOIN k b ON a.id <> b.id AND a.n >= 64 AND (b.n > a.n OR (b.n = a.n AND b.id < a.id)) AND contains(b.norm, a.norm))")
     + "SELECT id, min(other) AS keeper_id FROM f WHERE other NOT IN (SELECT id FROM f) GROUP BY id",
-    "d4_sentence_subsets": _with(RECORDS, f"s AS MATERIALIZED (SELECT id, n, {SENTENCES} AS s FROM k)", "f AS MATERIALIZED (SELECT a.id, b.id AS other FROM s a JOIN s b ON a.id <> b.id AND a.n >= 80 AND len(a.s) >= 2 AND (b.n > a.n OR (b.n = a.n AND b.id < a.id)) AND list_has_all(b.s, a.s))")
+    "d3_near_removal": _with(RECORDS, PAIRS.replace("FROM k)", "FROM k WHERE n >= 240)"), rf"""y AS (SELECT id, n, [lang, array_to_string(regexp_extract_all(norm, '\p{{Nd}}+(?:[.,/]\p{{Nd}}+)*'), ' ')] AS facts FROM k),
+arcs AS MATERIALIZED (SELECT CASE WHEN a.n > b.n OR (a.n = b.n AND a.id < b.id) THEN a.id ELSE b.id END AS first, CASE WHEN a.n > b.n OR (a.n = b.n AND a.id < b.id) THEN b.id ELSE a.id END AS later FROM pairs JOIN y a ON a.id = left_id JOIN y b ON b.id = right_id WHERE a.facts = b.facts),
+o AS MATERIALIZED (SELECT id, coalesce(firsts, []) AS firsts, row_number() OVER (ORDER BY n DESC, id) AS i FROM (SELECT DISTINCT unnest([first, later]) AS id FROM arcs) JOIN y USING (id) LEFT JOIN (SELECT later AS id, list(first) AS firsts FROM arcs GROUP BY later) USING (id)),
+step(i, kept) AS (SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]) UNION ALL SELECT o.i, CASE WHEN list_has_any(step.kept, o.firsts) THEN step.kept ELSE list_append(step.kept, o.id) END FROM step JOIN o ON o.i = step.i + 1),
+kept AS (SELECT unnest(kept) AS id FROM (SELECT kept FROM step ORDER BY i DESC LIMIT 1))""") + "SELECT later AS id, min(first) AS keeper_id FROM arcs WHERE first IN (SELECT id FROM kept) AND later NOT IN (SELECT id FROM kept) GROUP BY later",
+    "d4_sentence_subsets": _with(f"s0 AS MATERIALIZED (SELECT CAST(doc_id AS VARCHAR) AS id, {TEXT} AS text FROM documents), s1 AS (SELECT id, text FROM s0 UNION ALL SELECT id || '/sorted', array_to_string({SENTENCES}, chr(10)) FROM s0)", records("SELECT * FROM s1"),
+        f"s AS MATERIALIZED (SELECT id, n, {SENTENCES} AS s FROM k)", "e AS MATERIALIZED (SELECT id, n, s, unnest(s) AS g FROM s)",
+        "f AS MATERIALIZED (SELECT a.id, b.id AS other FROM s a JOIN e b ON b.g = a.s[1] AND a.id <> b.id AND a.n >= 80 AND len(a.s) >= 2 AND (b.n > a.n OR (b.n = a.n AND b.id < a.id)) AND list_has_all(b.s, a.s))")
     + "SELECT id, min(other) AS keeper_id FROM f WHERE other NOT IN (SELECT id FROM f) GROUP BY id",
     "j14_near_pairs": _with(RECORDS, PAIRS) + "SELECT left_id, right_id, round(similarity, 6) AS similarity FROM pairs",
     "j5_contamination_hits": _with(HITS) + "SELECT * FROM hits",
     "a11_contamination_by_source": _with(HITS, "n AS (SELECT doc_id, count(*) AS n FROM hits GROUP BY doc_id)") + "SELECT source, count(*) FILTER (n IS NULL) AS clean, count(*) FILTER (n IS NOT NULL) AS contaminated, CAST(coalesce(sum(n), 0) AS BIGINT) AS hits FROM documents LEFT JOIN n USING (doc_id) GROUP BY source",
     "d8_grouped_split": _with(RECORDS, PAIRS, GROUPS) + "SELECT id, group_id, split FROM assigned",
     "a18_split_counts": _with(RECORDS, PAIRS, GROUPS) + "SELECT split, lang, source, count(*) AS n, CAST(sum(n) AS BIGINT) AS characters FROM assigned GROUP BY split, lang, source",
+    "d9_capped_groups": _with(RECORDS, PAIRS, GROUPS, """n AS MATERIALIZED (SELECT group_id, count(*) FILTER (lang = 'en') AS en, count(*) FILTER (lang = 'de') AS de FROM assigned GROUP BY group_id),
+q AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY group_id) AS i FROM n WHERE en > 0 OR de > 0),
+step(i, group_id, kept, en, de) AS (SELECT CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), FALSE, CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+  UNION ALL SELECT q.i, q.group_id, f, step.en + CASE WHEN f THEN q.en ELSE 0 END, step.de + CASE WHEN f THEN q.de ELSE 0 END FROM (SELECT q.*, step.i AS at, (q.en = 0 OR step.en + q.en <= 400) AND (q.de = 0 OR step.de + q.de <= 100) AS f FROM step JOIN q ON q.i = step.i + 1) q JOIN step ON step.i = q.at)""")
+    + "SELECT group_id, kept FROM step WHERE i > 0 UNION ALL SELECT group_id, TRUE FROM n WHERE en = 0 AND de = 0",
     "d10_leakage": _with(RECORDS, PAIRS, GROUPS) + """SELECT 'cross_split_near_pairs' AS measure, count(*) AS n FROM pairs p JOIN assigned a ON a.id = left_id JOIN assigned b ON b.id = right_id WHERE a.split <> b.split
 UNION ALL SELECT 'exact_duplicates', CAST(coalesce(sum(c - 1), 0) AS BIGINT) FROM (SELECT count(*) AS c FROM assigned GROUP BY h HAVING count(*) > 1)
 UNION ALL SELECT 'groups_across_splits', count(*) FROM (SELECT group_id FROM assigned GROUP BY group_id HAVING count(DISTINCT split) > 1)""",
@@ -124,15 +144,15 @@ starts_with(path || '/', 'spam-farm.example.org/') OR starts_with(path || '/', '
     "a13_breakdown": _with(FILES, "k AS (SELECT f.*, g.representative FROM f LEFT JOIN g USING (sha256, size_bytes))", "e AS (SELECT *, representative IS NOT NULL AND representative <> relative_path AS extra FROM k)")
     + """SELECT CASE WHEN grouping(family) = 0 THEN 'family' WHEN grouping(format) = 0 THEN 'format' ELSE 'kind' END AS dimension, coalesce(family, format, kind) AS value, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(representative) AS duplicate_members,
   count(*) FILTER (extra) AS redundant_copies, CAST(coalesce(sum(size_bytes) FILTER (extra), 0) AS BIGINT) AS redundant_bytes FROM e GROUP BY GROUPING SETS ((family), (format), (kind))""",
-    "j18_drift": f"""WITH d AS (SELECT doc_id, CAST(doc_id AS VARCHAR) AS path, sha256({TEXT}) AS h FROM documents), o AS (SELECT * FROM d WHERE doc_id % 7 <> 0), n AS (SELECT path, CASE WHEN doc_id % 13 = 0 THEN sha256(h) ELSE h END AS h FROM d WHERE doc_id % 11 <> 0)
+    "j18_drift": f"""WITH x AS (SELECT CAST(doc_id AS VARCHAR) AS path, sha256({TEXT}) AS h, coalesce(lang, '') AS lang FROM documents), o AS (SELECT * FROM x WHERE lang <> 'fr'), n AS (SELECT path, CASE WHEN lang = 'de' THEN sha256(h) ELSE h END AS h FROM x WHERE lang <> 'es')
 SELECT coalesce(o.path, n.path) AS path, CASE WHEN n.path IS NULL THEN 'removed' WHEN o.path IS NULL THEN 'added' WHEN o.h = n.h THEN 'unchanged' ELSE 'changed' END AS status FROM o FULL JOIN n ON o.path = n.path""",
     "u3_partition_proof": _with(LEDGER) + "SELECT * FROM faults",
     "j26_terminal_outcomes": _with(LEDGER) + "SELECT o_orderstatus, count(*) FILTER (part = 'kept') AS kept, count(*) FILTER (part = 'gone') AS gone, count(*) FILTER (n > 1) AS in_several FROM m JOIN mn USING (id) GROUP BY o_orderstatus",
     "j22_coverage": "SELECT o_orderkey AS path, o_orderkey % 7 + 1 AS declared, coalesce(n, 0) AS found FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey WHERE o_orderkey % 7 + 1 <> coalesce(n, 0)",
-    "w4_contiguity": """WITH s AS (SELECT l_orderkey AS path, l_linenumber AS f FROM lineitem WHERE l_linenumber <> 3), b AS (SELECT path, f, lag(f, 1, 0) OVER (PARTITION BY path ORDER BY f) AS before FROM s),
-e AS (SELECT path, max(f) AS last FROM s GROUP BY path)
+    "w4_contiguity": """WITH s AS (SELECT l_orderkey AS path, 2 * l_linenumber - 1 AS f, 2 * l_linenumber + CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN -1 ELSE 0 END AS l FROM lineitem), b AS (SELECT path, f, lag(l, 1, 0) OVER (PARTITION BY path ORDER BY f, l) AS before FROM s),
+e AS (SELECT path, max(l) AS last FROM s GROUP BY path)
 SELECT DISTINCT path, CASE WHEN before = 0 THEN 'bad_start' WHEN f > before + 1 THEN 'gap' ELSE 'overlap' END AS fault FROM b WHERE f <> before + 1
-UNION ALL SELECT coalesce(path, o_orderkey), CASE WHEN o_orderkey IS NULL THEN 'no_file' WHEN last IS NULL THEN 'no_ranges' ELSE 'bad_end' END FROM e FULL JOIN orders ON path = o_orderkey WHERE last IS NULL OR o_orderkey IS NULL OR last <> 4""",
+UNION ALL SELECT coalesce(path, o_orderkey), CASE WHEN o_orderkey IS NULL THEN 'no_file' WHEN last IS NULL THEN 'no_ranges' ELSE 'bad_end' END FROM e FULL JOIN orders ON path = o_orderkey WHERE last IS NULL OR o_orderkey IS NULL OR last <> 8""",
     "j3_paired_evidence": "SELECT CASE WHEN l.doc_id IS NULL THEN 'left_only' WHEN d.doc_id IS NULL THEN 'right_only' WHEN d.n_chars = l.quality * 1000 THEN 'equal' ELSE 'different' END AS outcome, count(*) AS n FROM documents d FULL JOIN labels l ON l.doc_id = d.doc_id GROUP BY 1",
     "a22_gates": _with(LEDGER) + "SELECT 'partition_is_exact' AS gate, count(*) = 0 AS passed, count(*) AS faults FROM faults UNION ALL SELECT 'no_negative_price', count(*) = 0, count(*) FROM orders WHERE o_totalprice < 0",
     "a10_failure_gate": "SELECT count(*) AS entered, count(*) FILTER (quality = 1) AS passed, round((count(*) - count(*) FILTER (quality = 1)) / count(*), 6) AS rate, (count(*) - count(*) FILTER (quality = 1)) / count(*) > 0.01 AS blocked FROM labels",
@@ -140,10 +160,82 @@ UNION ALL SELECT coalesce(path, o_orderkey), CASE WHEN o_orderkey IS NULL THEN '
 o AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY c ORDER BY stratum, id) = 1), t AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY rank, id) AS round FROM o)
 SELECT id, stratum, CAST(round AS INTEGER) AS round FROM t ORDER BY t.round, stratum LIMIT 60""",
     "a19_volume_estimate": f"SELECT count(*) AS examples, CAST(sum(length({TEXT})) AS BIGINT) AS characters, CAST(sum(octet_length(encode({TEXT}))) AS BIGINT) AS bytes, CAST((sum(length({TEXT})) + 3) // 4 + count(*) * 1500 AS BIGINT) AS estimated_tokens FROM conversations",
-    "a20_agreement": "SELECT count(*) AS gold, count(r.d) AS reviewed, count(*) FILTER (g.d = r.d) AS matches, round(count(*) FILTER (g.d = r.d) / count(*), 6) AS agreement, count(r.d) = count(*) AND count(*) FILTER (g.d = r.d) / count(*) >= 0.9 AS passed FROM (SELECT doc_id, CAST(quality AS VARCHAR) AS d FROM labels WHERE toxic = 0) g LEFT JOIN (SELECT doc_id, CASE WHEN length(text) > 100 THEN '1' ELSE '0' END AS d FROM documents WHERE doc_id % 10 <> 3) r USING (doc_id)",
+    "a20_agreement": "SELECT count(*) AS gold, count(r.d) AS reviewed, count(*) FILTER (g.d = r.d) AS matches, round(count(*) FILTER (g.d = r.d) / count(*), 6) AS agreement, count(r.d) = count(*) AND count(*) FILTER (g.d = r.d) / count(*) >= 0.9 AS passed FROM (SELECT doc_id, CAST(quality AS VARCHAR) AS d FROM labels WHERE toxic = 0) g LEFT JOIN (SELECT doc_id, CASE WHEN length(text) > 100 THEN '1' ELSE '0' END AS d FROM documents WHERE lang <> 'es') r USING (doc_id)",
     "p10_rule_cascade": _with(CASCADE) + "SELECT doc_id, status, reason, CASE WHEN prompt IS NOT NULL THEN sha256(prompt) END AS prompt_sha256, answer, group_id FROM z",
     "p13_validation_issues": _with(ISSUES) + "SELECT doc_id, array_to_string(issues, ';') AS issues FROM i",
     "a9_issue_histogram": _with(ISSUES) + "SELECT issue, count(*) AS n FROM (SELECT unnest(issues) AS issue FROM i) GROUP BY issue",
+    "j23_record_faults": """WITH g AS (SELECT CAST(o_custkey AS VARCHAR) AS source, o_orderkey AS line, CASE o_orderstatus WHEN 'F' THEN 'accepted' WHEN 'O' THEN 'rejected' ELSE 'malformed' END AS status, o_orderpriority AS reason, 'c' || o_orderkey AS id, sha256(o_orderpriority) AS h FROM orders),
+c AS (SELECT id, source, line, CASE WHEN reason = '2-HIGH' THEN 'other' ELSE h END AS h FROM g WHERE (status = 'accepted' AND reason <> '3-MEDIUM') OR (status = 'rejected' AND reason = '1-URGENT')),
+r AS (SELECT source, line, status, CASE WHEN reason = '2-HIGH' THEN 'x' ELSE reason END AS reason, h FROM g WHERE (status <> 'accepted' AND reason <> '5-LOW') OR (status = 'accepted' AND reason = '4-NOT SPECIFIED'))
+SELECT 'accepted_record_candidate_mismatch' AS fault, g.source, g.line, NULL AS id FROM g LEFT JOIN c ON g.id = c.id WHERE g.status = 'accepted' AND (c.id IS NULL OR c.source <> g.source OR c.line <> g.line OR c.h <> g.h)
+UNION ALL SELECT 'candidate_without_accepted_source_record', NULL, NULL, c.id FROM c LEFT JOIN g ON g.id = c.id WHERE g.id IS NULL OR g.status <> 'accepted' OR c.source <> g.source OR c.line <> g.line OR c.h <> g.h
+UNION ALL SELECT 'rejected_record_artifact_mismatch', g.source, g.line, NULL FROM g LEFT JOIN r ON g.source = r.source AND g.line = r.line WHERE g.status <> 'accepted' AND (r.source IS NULL OR g.status <> r.status OR g.reason <> r.reason OR g.h <> r.h)
+UNION ALL SELECT 'foreign_generation_rejection', r.source, r.line, NULL FROM r LEFT JOIN g ON g.source = r.source AND g.line = r.line WHERE g.source IS NULL OR g.status = 'accepted'""",
+    "j24_decision_faults": """WITH p AS (SELECT p_partkey AS id, p_brand AS b, p_type AS t, p_size AS s FROM part), c AS (SELECT id FROM p WHERE s < 50),
+d AS (SELECT id, CASE WHEN s > 25 THEN 'accepted' WHEN s > 5 THEN 'quarantined' ELSE 'lost' END AS status, CASE WHEN s > 40 THEN '[]' ELSE t END AS reasons, b <> 'Brand#12' AS content FROM p WHERE b <> 'Brand#11'),
+m AS (SELECT id, CASE WHEN s > 20 THEN 'validated' ELSE 'quarantine' END AS stage, CASE WHEN b = 'Brand#13' THEN 'other' ELSE t END AS reason FROM p)
+SELECT 'candidate_validation_decision_missing' AS fault, id FROM c WHERE id NOT IN (SELECT id FROM d) UNION ALL SELECT 'foreign_validation_decision', id FROM d WHERE id NOT IN (SELECT id FROM c)
+UNION ALL SELECT 'validation_decision_outcome_mismatch', d.id FROM d LEFT JOIN m ON m.id = d.id AND m.stage = CASE d.status WHEN 'accepted' THEN 'validated' WHEN 'quarantined' THEN 'quarantine' ELSE '' END
+  WHERE m.id IS NULL OR (d.status = 'accepted' AND (NOT d.content OR d.reasons <> '[]')) OR (d.status = 'quarantined' AND d.reasons <> m.reason)""",
+    "j25_missing_keepers": "SELECT l_orderkey || '-' || l_linenumber AS id, l_partkey AS keeper_id FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 25)",
+    "j29_lineage_faults": "SELECT l_orderkey || '-' || l_linenumber AS id FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL OR o_orderstatus <> l_linestatus OR l_linenumber NOT BETWEEN 1 AND 4",
+    "a21_flow_equations": """WITH c AS (SELECT count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS r, count(*) FILTER (l_returnflag = 'A') AS a, count(*) FILTER (l_returnflag = 'N') AS u, count(*) FILTER (l_linestatus = 'F') AS f, count(*) FILTER (l_linestatus = 'O') AS o FROM lineitem)
+SELECT * FROM (SELECT 'by_status' AS equation, n AS whole, f + o AS parts FROM c UNION ALL SELECT 'by_flag', n, r + a + u FROM c UNION ALL SELECT 'returned', n, r + a FROM c) WHERE whole <> parts""",
+    "a22_release_gates": _with(RECORDS, PAIRS, GROUPS, HITS, """leaks AS (SELECT (SELECT count(*) FROM pairs p JOIN assigned a ON a.id = left_id JOIN assigned b ON b.id = right_id WHERE a.split <> b.split) AS pairs, (SELECT count(*) FROM (SELECT group_id FROM assigned GROUP BY group_id HAVING count(DISTINCT split) > 1)) AS torn),
+found AS (SELECT (SELECT count(*) FROM documents WHERE lang IS NULL) AS part, (SELECT count(*) FROM r) - (SELECT count(DISTINCT h) FROM r) AS copies, (SELECT CAST(pairs > 0 AS BIGINT) + CAST(torn > 0 AS BIGINT) FROM leaks) AS leaks, (SELECT count(DISTINCT doc_id) FROM hits) AS hit),
+named(position, gate, reason) AS (VALUES (1, 'file_coverage', NULL), (2, 'identified_record_accounting', NULL), (3, 'complete_semantic_record_coverage', NULL), (4, 'canonical_schema', NULL), (5, 'deterministic_validation', NULL),
+  (6, 'all_api_reviews_accepted', 'API_disabled_no_final_review_set'), (7, 'verified_licenses', 'Final_release_license_audit_and_legal_approval_pending'), (8, 'sensitive_data', 'Final_privacy_assessment_and_independent_review_pending'),
+  (9, 'exact_deduplication', NULL), (10, 'split_leakage', NULL), (11, 'benchmark_contamination', NULL), (12, 'source_hashes_unchanged', NULL), (13, 'scoped_source_hashes_unchanged', NULL), (14, 'counts_reconciled', NULL), (15, 'release_auditor', 'Pre_API_audit_only;required_release_gates_unresolved')),
+gated AS (SELECT named.*, CASE WHEN reason IS NOT NULL THEN 0 ELSE part + CASE gate WHEN 'exact_deduplication' THEN copies WHEN 'split_leakage' THEN leaks WHEN 'benchmark_contamination' THEN hit ELSE 0 END END AS faults FROM named, found)""")
+    + "SELECT position, gate, reason IS NULL AND faults = 0 AS passed, reason, CAST(faults AS BIGINT) AS faults FROM gated",
+    "a5_language_screen": rf"""WITH d AS (SELECT source, {TEXT} AS t, coalesce(lang, '') || coalesce(source, '') AS x, {FLAGS} FROM documents), p AS (SELECT *, substr(t, 1, 4096) || CASE WHEN length(t) > 4096 THEN right(t, 4096) ELSE '' END || x AS probe FROM d),
+l AS (SELECT *, length(regexp_replace(probe, '[^\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(probe, '[^\x{{370}}-\x{{3ff}}\x{{1f00}}-\x{{1fff}}]', '', 'g')) AS greek FROM p)
+SELECT source, count(*) AS records, count(*) AS objects, count(*) FILTER (letters > 0 AND greek / letters >= 0.5) AS greek_screen_positive_records, count(*) FILTER (letters > 0 AND greek / letters < 0.5) AS greek_screen_negative_records, count(*) FILTER (letters = 0) AS language_unknown_records,
+  count(*) FILTER (email OR greek_phone OR iban OR secret) AS flagged_records FROM l GROUP BY source""",
     "m6_canonical_messages": """WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM conversations)
 SELECT conv_id, count(*) AS n_turns, string_agg(role, ',' ORDER BY i) AS roles, CASE WHEN bool_or(trim(text) = '') THEN 'empty_or_malformed_message' WHEN bool_or(turn <> i OR role <> CASE WHEN i % 2 = 0 THEN 'user' ELSE 'assistant' END) THEN 'invalid_message_roles_or_order' ELSE 'canonical' END AS status FROM t GROUP BY conv_id""",
 }
+
+
+# What the rules decide for the sample records, line by line: reason and answer.
+DECISIONS: dict[str, list[tuple[str | None, str | None]]] = {
+    "k1_shop_sentiment": [
+        (None, "θετική"), (None, "αρνητική"), ("unsupported_sentiment_label", None), ("missing_or_ambiguous_required_field", None), ("missing_or_ambiguous_required_field", None), ("malformed_json_or_encoding", None), ("contact_or_financial_identifier", None),
+        ("insufficient_greek_text", None), ("insufficient_nontrivial_review_context", None), ("source_annotation_label_leakage", None), ("missing_greek_accents_requires_review", None), ("whole_field_exceeds_limit_no_truncation", None),
+    ],
+    "k2_recipe_category": [(None, "Κυρίως Γεύμα"), ("unsupported_recipe_category", None), ("missing_or_ambiguous_required_field", None), ("missing_or_ambiguous_required_field", None), ("malformed_json_or_encoding", None)],
+    "k3_news_category": [(None, "Οικονομία"), ("article_id_url_mismatch_or_unknown_schema", None), ("unsupported_news_category", None), ("insufficient_nontrivial_article_context", None), ("source_annotation_label_leakage", None)],
+    "k4_learning_resource": [(None, '{"εκπαιδευτικές_βαθμίδες":["γυμνάσιο"],"θεματικές_περιοχές":["Μαθηματικά > Άλγεβρα"]}'), ("duplicate_annotation_label", None), ("unsupported_educational_level", None), ("missing_or_ambiguous_annotation_list", None), ("learning_object_identity_or_url_schema_unverified", None), ("invalid_or_non_greek_thematic_annotation", None)],
+    "k5_dictionary": [(None, "Η προφορά είναι [álfa]."), ("lemma_does_not_match_entry_headword", None), ("pronunciation_not_unambiguous_first_bracket", None), ("pronunciation_has_nonphonetic_content", None)],
+}
+POLICY = "license_unverified;privacy_review_unresolved"
+#: What is found against a candidate after each change.
+ISSUES_FOUND = {
+    "as made": POLICY, "answer": "answer_not_exactly_grounded;" + POLICY, "prompt": "contact_or_financial_identifier;license_unverified;privacy_review_unresolved;unsupported_or_changed_prompt", "roles": "invalid_message_roles_or_order",
+    "id": POLICY + ";unstable_or_incorrect_candidate_id", "domain": "license_unverified;metadata_evidence_mismatch:domain;privacy_review_unresolved",
+    "line": "invalid_source_line;license_unverified;privacy_review_unresolved;source_evidence_invalid:missing;source_lineage_mismatch;unstable_or_incorrect_candidate_id", "status": "license_unverified;privacy_review_unresolved;raw_review_status_must_be_pending",
+}
+
+
+def _text(value: str | None) -> str:
+    return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
+
+
+def _decisions(name: str) -> str:
+    """The decisions as rows; an accepted record's prompt is its template with the stripped fields filled in."""
+    family = samples.ADAPTERS[name]
+    rows = []
+    for k, ((reason, answer), record) in enumerate(zip(DECISIONS[name], samples.RECORDS[family], strict=True), 1):
+        filled = None
+        if reason is None:
+            filled = adapters.TEMPLATES[adapters.BY_FAMILY[family].task]
+            for field, value in record.items():
+                if isinstance(value, str):
+                    filled = filled.replace("{" + field + "}", value.strip())
+        status = "accepted" if reason is None else "malformed" if reason.startswith("malformed") else "rejected"
+        rows.append(f"({k}, {_text(status)}, {_text(reason)}, {_text(answer)}, {_text(filled)})")
+    return "SELECT CAST(source_line AS BIGINT) AS source_line, status, reason, answer, sha256(prompt) AS prompt_sha256 FROM (VALUES " + ", ".join(rows) + ") t(source_line, status, reason, answer, prompt)"
+
+
+ORACLES |= {name: _decisions(name) for name in DECISIONS}
+ORACLES["p13_candidate_issues"] = "SELECT * FROM (VALUES " + ", ".join(f"({_text(k)}, {_text(v)}, 'quarantined')" for k, v in ISSUES_FOUND.items()) + ") t(change, issues, status)"
