@@ -122,7 +122,8 @@ def test_raw_lines_keep_terminators_and_damage(spark, tmp_path):
     assert files.json_documents(spark, f"file://{tmp_path}").first()["json_array_elements"] == 2
     assert files.frame_fault(whole) is None and all(files.frame_fault(whole[:i]) for i in range(0, 17))
     assert files.frame_fault((0x184D2A50).to_bytes(4, "little") + (3).to_bytes(4, "little") + b"abc") is None
-    assert files.compression(files.hashed(spark, f"file://{tmp_path}")).first()["fault"] is None
+    assert files.compression(spark, f"file://{tmp_path}").first()["fault"] is None
+    assert files.frame_fault(whole[:4] + bytes([0x20, 5]) + (200_000 << 3 | 1).to_bytes(3, "little") + b"x" * 200_000) == "zstandard_block_exceeds_format_maximum"
 
 
 def test_incremental_ingestion_reads_each_file_once(spark, tmp_path):
@@ -193,3 +194,40 @@ def test_gates_and_revisions(spark):
     assert not any(r["passed"] for r in audit.release_gates(spark, {"a": bad}, {}).collect())
     row = spark.range(1).select(F.struct(F.lit("p").alias("split"), F.lit(1).alias("n")).alias("metadata"))
     assert row.select(audit.with_fields("metadata", split=F.lit("train")).alias("m")).first()["m"]["split"] == "train"
+
+
+def test_large_files_are_streams_and_changed_files_raise(spark, tmp_path):
+    import hashlib
+
+    line = b'{"a":"' + b"y" * 999 + b'"}\n'
+    (tmp_path / "in put").mkdir()
+    (tmp_path / "in put/big.jsonl").write_bytes(line * 12_000 + b"{")
+    (tmp_path / "in put/b.bin").write_bytes(b"\x00")
+    root = f"file://{tmp_path}"
+    got = files.lines(spark, root).groupBy("status").count().collect()
+    assert {r["status"]: r["count"] for r in got} == {"license_blocked": 12_000, "malformed": 1}
+    now = files.hashed(spark, root)
+    seen = {r["relative_path"]: (r["size_bytes"], r["sha256"]) for r in now.collect()}
+    assert seen["in put/big.jsonl"] == (len(line) * 12_000 + 1, hashlib.sha256(line * 12_000 + b"{").hexdigest()) and seen["in put/b.bin"][0] == 1
+    before = spark.createDataFrame([("in put/b.bin", 1, seen["in put/b.bin"][1])], "relative_path string, size_bytes long, sha256 string")
+    assert [r["relative_path"] for r in files.new_files(now, before).collect()] == ["in put/big.jsonl"]
+    with pytest.raises(ValueError, match="changed"):
+        files.new_files(now, before.withColumn("sha256", F.lit("0")))
+
+
+def test_tables_need_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from textquarry import storage
+
+    class Context:
+        master, applicationId = "yarn", "a"
+
+    class Conf:
+        get = staticmethod(lambda k, d=None: d)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(Session)
+    path = storage.written(spark.range(3), "some")._written_path
+    assert spark.sparkContext.applicationId in path and spark.read.parquet(path).count() == 3

@@ -54,5 +54,5 @@ def frozen(settings: dict, expected: str | None = None) -> str:
 def fingerprint(df: DataFrame) -> dict:
     """Rows and an order-free content hash of a table, for manifests and reuse."""
     h = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]) if df.columns else F.lit(0)
-    rows, low, high = df.agg(F.count(F.lit(1)), F.sum(h.bitwiseAND(F.lit((1 << 31) - 1))), F.sum(F.shiftrightunsigned(h, 33))).first()
-    return {"rows": rows, "content": digest([rows, low, high]), "columns": sorted(df.dtypes)}
+    rows, total = df.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)"))).first()
+    return {"rows": rows, "content": digest([rows, str(total)]), "columns": sorted(df.dtypes)}

@@ -1,16 +1,20 @@
 """Files as tables: scan, raw lines with exact bytes, whole JSON documents, Zstandard integrity.
 
 Raw lines keep what Spark's text source drops: the terminator, invalid UTF-8 and
-the line number.  A file is one task's work, read in blocks; a line longer than
-the limit is hashed completely but not kept.
+the line number.  A task opens a file by its path and reads it as a stream, block
+by block: neither the file nor a line longer than the limit, which is hashed
+completely but not kept, is ever held as a whole.
 """
 
 from __future__ import annotations
 
 import codecs
 import hashlib
+import io
 import json
-from collections.abc import Iterator
+import re
+import urllib.parse
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,21 +26,81 @@ MAX_LINE, MAX_DOCUMENT = 33_554_432, 67_108_864
 
 
 def scan(spark: SparkSession, root: str) -> DataFrame:
-    """``path, relative_path, size_bytes, modified`` of all regular files below a root, without their content."""
+    """``path, relative_path, size_bytes, modified`` of all files below a root but empty ones, which Spark's file sources leave out; their content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"))
-    base = root.rstrip("/").split("://")[-1]
-    return files.withColumn("relative_path", F.regexp_replace("path", "^.*?" + _quoted(base) + "/", ""))
+    return files.withColumn("relative_path", _relative(root))
+
+
+def _relative(root: str) -> Column:
+    return F.regexp_replace("path", "^.*?" + _quoted(root.rstrip("/").split("://")[-1]) + "/", "").alias("relative_path")
 
 
 def _quoted(text: str) -> str:
     return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"
 
 
+def opened(path: str):
+    """A file as a binary stream: ``file:``, ``hdfs://`` and S3 paths, by Hadoop's or other names."""
+    from pyarrow import fs
+
+    uri = re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/+", "file:///", path))
+    store, at = fs.FileSystem.from_uri(urllib.parse.quote(uri, safe="/:%") if uri.startswith("file:") else uri)
+    return store.open_input_stream(at, compression=None)
+
+
+def _blocks_of(path: str) -> Iterator[bytes]:
+    with opened(path) as f:
+        while block := f.read(BLOCK):
+            yield block
+
+
+def _each(files: DataFrame, rows_of: Callable[[str, str], Iterator[tuple]], schema: str) -> DataFrame:
+    """Rows for every file: ``rows_of(path, relative_path)``, one file after another within a task, files dealt over tasks."""
+    names, kinds = [x.split()[0] for x in schema.split(", ")], [KINDS[x.split()[1]] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, relative in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out, size = [], 0
+                for row in rows_of(path, relative):
+                    out.append(row)
+                    size += sum(len(x) for x in row if isinstance(x, bytes))
+                    if len(out) == 1000 or size > BLOCK:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+                        out, size = [], 0
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    tasks = files.sparkSession.sparkContext.defaultParallelism
+    return files.select("path", "relative_path").repartition(4 * tasks, "path").mapInArrow(run, schema)
+
+
+KINDS = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+HASHED = "relative_path string, size_bytes long, sha256 string, head binary"
+
+
 def hashed(spark: SparkSession, root: str) -> DataFrame:
-    """The scan with each file's SHA-256 and first bytes; files are read by Spark in its own tasks."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    base = root.rstrip("/").split("://")[-1]
-    return files.select(F.regexp_replace("path", "^.*?" + _quoted(base) + "/", "").alias("relative_path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"), F.substring("content", 1, 4).alias("head"), F.col("content"))
+    """Each file's size, SHA-256 and first four bytes, from one read."""
+
+    def rows(path: str, relative: str) -> Iterator[tuple]:
+        digest, size, head = hashlib.sha256(), 0, b""
+        for block in _blocks_of(path):
+            head = head or block[:4]
+            digest.update(block)
+            size += len(block)
+        yield relative, size, digest.hexdigest(), head
+
+    return _each(scan(spark, root), rows, HASHED)
+
+
+def new_files(now: DataFrame, before: DataFrame) -> DataFrame:
+    """The files of a scan (``relative_path, size_bytes, sha256``) that an earlier one lacks; raises if one of both is not what it was."""
+    old = before.select("relative_path", F.col("size_bytes").alias("__size"), F.col("sha256").alias("__sha"))
+    both = now.join(old, "relative_path", "left")
+    other = both.where("__sha is not null and (__sha <> sha256 or __size <> size_bytes)").select("relative_path").limit(1).collect()
+    if other:
+        raise ValueError(f"source changed since it was read: {other[0]['relative_path']}")
+    return both.where("__sha is null").select(*now.columns)
 
 
 def encoding(head: Column) -> Column:
@@ -101,15 +165,15 @@ def judged(raw: bytes | None, number: int, strip_mark: bool = True) -> tuple[str
     return "license_blocked", "license_not_verified_for_sft_redistribution"
 
 
-def _blocks(content: bytes, compressed: bool) -> Iterator[bytes]:
-    if not compressed:
-        yield from (content[i : i + BLOCK] for i in range(0, len(content), BLOCK))
-        return
-    import zstandard
+def _lines_of(path: str, compressed: bool, most: int) -> Iterator[tuple[int, str, bytes | None]]:
+    with opened(path) as f:
+        if not compressed:
+            yield from split_lines(iter(lambda: f.read(BLOCK), b""), most)
+            return
+        import zstandard
 
-    with zstandard.ZstdDecompressor().stream_reader(content, read_across_frames=True) as reader:
-        while block := reader.read(BLOCK):
-            yield block
+        with zstandard.ZstdDecompressor().stream_reader(f, read_across_frames=True) as reader:
+            yield from split_lines(iter(lambda: reader.read(BLOCK), b""), most)
 
 
 def lines(spark: SparkSession, root: str, *, most: int = MAX_LINE) -> DataFrame:
@@ -119,34 +183,23 @@ def lines(spark: SparkSession, root: str, *, most: int = MAX_LINE) -> DataFrame:
     ``processing_error`` row.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                out, data = [], content.as_py()
-                number = 0
-                try:
-                    for number, sha, raw in split_lines(_blocks(data, path.endswith(".zst")), most):
-                        out.append((path, number, sha, raw, *judged(raw, number)))
-                        if len(out) == 1000:
-                            yield _batch(out)
-                            out = []
-                except Exception as error:  # noqa: BLE001  the decoder's own kinds of error
-                    out.append((path, number + 1, None, None, "processing_error", type(error).__name__))
-                if out:
-                    yield _batch(out)
-
-    files = hashed(spark, root).where(F.col("relative_path").rlike(r"\.q?jsonl(\.zst)?$"))
-    return files.select("relative_path", "content").mapInArrow(run, LINES)
+    def rows(path: str, relative: str) -> Iterator[tuple]:
+        number = 0
+        try:
+            for number, sha, raw in _lines_of(path, relative.endswith(".zst"), most):
+                yield relative, number, sha, raw, *judged(raw, number)
+        except Exception as error:  # noqa: BLE001  the decoder's own kinds of error
+            yield relative, number + 1, None, None, "processing_error", type(error).__name__
 
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in LINES.split(", ")])
+    return _each(scan(spark, root).where(F.col("relative_path").rlike(r"\.q?jsonl(\.zst)?$")), rows, LINES)
 
 
 def json_documents(spark: SparkSession, root: str, *, most: int = MAX_DOCUMENT) -> DataFrame:
     """Whole-file JSON documents: status, reason and the length of a top-level array."""
-    files = hashed(spark, root).where(form(F.col("relative_path")) == "json_document")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    # larger files than are parsed are not read, only hashed
+    files = files.select(_relative(root), F.col("length").alias("size_bytes"), F.when(F.col("length") <= most, F.col("content")).alias("content")).where(form(F.col("relative_path")) == "json_document")
+    files = files.join(hashed(spark, root).select("relative_path", "sha256"), "relative_path")
     text = F.when(F.col("size_bytes") <= most, F.try_validate_utf8(F.col("content").cast("string")))
     value = F.try_parse_json(text)
     status = F.when(F.col("size_bytes") > most, "quarantined").when(value.isNull(), "malformed").otherwise("license_blocked")
@@ -154,64 +207,86 @@ def json_documents(spark: SparkSession, root: str, *, most: int = MAX_DOCUMENT)
     return files.select("relative_path", "size_bytes", "sha256", status.alias("status"), reason.alias("reason"), F.json_array_length(text).alias("json_array_elements"))
 
 
-def frame_fault(data: bytes) -> str | None:
-    """Why bytes are no whole sequence of Zstandard frames; None if they are.
+#: Bytes of a Zstandard block at most (a fixed value of the format).
+MAX_BLOCK = 131_072
+
+
+def frame_fault(source) -> str | None:
+    """Why a stream (or bytes) is no whole sequence of Zstandard frames; None if it is.
 
     Walks headers only: magic number, descriptor, window, dictionary and size
     fields, blocks by their lengths, checksum; skippable frames by theirs.
     """
-    at, n = 0, len(data)
-    if not n:
-        return "zstandard_empty"
-    while at < n:
-        if n - at < 4:
+    stream = io.BytesIO(source) if isinstance(source, bytes) else source
+
+    def take(n: int) -> bytes | None:
+        data = stream.read(n)
+        while 0 < len(data) < n and (more := stream.read(n - len(data))):
+            data += more
+        return data if len(data) == n else None
+
+    def skips(n: int) -> bool:
+        while n:
+            data = stream.read(min(n, BLOCK))
+            if not data:
+                return False
+            n -= len(data)
+        return True
+
+    first = True
+    while True:
+        start = stream.read(1)
+        if not start:
+            return "zstandard_empty" if first else None
+        first, rest = False, take(3)
+        if rest is None:
             return "zstandard_truncated_magic"
-        magic = int.from_bytes(data[at : at + 4], "little")
-        at += 4
+        magic = int.from_bytes(start + rest, "little")
         if magic >> 4 == 0x184D2A5:
-            if n - at < 4:
+            size = take(4)
+            if size is None:
                 return "zstandard_truncated_skippable_size"
-            at += 4 + int.from_bytes(data[at : at + 4], "little")
-            if at > n:
+            if not skips(int.from_bytes(size, "little")):
                 return "zstandard_truncated_skippable"
             continue
         if magic != 0xFD2FB528:
             return "zstandard_bad_magic"
-        if at >= n:
+        head = take(1)
+        if head is None:
             return "zstandard_truncated_descriptor"
-        descriptor = data[at]
+        descriptor = head[0]
         single, checksum = descriptor >> 5 & 1, descriptor >> 2 & 1
         if descriptor >> 3 & 1:
             return "zstandard_reserved_bit"
-        size_field = (single, 2, 4, 8)[descriptor >> 6]
-        at += 1 + (not single) + (0, 1, 2, 4)[descriptor & 3] + size_field
-        if at > n:
+        if not skips((not single) + (0, 1, 2, 4)[descriptor & 3] + (single, 2, 4, 8)[descriptor >> 6]):
             return "zstandard_truncated_header"
         last = False
         while not last:
-            if n - at < 3:
+            block = take(3)
+            if block is None:
                 return "zstandard_truncated_block_header"
-            head = int.from_bytes(data[at : at + 3], "little")
-            last, kind, size = bool(head & 1), head >> 1 & 3, head >> 3
+            number = int.from_bytes(block, "little")
+            last, kind, size = bool(number & 1), number >> 1 & 3, number >> 3
             if kind == 3:
                 return "zstandard_reserved_block"
-            at += 3 + (1 if kind == 1 else size)
-            if at > n:
+            if size > MAX_BLOCK:
+                return "zstandard_block_exceeds_format_maximum"
+            if not skips(1 if kind == 1 else size):
                 return "zstandard_truncated_block"
-        at += 4 * checksum
-        if at > n:
+        if not skips(4 * checksum):
             return "zstandard_truncated_checksum"
-    return None
 
 
-def compression(files: DataFrame) -> DataFrame:
-    """``relative_path, fault`` of the Zstandard files of :func:`hashed`."""
+def compression(spark: SparkSession, root: str) -> DataFrame:
+    """``relative_path, fault`` of the Zstandard files below a root: those that say so by name or by their first bytes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([frame_fault(x.as_py()) for x in batch.column(1)], pa.string())], names=["relative_path", "fault"])
+    def rows(path: str, relative: str) -> Iterator[tuple]:
+        with opened(path) as f:
+            yield relative, frame_fault(f)
 
-    return files.where(F.col("relative_path").endswith(".zst")).select("relative_path", "content").mapInArrow(run, "relative_path string, fault string")
+    named = scan(spark, root)
+    marked = hashed(spark, root).where(is_zstandard(F.col("head")) | F.col("relative_path").endswith(".zst")).select("relative_path")
+    return _each(named.join(marked, "relative_path", "left_semi"), rows, "relative_path string, fault string")
 
 
 def write_splits(rows: DataFrame, folder: str) -> None:

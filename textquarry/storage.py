@@ -2,8 +2,10 @@
 
 Lineage is cut by writing a table to the folder that the session names in
 ``spark.checkpoint.dir``; every executor and the driver see that folder, so a
-table outlives any executor.  Where the setting is missing (tests, a laptop) a
-folder of this process stands in.
+table outlives any executor.  Where the setting is missing and Spark runs in this
+process alone (tests, a laptop), a folder of this process stands in; on a cluster
+it must be set.  Tables lie in a folder of the application and stay until
+:func:`forget` or :func:`clear` deletes them: a plan may read them at any time.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The shared folder's URI, without a trailing slash."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors and the driver share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="textquarry-"))
             atexit.register(shutil.rmtree, _own[0], True)
@@ -31,7 +35,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/textquarry/{label}-{uuid.uuid4().hex}"
+    return f"{_application(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/textquarry/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all tables and archives that this application has written here; for the end of a job, when no plan reads them any more."""
+    remove(spark, _application(spark))
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -25,12 +25,22 @@ def ingest(spark: SparkSession, source: str, target: str, journal: str, *, files
         reader = reader.schema(schema)
     rows = reader.load(source).withColumn("path", F.col("_metadata.file_path"))
     rows = transform(rows) if transform else outcomes(rows)
+    before = _commits(spark, journal)
     query = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", journal).trigger(availableNow=True).start()
     try:
         query.awaitTermination()
     finally:
         query.stop()
-    return len(query.recentProgress)
+    return _commits(spark, journal) - before
+
+
+def _commits(spark: SparkSession, journal: str) -> int:
+    """How many micro-batches the journal's log has."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{journal}/commits")  # noqa: SLF001
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    names = [f.getPath().getName() for f in store.listStatus(at)] if store.exists(at) else []
+    numbers = [int(n) for n in names if n.isdigit()]
+    return max(numbers, default=-1) + 1
 
 
 def outcomes(rows: DataFrame) -> DataFrame:
