@@ -2,7 +2,9 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a table that is written
 as Parquet before the next stage reads it.  All but the last return the columns
-of ``documents``.  An empty table passes through all stages.
+of ``documents``, whatever these are called.  An empty table passes through all
+stages.  Rows without text are rejected by the first stage; null ids pass, equal
+rows are one near copy, so one of them stays; long texts are read whole.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textquarry.llm import mixing, ngram_join, packing, pii, quality
-from textquarry.storage import written
+from textquarry.storage import forget, written
 
 #: Words of a shingle and similarity in percent for near copies.
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -61,7 +63,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = written(docs, "stage")
+            forget(before)  # the tables of the stages, not the input
     return docs
