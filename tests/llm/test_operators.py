@@ -174,6 +174,39 @@ def test_quality_rejects_junk_and_keeps_clean(spark):
     assert quality.score(docs(spark, [])).count() == 0 and quality.keep_good(odd.withColumn("score", F.lit(1))).columns[-1] == "score"
 
 
+def test_quality_of_awkward_rows(spark):
+    long = "A calm sentence about harbours, and another one on the weather of the coast. " * 3000
+    rows = [(None, "same text in all of these rows, with a full stop.", "s")] * 300 + [(1, long, "s"), (2, "\t\n \u2003", "s"), (3, "!!! ### %%%% !!!! @@@ ###", "s"), (3, "!!! ### %%%% !!!! @@@ ###", "s")]
+    df = docs(spark, rows).withColumns({c: F.lit(c) for c in ("score", "keep", "votes", "draw", "x")})
+    model = quality.fit(df, sample=10)
+    assert model["w"].shape == (quality.DIMENSIONS,)
+    got = quality.score(df, sample=10).collect()
+    assert len(got) == len(rows) and len({r["score"] for r in got if r["doc_id"] is None}) == 1 and len({r["score"] for r in got if r["doc_id"] == 3}) == 1
+    for r, t in ((next(r for r in got if r["doc_id"] == 1), long), (next(r for r in got if r["doc_id"] == 2), "\t")):
+        assert r["score"] == pytest.approx(quality.probability(t, model["w"], model["b"], model["good"])) and r["keep"] == (r["score"] >= 0.5)
+    at = next(r["score"] for r in got if r["doc_id"] is None)
+    assert quality.keep_good(df, keep_from=at, sample=10).where("doc_id is null").count() == 300
+
+
+def test_em_matches_brute_force():
+    rng = random.Random(3)
+    rows = ["".join(rng.choice("0012") for _ in quality.LABELLERS) for _ in range(80)]
+    good, like = 0.8, [[[0.4, 0.6]] * 7, [[0.02, 0.98]] * 7]
+    for _ in range(60):  # row by row instead of by pattern
+        post = []
+        for r in rows:
+            p = [(1 - good), good]
+            for c in (0, 1):
+                for k, v in enumerate(r):
+                    p[c] *= like[c][k][int(v)] if v != "2" else 1.0
+            post.append(p[1] / sum(p))
+        share = lambda c, i: post[i] if c else 1 - post[i]  # noqa: B023, E731
+        like = [[[(0.5 + sum(share(c, i) for i, r in enumerate(rows) if r[k] == v)) / (1.0 + sum(share(c, i) for i, r in enumerate(rows) if r[k] != "2")) for v in "01"] for k in range(7)] for c in (0, 1)]
+        good = min(0.99, max(0.01, sum(post) / len(rows)))
+    found, accuracies, share_good = quality.estimate(Counter(rows))
+    assert share_good == pytest.approx(good) and [found[r] for r in rows] == pytest.approx(post) and np.allclose(accuracies, like)
+
+
 def test_em_finds_the_better_labeller():
     rng = random.Random(0)
     counts, truth = Counter(), Counter()
@@ -187,25 +220,37 @@ def test_em_finds_the_better_labeller():
     assert post["000"] < 0.05 and post["111"] > 0.95 and quality.estimate({})[0] == {}
 
 
-def test_backoff_scores_match_brute_force(spark):
-    rows = [(i, t, s) for i, t, s in awkward(random.Random(7), 25) if not t or len(t) < 1000] + [(90, "unseen", "s"), (91, "The the THE the", "s")]
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_scores_match_brute_force(spark, order):
+    rows = awkward(random.Random(7), 25) + [(90, "unseen", "s"), (91, "The the THE the", "s"), (92, "w1 w2 w3 w4 w5 w6", "s"), (93, "w1 w2 w3 w4 w9", "s")]
     sets = [[w.translate({c: c + 32 for c in range(65, 91)}) for w in words(t)] for _, t, _ in rows]
-    uni, bi, ctx = Counter(w for s in sets for w in s), Counter(p for s in sets for p in zip(s, s[1:])), Counter(w for s in sets for w in s[:-1])
-    total = sum(uni.values())
-    expected = []
-    for (i, _, _), s in zip(rows, sets):
-        u, b, c, v, alone = Counter(s), Counter(zip(s, s[1:])), Counter(s[:-1]), 0, 0
-        for k, w in enumerate(s):
-            if k and bi[s[k - 1], w] > b[s[k - 1], w]:
-                v += round(1e6 * (math.log(bi[s[k - 1], w] - b[s[k - 1], w]) - math.log(ctx[s[k - 1]] - c[s[k - 1]])))
-                continue
-            alone += 1
-            n = uni[w] - u[w]
-            v += round(1e6 * math.log(n)) if n else lm.LOG_ALPHA
-            v += lm.LOG_ALPHA if k else 0
+
+    def counted(s):
+        grams = [Counter(zip(*(s[j:] for j in range(k)))) for k in range(1, order + 1)]
+        return grams, [Counter(zip(*(s[j : len(s) - k + j] for j in range(k)))) for k in range(1, order)]
+
+    each = [counted(s) for s in sets]
+    every = [[sum((e[side][k] for e in each), Counter()) for k in range(order - side)] for side in (0, 1)]
+    total, expected = sum(map(len, sets)), []
+    for (i, _, _), s, own in zip(rows, sets, each):
+        left = lambda side, gram: every[side][len(gram) - 1][gram] - own[side][len(gram) - 1][gram]  # noqa: B023, E731
+        v = alone = 0
+        for at in range(len(s)):
+            penalty = 0
+            for k in range(min(order, at + 1), 1, -1):
+                gram = tuple(s[at - k + 1 : at + 1])
+                if left(0, gram) > 0:
+                    v += round(1e6 * (math.log(left(0, gram)) - math.log(left(1, gram[:-1])))) + penalty
+                    break
+                penalty += lm.LOG_ALPHA
+            else:
+                n = left(0, (s[at],))
+                alone += 1
+                v += (round(1e6 * math.log(n)) if n else lm.LOG_ALPHA) + penalty
         expected.append((i, len(s), alone, (v - alone * round(1e6 * math.log(max(1, total - len(s))))) / 1e6))
-    got = [(r["doc_id"], r["n_words"], r["n_backoff"], r["log_score"]) for r in lm.score(docs(spark, rows)).collect()]
-    assert sorted(map(str, got)) == sorted(map(str, expected)) and lm.score(docs(spark, [])).count() == 0
+    df = docs(spark, rows).withColumns({c: F.lit(c) for c in ("n_words", "part", "portion", "kind")})
+    got = [(r["doc_id"], r["n_words"], r["n_backoff"], r["log_score"]) for r in lm.score(df, order=order).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected)) and lm.score(docs(spark, []), order=order).count() == 0
 
 
 def vectors(spark, rng, n=300):
@@ -317,6 +362,48 @@ def test_archives_round_trip_and_histories(spark):
     assert {r["record_type"] for r in warc.capture_index(df, least_bytes=10**9).collect()} == {"response"}
 
 
+def test_runs_are_merged_in_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_BYTES", 3000)
+    monkeypatch.setattr(warc, "BLOCK_ROWS", 8)
+    rng = random.Random(4)
+    rows = [(i, f"http://h{rng.randrange(4)}.org/{rng.randrange(3)}", "x" * (i % 3)) for i in range(300)] + [(7, "http://h0.org/0", "y" * 3_000_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(8)
+    manifest = warc.write_archives(df, archive_bytes=4000)
+    index = warc.read_runs(manifest, manifest._folder)
+    assert index.select("file").distinct().count() > 12 and len(warc.bounds_of(index)) > 3
+    got = warc.merged_index(index, manifest._folder, fan_in=4).collect()
+    keys = [warc.order(r.asDict()) for r in got]
+    assert len(got) == len(rows) and keys == sorted(keys)
+
+
+def test_runs_are_read_lazily(tmp_path):
+    import io
+    import os
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    class Counted(io.FileIO):
+        total = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            Counted.total += len(out)
+            return out
+
+    class Store:
+        open_input_file = staticmethod(lambda path: pa.PythonFile(Counted(path)))
+
+    row = lambda k: {"run": "r", "url_key": f"{k:05d}", "captured": "", "page_id": k, "payload_bytes": 0, "payload_digest": "", "record_type": "", "refers_to": None, "position": 0}
+    path = f"{tmp_path}/a.arrow"
+    index = warc.write_run(fs.LocalFileSystem(), path, map(row, range(20_000)))
+    assert index.num_rows == -(-20_000 // warc.BLOCK_ROWS)
+    every = list(range(index.num_rows))
+    merged = iter(warc.LoserTree([warc.read_slice(Store, path, every, None, None), warc.read_slice(Store, path, every, warc.order(row(900)), None)]))
+    assert [next(merged)["page_id"] for _ in range(10)] == list(range(10)) and Counted.total < os.path.getsize(path) / 4
+    assert [r["page_id"] for r in warc.read_slice(Store, path, [0], warc.order(row(3)), warc.order(row(6)))] == [3, 4, 5]
+
+
 def test_loser_tree_merges_any_runs():
     rng = random.Random(1)
     row = lambda k: {"url_key": str(k), "captured": "", "page_id": None, "run": "", "position": 0}
