@@ -7,13 +7,16 @@
    on bad ones.  Each pattern so gets a posterior.
 3. A logistic scorer over hashed character-shape trigrams and word repetition
    learns the posteriors of a bounded sample: the ``sample`` documents of
-   smallest hash (a parameter).  It then scores every document's whole text.
+   smallest hash of id and text (a parameter; rows that tie are equal in both, so
+   any of them will do).  It then scores every document's whole text.
 
 A document is kept when its score, the probability of being good, is at least
 ``keep_from``.  Edge cases: a null or empty text, or one of white space only,
-scores 0 and is rejected; ids may be null or repeat and play no part but in
-drawing the sample; an empty table gives an empty result; further columns are
-kept as they are by :func:`keep_good` and ignored by :func:`score`.
+scores 0, is rejected and has no votes; long texts are read whole; ids may be
+null or repeat and play no part but in drawing the sample; repeated rows score
+alike; a score of exactly ``keep_from`` is kept; an empty table gives an empty
+result; further columns are kept as they are by :func:`keep_good` and ignored by
+:func:`score`.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textquarry.storage import small_batches, written
+from textquarry.llm.words import release
+from textquarry.storage import forget, small_batches, written
 
 SAMPLE, DIMENSIONS, KEEP_FROM = 4000, 4096, 0.5
 BAD, GOOD, NONE = 0, 1, 2
@@ -144,23 +148,27 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, dimensions: int = DIMENSIONS)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([votes(x.as_py()) for x in batch.column(1)], pa.string())], names=["draw", "votes"])
+            cast = [votes(t) if (t := x.as_py()).strip() else None for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cast, pa.string())], names=["draw", "votes"])
+        release()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [x.as_py() for x in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([votes(t) for t in texts], pa.string()), pa.array([features(t, dimensions).astype(np.float16).tobytes() for t in texts], pa.binary())], names=["votes", "x"])
+            some = [(d.as_py(), t) for d, x in zip(*batch.columns, strict=True) if (t := x.as_py()).strip()]
+            columns = pa.array([d for d, _ in some], pa.int64()), pa.array([votes(t) for _, t in some], pa.string()), pa.array([features(t, dimensions).astype(np.float16).tobytes() for _, t in some], pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns), names=["draw", "votes", "x"])
 
     small_batches(docs.sparkSession)
-    full = docs.where("text is not null and trim(text) <> ''").select(F.xxhash64(F.lit(29), "doc_id", F.length("text")).alias("draw"), "text")
-    cast = full.mapInArrow(vote, "draw long, votes string")
-    cast = written(cast, "votes")
+    full = docs.where("text is not null").select(F.xxhash64(F.lit(29), "doc_id", "text").alias("draw"), "text")
+    cast = written(full.mapInArrow(vote, "draw long, votes string").where("votes is not null"), "votes")
     counts = {r["votes"]: r["count"] for r in cast.groupBy("votes").count().collect()}  # at most 3 ** labellers rows
     posterior, like, good = estimate(counts)
     n = sum(counts.values())
     low = cast.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0] if n > sample else None
     drawn = full if low is None else full.where(F.col("draw") <= low)
-    rows = drawn.select("text").mapInArrow(hashed, "votes string, x binary").collect()  # the sample
+    # the sample: rows with the last draw may be many
+    rows = drawn.mapInArrow(hashed, "draw long, votes string, x binary").orderBy("draw", "votes").limit(sample).select("votes", "x").collect()
+    forget(cast)
     x = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in rows]).astype(np.float32) if rows else np.zeros((0, dimensions), np.float32)
     y = np.array([posterior.get(r["votes"], good) for r in rows], dtype=np.float32)
     w, b = train(x, y)
