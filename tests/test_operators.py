@@ -231,3 +231,25 @@ def test_tables_need_a_shared_folder_on_a_cluster(spark, monkeypatch):
         storage.shared_folder(Session)
     path = storage.written(spark.range(3), "some")._written_path
     assert spark.sparkContext.applicationId in path and spark.read.parquet(path).count() == 3
+
+
+def test_baselines_shards_and_reports(spark, tmp_path):
+    import hashlib
+
+    from textquarry.sources import records
+
+    data = "".join(json.dumps({"relative_path": p, "size_bytes": 1, "sha256": "0" * 64}) + "\n" for p in ("b", "a")).encode()
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m/manifest.jsonl").write_bytes(data)
+    rows = records.baseline(spark, f"file://{tmp_path}/m", hashlib.sha256(data).hexdigest())
+    assert [r["relative_path"] for r in records.merged_shards([rows.where("relative_path = 'b'"), rows.where("relative_path = 'a'")], "relative_path").collect()] == ["a", "b"]
+    with pytest.raises(ValueError, match="checksum"):
+        records.baseline(spark, f"file://{tmp_path}/m", "0" * 64)
+    with pytest.raises(ValueError, match="repeated"):
+        records.merged_shards([rows, rows], "relative_path")
+    markdown, text = records.report(spark.sql("SELECT 'a|b' AS x, 1 AS n"), "Counts")
+    assert markdown.splitlines()[-1] == "| a\\|b | 1 |" and json.loads(text)["rows"] == [{"x": "a|b", "n": 1}]
+    with pytest.raises(ValueError, match="no report"):
+        records.report(spark.range(3), "x", most=2)
+    ledger = inventory.exclusion_ledger(spark.createDataFrame([("x/y/a", 1), ("x/b", 2), ("z", 4)], "relative_path string, size_bytes long"), ("x", "x/y"))
+    assert sorted(map(tuple, ledger.collect())) == [("x", 1, 2), ("x/y", 1, 1)]

@@ -76,6 +76,16 @@ def excluded(path: str, roots: tuple[str, ...]) -> Column:
     return out
 
 
+def exclusion_ledger(files: DataFrame, roots: tuple[str, ...]) -> DataFrame:
+    """``root, files, bytes`` of what each root leaves out of ``relative_path, size_bytes``; of nested roots the longest counts."""
+    root = None
+    for r in sorted(roots, key=len, reverse=True):
+        inside = excluded("relative_path", (r,))
+        root = F.when(inside, r) if root is None else root.when(inside, r)
+    named = files.select((F.lit(None).cast("string") if root is None else root).alias("root"), "size_bytes")
+    return named.where("root is not null").groupBy("root").agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("bytes"))
+
+
 def hash_only(path: str, roots: tuple[str, ...]) -> Column:
     """Whether a file is hashed but not parsed: below an excluded root and not at top level."""
     return excluded(path, roots) & (F.size(F.split(path, "/")) > 1)

@@ -11,6 +11,7 @@ from textquarry.functions import risk
 from textquarry.functions import text as T
 from textquarry.operators import accounting, audit, contamination, duplicates, inventory, sampling, screen, splits
 from textquarry.plans import adapters, labelled, samples, validation
+from textquarry.sources import records
 from textquarry.sql import ORACLES
 from textquarry.storage import written
 
@@ -194,6 +195,16 @@ def p1_path_classes(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("page_id", inventory.family("path", deep=("blog.ththan.example.net",)).alias("family"), inventory.artifact("path").alias("artifact"), inventory.kind("path", F.lit("other")).alias("kind"), inventory.excluded("path", ("spam-farm.example.org", "www.cheap-pills.example.com")).alias("excluded"))
 
 
+@query
+def c11_exclusion_ledger(spark: SparkSession, d: str) -> DataFrame:
+    return inventory.exclusion_ledger(_files(spark, d), ("src0", "src1"))
+
+
+@query
+def u8_distinct_questions(spark: SparkSession, d: str) -> DataFrame:
+    return records.distinct_questions(table(spark, d, "benchmark").union(table(spark, d, "documents").select("doc_id", "text")), "text")
+
+
 @query
 def j28_content_groups(spark: SparkSession, d: str) -> DataFrame:
     return inventory.content_groups(_files(spark, d))

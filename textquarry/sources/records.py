@@ -7,10 +7,14 @@ empty.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from textquarry.functions import text as T
+from textquarry.sources import files
 from textquarry.storage import written
 
 SHA256, EMPTY_SHA256 = r"^[0-9a-f]{64}\z", "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
@@ -66,3 +70,38 @@ def benchmark_items(rows: DataFrame) -> DataFrame:
     fine = rows.where("question is not null and choices is not null")
     key = F.sha2(F.to_json(F.struct("choices", "question")), 256)
     return fine.select(key.alias("evaluation_id"), "question", "choices")
+
+
+def baseline(spark: SparkSession, path: str, sha256: str, schema: StructType | str = "relative_path string, size_bytes long, sha256 string") -> DataFrame:
+    """A manifest of an earlier run; raises if the file is not the one of that hash, or a row cannot be true."""
+    found = {r["sha256"] for r in files.hashed(spark, path).select("sha256").collect()}  # one file
+    if found != {sha256}:
+        raise ValueError("the baseline is not the file that its checksum names")
+    rows = strict_json(spark, path, schema)
+    require_none(manifest_faults(rows), "baseline")
+    return rows
+
+
+def merged_shards(shards: list[DataFrame], key: str) -> DataFrame:
+    """Shards of one table as a whole, in order of the key; a key in two rows raises."""
+    whole = shards[0]
+    for s in shards[1:]:
+        whole = whole.unionByName(s)
+    whole = written(whole, "shards")
+    require_none(whole.groupBy(key).count().where("count > 1"), "repeated key")
+    return whole.orderBy(key)
+
+
+def report(rows: DataFrame, title: str, most: int = 10_000) -> tuple[str, str]:
+    """A small table of aggregates as Markdown and as JSON; raises if it is no small one."""
+    some = rows.limit(most + 1).collect()
+    if len(some) > most:
+        raise ValueError(f"more than {most} rows are no report")
+    cell = lambda x: "" if x is None else str(x).replace("|", "\\|").replace("\n", " ")
+    lines = [f"# {title}", "", "| " + " | ".join(rows.columns) + " |", "|" + "-|" * len(rows.columns), *("| " + " | ".join(map(cell, r)) + " |" for r in some)]
+    return "\n".join(lines) + "\n", json.dumps({"title": title, "rows": [r.asDict(recursive=True) for r in some]}, ensure_ascii=False, sort_keys=True, default=str)
+
+
+def distinct_questions(items: DataFrame, text: str = "question") -> DataFrame:
+    """One row: items and different questions among them, in normal form; nulls are no questions."""
+    return items.agg(F.count(F.lit(1)).alias("items"), F.count_distinct(T.word_folded(F.col(text))).alias("questions"))

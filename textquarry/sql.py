@@ -140,6 +140,8 @@ SELECT page_id, CASE WHEN len(parts) = 1 THEN '_root' WHEN parts[1] = 'blog.thth
 CASE WHEN cache THEN 'preexisting_pipeline_cache_or_tool_artifact' WHEN repo THEN 'repository_or_bytecode_artifact' WHEN side THEN 'source_sidecar_metadata' WHEN doc THEN 'documentation_code_or_log_artifact' END AS artifact,
 CASE WHEN cache THEN 'cache_or_derived_artifact' WHEN repo THEN 'repository_or_bytecode' WHEN side THEN 'sidecar_metadata' WHEN doc THEN 'documentation_code_or_log' ELSE 'other_unsupported' END AS kind,
 starts_with(path || '/', 'spam-farm.example.org/') OR starts_with(path || '/', 'www.cheap-pills.example.com/') AS excluded FROM c""",
+    "c11_exclusion_ledger": _with(FILES) + "SELECT family AS root, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes FROM f WHERE family IN ('src0', 'src1') GROUP BY family",
+    "u8_distinct_questions": f"SELECT count(*) AS items, count(DISTINCT w) AS questions FROM (SELECT {WORD_FOLD.format(x='text')} AS w FROM benchmark UNION ALL SELECT {WORD_FOLD.format(x='text')} FROM documents)",
     "j28_content_groups": _with(FILES) + "SELECT sha256, size_bytes, members, representative, members - 1 AS redundant_copies, size_bytes * (members - 1) AS redundant_bytes FROM g",
     "a13_breakdown": _with(FILES, "k AS (SELECT f.*, g.representative FROM f LEFT JOIN g USING (sha256, size_bytes))", "e AS (SELECT *, representative IS NOT NULL AND representative <> relative_path AS extra FROM k)")
     + """SELECT CASE WHEN grouping(family) = 0 THEN 'family' WHEN grouping(format) = 0 THEN 'format' ELSE 'kind' END AS dimension, coalesce(family, format, kind) AS value, count(*) AS files, CAST(sum(size_bytes) AS BIGINT) AS bytes, count(representative) AS duplicate_members,
