@@ -442,6 +442,22 @@ def test_shingle_components_match_brute_force(spark):
     assert kept.columns == df.columns and kept.count() == len({root[a] for a in range(len(rows)) if sets[a]}) + sum(not s for s in sets)
 
 
+def test_a_block_of_the_product_counts_exactly():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    big = 1 << 62  # ids that doubles do not hold
+    sets = {big + k: np.unique(rng.integers(0, 60, 50)) for k in range(30)}
+    rows = [{"b": big, "share": k % 2, "a": a, "n": len(s), "shared": s.astype(np.int64).tobytes()} for k, (a, s) in enumerate(sets.items()) if a != big]
+    rows += [{"b": big, "share": h, "a": None, "n": len(sets[big]), "shared": sets[big].astype(np.int64).tobytes()} for h in (0, 1)]
+    schema = pa.schema([("b", pa.int64()), ("share", pa.int32()), ("a", pa.int64()), ("n", pa.int32()), ("shared", pa.binary())])
+    for percent in (30, 50, 85):
+        got = sorted(map(tuple, (r.values() for r in ngram_join._product(pa.Table.from_pylist(rows, schema=schema), percent).to_pylist())))
+        over = lambda s: len(np.intersect1d(s, sets[big]))
+        assert got == sorted((a, big) for a, s in sets.items() if a != big and 100 * over(s) >= percent * (len(s) + len(sets[big]) - over(s)))
+    assert ngram_join._product(pa.Table.from_pylist([], schema=schema), 50).num_rows == 0
+
+
 def test_url_rules_and_propagation(spark):
     link = lambda h: f'<a href="http://{h}/x">y</a>'
     rows = [(1, "HTTP://Sub.Example.COM/en/7a?q#f", ""), (2, "http://x.com/en/1", None), (3, "http://example.net/de/81", ""), (4, "http://a.net/de/", ""), (5, "http://o.org/es/", link("friend.info")), (6, None, ""), (7, "nothing", ""),
