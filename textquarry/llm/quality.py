@@ -154,9 +154,8 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, dimensions: int = DIMENSIONS)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            some = [(d.as_py(), t) for d, x in zip(*batch.columns, strict=True) if (t := x.as_py()).strip()]
-            columns = pa.array([d for d, _ in some], pa.int64()), pa.array([votes(t) for _, t in some], pa.string()), pa.array([features(t, dimensions).astype(np.float16).tobytes() for _, t in some], pa.binary())
-            yield pa.RecordBatch.from_arrays(list(columns), names=["draw", "votes", "x"])
+            some = [t for x in batch.column(0) if (t := x.as_py()).strip()]
+            yield pa.RecordBatch.from_arrays([pa.array([votes(t) for t in some], pa.string()), pa.array([features(t, dimensions).astype(np.float16).tobytes() for t in some], pa.binary())], names=["votes", "x"])
 
     small_batches(docs.sparkSession)
     full = docs.where("text is not null").select(F.xxhash64(F.lit(29), "doc_id", "text").alias("draw"), "text")
@@ -166,8 +165,12 @@ def fit(docs: DataFrame, *, sample: int = SAMPLE, dimensions: int = DIMENSIONS)
     n = sum(counts.values())
     low = cast.select("draw").orderBy("draw").limit(sample).agg(F.max("draw")).first()[0] if n > sample else None
     drawn = full if low is None else full.where(F.col("draw") <= low)
-    # the sample: rows with the last draw may be many
-    rows = drawn.mapInArrow(hashed, "draw long, votes string, x binary").orderBy("draw", "votes").limit(sample).select("votes", "x").collect()
+    if low is not None and cast.where(F.col("draw") <= low).count() > sample:
+        # many rows tie for the last places: they are equal, so any of them will do
+        least = sample - cast.where(F.col("draw") < low).count()
+        drawn = full.where(F.col("draw") < low).union(full.where(F.col("draw") == low).limit(least))
+    rows = drawn.select("text").mapInArrow(hashed, "votes string, x binary").collect()  # the sample
+    rows.sort(key=lambda r: (r["votes"], bytes(r["x"])))
     forget(cast)
     x = np.stack([np.frombuffer(r["x"], dtype=np.float16) for r in rows]).astype(np.float32) if rows else np.zeros((0, dimensions), np.float32)
     y = np.array([posterior.get(r["votes"], good) for r in rows], dtype=np.float32)
