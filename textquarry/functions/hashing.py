@@ -83,18 +83,53 @@ def shingle_hashes(text: Column, width: int, among: np.ndarray | None = None) ->
     return _each(make)(text)
 
 
-def cut_hashes(text: Column, width: int) -> Column:
-    """Hashes of the windows of ``width`` characters that begin at every ``width``-th character."""
-    return _each(lambda: lambda t: np.array([hash_of(t[i : i + width]) for i in range(0, len(t) - width + 1, width)], dtype=np.uint64).view(np.int64))(text)
+def shingle_sets(width: int) -> Callable[[list[str], list[int]], tuple[np.ndarray, list[np.ndarray]]]:
+    """For ``prefixes.able``: the given keys, and the hashes of :func:`shingle_hashes` of each text."""
+
+    def run(texts: list[str], keys: list[int]) -> tuple[np.ndarray, list[np.ndarray]]:
+        known = _Words()
+        return np.array(keys, dtype=np.int64), [shingles_of(_TOKEN.findall(t), width, known).view(np.uint64) for t in texts]
+
+    return run
+
+
+BASE = 0x2545F4914F6CDD1D
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def window_minima(text: str, width: int) -> np.ndarray:
+    """Of each run of ``width`` consecutive windows of ``width`` characters the least hash of a window, in order of the runs.
+
+    A window's hash is a polynomial in its characters modulo 2 ** 64, from running sums.
+    """
+    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    if len(x) < 2 * width - 1:
+        return np.empty(0, dtype=np.uint64)
+    sums = np.cumsum(mixed((x.astype(np.uint64) + np.uint64(1)) * M1) * _powers(BASE, len(x)), dtype=np.uint64)
+    before = np.concatenate((np.zeros(1, dtype=np.uint64), sums[: len(x) - width]))
+    out = mixed((sums[width - 1 :] - before) * _powers(pow(BASE, -1, 1 << 64), len(x) - width + 1))
+    reach = 1
+    while reach < width:
+        step = min(reach, width - reach)
+        out = np.minimum(out[:-step], out[step:])
+        reach += step
+    return out
 
 
-def window_hashes(text: Column, width: int, places: int) -> Column:
-    """At ``places`` places from the first to the last possible one, hashes of the ``width`` windows of ``width`` characters that begin there and after, place after place."""
+def anchor_hashes(text: Column, width: int, *, places: int | None = None, among: Callable[[np.ndarray], np.ndarray] | None = None) -> Column:
+    """The distinct values of :func:`window_minima`: all, those at some places from the first to the last, or those that ``among`` picks."""
 
     def one(t: str) -> np.ndarray:
-        last = len(t) - 2 * width + 1
-        starts = [last * k // max(1, places - 1) for k in range(places)] if last >= 0 else []
-        return np.array([hash_of(t[s + i : s + i + width]) for s in starts for i in range(width)], dtype=np.uint64).view(np.int64)
+        found = window_minima(t, width)
+        if places is not None and len(found):
+            found = found[[(len(found) - 1) * k // max(1, places - 1) for k in range(places)]]
+        found = np.unique(found).view(np.int64)
+        return found if among is None else found[among(found)]
 
     return _each(lambda: one)(text)
 

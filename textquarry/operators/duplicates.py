@@ -13,14 +13,23 @@ and give an empty result for an empty table.  Rows must have distinct ids, as
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.functions import hashing
 from textquarry.functions import text as T
+from textquarry.functions.portions import release
+from textquarry.operators import prefixes
+from textquarry.operators.components import connected_components
+from textquarry.operators.marks import marks
 from textquarry.storage import forget, written
 
 ANCHOR, PLACES = 32, 3
+#: Rows of a tile of pairs to each side, and keys of the sets in one task, about.
+TILE, ENTRIES = 8192, 2_000_000
 
 
 def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
@@ -40,30 +49,39 @@ def exact(rows: DataFrame) -> DataFrame:
 
 
 def survivors(rows: DataFrame, removed: DataFrame) -> DataFrame:
-    return rows.join(removed.where("removed").select("id"), "id", "left_anti")
+    """The rows that are not removed; only those move that a bitmap of the removed ids does not let pass."""
+    gone = written(removed.where("removed").select("id"), "removed")
+    doubtful = marks(gone.select(F.xxhash64("id").alias("key")), "key").column(F.xxhash64("id"))
+    return rows.where(~doubtful).unionByName(rows.where(doubtful).join(gone, "id", "left_anti"))
+
+
+def _ends(rows: DataFrame, pairs: DataFrame, left: str, right: str) -> DataFrame:
+    """The rows that stand in a pair, and perhaps a few more: others need not move to a join."""
+    ends = pairs.select(F.explode(F.array(F.xxhash64(left), F.xxhash64(right))).alias("key")).distinct()
+    return rows.where(marks(ends, "key").column(F.xxhash64("id")))
 
 
 def contained(rows: DataFrame, least: int = 240) -> DataFrame:
     """``id, keeper_id`` of rows whose text stands inside an earlier row's, both of at least ``least`` characters.
 
-    A container's text is cut at every ANCHOR-th character; whatever the place
-    of a contained text, one of any ANCHOR consecutive windows of it meets such
-    a cut.  Of PLACES places in the text the one with the rarest windows is used.
+    Of any ANCHOR consecutive windows of ANCHOR characters the one of least hash
+    is an anchor.  A contained text's runs of windows are its container's as well,
+    so it asks for one anchor at each of PLACES places and uses the rarest; texts
+    send only the anchors that are asked for, by a bitmap, and only texts of a pair move.
     """
     if least < 2 * ANCHOR:
         raise ValueError(f"least must be {2 * ANCHOR} or more")
     long = rows.where(F.col("n") >= least).select("id", "norm", "n")
-    inside = written(long.select(F.col("id").alias("other"), F.explode(F.array_distinct(hashing.cut_hashes(F.col("norm"), ANCHOR))).alias("anchor")), "anchors")
+    asked = written(long.select("id", "n", F.explode(hashing.anchor_hashes(F.col("norm"), ANCHOR, places=PLACES)).alias("anchor")), "asked")
+    known = marks(asked.select("anchor").distinct(), "anchor")
+    inside = written(long.select(F.col("id").alias("other"), F.col("n").alias("n_large"), F.explode(hashing.anchor_hashes(F.col("norm"), ANCHOR, among=known.holds)).alias("anchor")), "anchors")
     often = inside.groupBy("anchor").agg(F.count(F.lit(1)).alias("many"))
-    asked = long.select("id", F.posexplode(hashing.window_hashes(F.col("norm"), ANCHOR, PLACES)).alias("at", "anchor"))
-    asked = written(asked.select("id", F.floor(F.col("at") / ANCHOR).cast("int").alias("place"), "anchor").join(often, "anchor", "left"), "windows")
-    rare = asked.groupBy("id", "place").agg(F.sum(F.coalesce("many", F.lit(0))).alias("weight")).groupBy("id").agg(F.min(F.struct("weight", "place")).alias("m"))
-    asked = asked.where("many is not null").join(rare.select("id", F.col("m.place").alias("place")), ["id", "place"])
-    pairs = asked.select("id", "anchor").join(inside, "anchor").where("id <> other").select("id", "other").distinct()
-    a = long.select("id", F.col("norm").alias("small"), F.col("n").alias("n_small"))
-    b = long.select(F.col("id").alias("other"), F.col("norm").alias("large"), F.col("n").alias("n_large"))
-    earlier = (F.col("n_large") > F.col("n_small")) | ((F.col("n_large") == F.col("n_small")) & (F.col("other") < F.col("id")))
-    found = written(pairs.join(a, "id").join(b, "other").where(earlier & F.col("large").contains(F.col("small"))).select("id", "other"), "contained")
+    rare = asked.join(often, "anchor").groupBy("id", "n").agg(F.min(F.struct("many", "anchor")).alias("m")).where("m.many > 1")
+    earlier = (F.col("n_large") > F.col("n")) | ((F.col("n_large") == F.col("n")) & (F.col("other") < F.col("id")))
+    pairs = written(rare.select("id", "n", F.col("m.anchor").alias("anchor")).join(inside, "anchor").where(earlier).select("id", "other"), "pairs")
+    texts = _ends(long, pairs, "id", "other")
+    a, b = texts.select("id", F.col("norm").alias("small")), texts.select(F.col("id").alias("other"), F.col("norm").alias("large"))
+    found = written(pairs.join(a, "id").join(b, "other").where(F.col("large").contains(F.col("small"))).select("id", "other"), "contained")
     return _smallest_kept(found)
 
 
@@ -99,46 +117,95 @@ def near_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5) -> DataF
 
     Only shingles of two rows or more can be shared.  In order of rarity, the
     first ``shared - ceil(threshold * n) + 1`` of a row must hold one of any
-    partner's; rows with fewer shared shingles than that bound drop out.
+    partner's; rows with fewer shared shingles than that bound drop out.  Before
+    any whole row moves, part of its shingles tells whether it may have a near
+    copy (``prefixes``); only rows that may are exploded.
     """
-    keyed = written(rows.select("id", hashing.shingle_hashes(F.col("norm"), width).alias("keys")).where("size(keys) > 0"), "shingles")
+    able = prefixes.able(rows.select(F.xxhash64("id").alias("key"), "norm"), "key", "norm", hashing.shingle_sets(width), threshold)
+    keyed = written(rows.where(marks(able, "key").column(F.xxhash64("id"))).select("id", hashing.shingle_hashes(F.col("norm"), width).alias("keys")).where("size(keys) > 0"), "shingles")
     each = keyed.select("id", F.size("keys").alias("n"), F.explode("keys").alias("key"))
     often = each.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
     needed = F.ceil(F.col("n") * F.lit(threshold) - 1e-9)
     shared = each.join(often, "key").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("many", "key"))).alias("shared")).where(F.size("shared") >= needed)
     shared = written(shared.withColumn("keys", F.transform("shared", lambda x: x["key"])).drop("shared"), "shared")
-    probes = shared.select("id", "n", F.explode(F.slice("keys", F.lit(1), (F.size("keys") - needed + 1).cast("int"))).alias("key"))
-    a, b = (probes.select(F.col("id").alias(f"{s}_id"), F.col("n").alias(f"n_{s}"), "key") for s in ("left", "right"))
+    first = F.slice("keys", F.lit(1), (F.size("keys") - needed + 1).cast("int"))
+    probes = shared.select("id", "n", F.size("keys").alias("s"), F.posexplode(first).alias("at", "key"))
+    a, b = (probes.select(F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "s", "at")], "key") for s in ("left", "right"))
     sizes = (F.col("n_left") >= F.col("n_right") * threshold - 1e-9) & (F.col("n_right") >= F.col("n_left") * threshold - 1e-9)
-    pairs = a.join(b, "key").where(sizes & (F.col("left_id") < F.col("right_id"))).select("left_id", "right_id").distinct()
-    x, y = (shared.select(F.col("id").alias(f"{s}_id"), F.col("n").alias(f"n_{s}"), F.col("keys").alias(f"k_{s}")) for s in ("left", "right"))
-    both = F.size(F.array_intersect("k_left", "k_right"))
-    scored = pairs.join(x, "left_id").join(y, "right_id").withColumn("similarity", both / (F.col("n_left") + F.col("n_right") - both))
-    return scored.where(F.col("similarity") >= threshold).select("left_id", "right_id", "similarity")
+    met = a.join(b, "key").where(sizes & (F.col("left_id") < F.col("right_id"))).groupBy("left_id", "right_id", "n_left", "n_right", "s_left", "s_right")
+    met = met.agg(F.count(F.lit(1)).alias("common"), F.max("at_left").alias("at_left"), F.max("at_right").alias("at_right"))
+    # what stands behind the last common probe in both is all that can be common yet
+    most = F.col("common") + F.least(F.col("s_left") - F.col("at_left"), F.col("s_right") - F.col("at_right")) - 1
+    pairs = met.where(most * (1 + threshold) >= threshold * (F.col("n_left") + F.col("n_right")) - 1e-6)
+    return _scored(written(pairs.select("left_id", "right_id"), "pairs"), shared, threshold)
+
+
+def _scored(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose sets ``id, n, keys`` (``n`` the size with unshared keys) reach the threshold, with their similarity.
+
+    A set moves once to the task of its component of pairs; components of more
+    than TILE rows are cut into tiles of pairs, and a set moves to its row of tiles and its column.
+    """
+    found = written(connected_components(pairs, "left_id", "right_id"), "components")
+    cuts = found.groupBy("component").agg((F.floor(F.count(F.lit(1)) / TILE) + 1).cast("int").alias("cuts"))
+    placed = written(found.join(cuts, "component").select(F.col("node").alias("id"), "component", "cuts", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int").alias("own")), "placed")
+    x, y = placed.select(F.col("id").alias("left_id"), "component", F.col("own").alias("i")), placed.select(F.col("id").alias("right_id"), F.col("own").alias("j"))
+    asked = pairs.join(x, "left_id").join(y, "right_id").select("component", "i", "j", F.col("left_id").alias("id"), F.col("right_id").alias("other"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("array<bigint>").alias("keys"))
+    each = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda k: F.array(F.struct(F.col("own").alias("i"), k.alias("j")), F.struct(k.alias("i"), F.col("own").alias("j"))))
+    moved = sets.join(placed, "id").select("component", F.explode(F.array_distinct(F.flatten(each))).alias("t"), "id", F.col("n").cast("long").alias("n"), "keys")
+    moved = moved.select("component", "t.i", "t.j", "id", F.lit(None).cast("string").alias("other"), "n", "keys")
+    blocks = max(8, -(-(sets.agg(F.sum(F.size("keys"))).first()[0] or 0) // ENTRIES))
+    both = asked.unionByName(moved).withColumn("block", F.pmod(F.xxhash64("component", "i", "j"), F.lit(blocks)).cast("int")).drop("component", "i", "j")
+
+    def run(table: pa.Table) -> pa.Table:
+        given = pc.is_null(table["other"])
+        rows, wanted = table.filter(given), table.filter(pc.invert(given)).sort_by("id")
+        ids, column = rows["id"].to_pylist(), rows["keys"].combine_chunks()
+        at, n = {i: k for k, i in enumerate(ids)}, rows["n"].to_numpy()
+        begins, flat = column.offsets.to_numpy(), column.values.to_numpy()
+        keys = lambda k: flat[begins[k] : begins[k + 1]]
+        left, right = ([at[i] for i in wanted[c].to_pylist()] for c in ("id", "other"))
+        left, right, similarity = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64), np.zeros(len(left))
+        ends = [*np.flatnonzero(np.diff(left, prepend=-1)).tolist(), len(left)]
+        for a, b in zip(ends, ends[1:], strict=False):
+            own = np.sort(keys(left[a]))
+            for c in range(a, b, 256):
+                some = right[c : min(b, c + 256)]
+                parts = [keys(k) for k in some.tolist()]
+                entries = np.concatenate(parts)
+                place = np.minimum(np.searchsorted(own, entries), len(own) - 1)
+                common = np.bincount(np.repeat(np.arange(len(some)), [len(p) for p in parts])[own[place] == entries], minlength=len(some))
+                similarity[c : c + len(some)] = common / (n[left[a]] + n[some] - common)
+        good = similarity >= threshold
+        out = pa.table({"left_id": wanted["id"].filter(good), "right_id": wanted["other"].filter(good), "similarity": similarity[good]})
+        release()
+        return out
+
+    return both.groupBy("block").applyInArrow(run, "left_id string, right_id string, similarity double")
 
 
 def banded_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5, *, perms: int = 64, bands: int = 8, seed: int = 1729, least: int = 240) -> DataFrame:
     """The pairs ``left_id < right_id, similarity`` of rows that share a band of their MinHash signatures and reach the Jaccard threshold.
 
     What a search by bands finds and no more: a pair below 1 may share no band.
-    ``near_pairs`` finds all.  Rows shorter than ``least`` take no part.
+    ``near_pairs`` finds all.  Rows shorter than ``least`` take no part.  Bands move
+    as 64-bit hashes; shingles only of rows that share one.
     """
     if perms % bands:
         raise ValueError("the number of permutations must be a multiple of the number of bands")
     able = rows.where(F.col("n") >= least)
-    keyed = written(able.select("id", F.explode(hashing.band_keys(F.col("norm"), width=width, perms=perms, bands=bands, seed=seed)).alias("band")), "bands")
+    keyed = written(able.select("id", F.explode(hashing.band_keys(F.col("norm"), width=width, perms=perms, bands=bands, seed=seed)).alias("band")).select("id", F.xxhash64("band").alias("band")), "bands")
     a, b = (keyed.select(F.col("id").alias(f"{s}_id"), "band") for s in ("left", "right"))
-    pairs = a.join(b, "band").where(F.col("left_id") < F.col("right_id")).select("left_id", "right_id").distinct()
-    keys = written(able.select("id", hashing.shingle_hashes(F.col("norm"), width).alias("keys")), "shingles")
-    x, y = (keys.select(F.col("id").alias(f"{s}_id"), F.col("keys").alias(f"k_{s}")) for s in ("left", "right"))
-    both = F.size(F.array_intersect("k_left", "k_right"))
-    scored = pairs.join(x, "left_id").join(y, "right_id").withColumn("similarity", both / (F.size("k_left") + F.size("k_right") - both))
-    return scored.where(F.col("similarity") >= threshold).select("left_id", "right_id", "similarity")
+    pairs = written(a.join(b, "band").where(F.col("left_id") < F.col("right_id")).select("left_id", "right_id").distinct(), "pairs")
+    keys = written(_ends(able, pairs, "left_id", "right_id").select("id", hashing.shingle_hashes(F.col("norm"), width).alias("keys")), "shingles")
+    return _scored(pairs, keys.withColumn("n", F.size("keys")), threshold)
 
 
 def same_facts(pairs: DataFrame, rows: DataFrame, gates: list[str]) -> DataFrame:
     """The pairs whose rows agree in every column of ``gates`` (answer, numbers, task): near copies with other facts are none."""
-    a, b = (rows.select(F.col("id").alias(f"{s}_id"), F.struct(*gates).alias(f"{s}_facts")) for s in ("left", "right"))
+    pairs = written(pairs, "pairs")
+    some = _ends(rows, pairs, "left_id", "right_id")
+    a, b = (some.select(F.col("id").alias(f"{s}_id"), F.struct(*gates).alias(f"{s}_facts")) for s in ("left", "right"))
     return pairs.join(a, "left_id").join(b, "right_id").where(F.col("left_facts").eqNullSafe(F.col("right_facts"))).drop("left_facts", "right_facts")
 
 

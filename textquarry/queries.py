@@ -29,12 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    return duplicates.records(table(spark, d, "documents"), lang=F.col("lang"), source=F.col("source"), text=F.coalesce("text", F.lit("")))
+    return duplicates.records(table(spark, d, "documents"), lang=F.col("lang"), source=F.col("source"))
 
 
 def _distinct(spark: SparkSession, d: str) -> DataFrame:
     rows = _records(spark, d)
-    return written(duplicates.survivors(rows, duplicates.exact(rows)), "survivors")
+    return duplicates.survivors(rows, duplicates.exact(rows))
 
 
 @query
@@ -74,8 +74,7 @@ def d2_contained_texts(spark: SparkSession, d: str) -> DataFrame:
     """Documents and benchmark items that stand inside another of them, from 64 characters on."""
     both = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "text").union(table(spark, d, "benchmark").select(F.concat(F.lit("item"), "item_id"), "text"))
     rows = duplicates.records(both, "id")
-    kept = written(duplicates.survivors(rows, duplicates.exact(rows)), "survivors")
-    return duplicates.contained(kept, least=64)
+    return duplicates.contained(duplicates.survivors(rows, duplicates.exact(rows)), least=64)
 
 
 @query
@@ -121,11 +120,10 @@ def a11_contamination_by_source(spark: SparkSession, d: str) -> DataFrame:
 
 def _assigned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rows = _records(spark, d)
-    kept = written(duplicates.survivors(rows, duplicates.exact(rows)), "survivors")
-    pairs = written(duplicates.near_pairs(kept, 0.8), "pairs")
+    pairs = written(duplicates.near_pairs(duplicates.survivors(rows, duplicates.exact(rows)), 0.8), "pairs")
     declared = F.concat_ws("/", "source", F.sha2(F.regexp_replace("norm", "[0-9]+", ""), 256))  # texts that differ in numbers only
     edges = splits.key_edges(rows, F.col("h")).union(splits.key_edges(rows, declared)).union(pairs.select("left_id", "right_id"))
-    grouped = rows.join(splits.groups(rows, edges), "id")
+    grouped = rows.drop("norm").join(splits.groups(rows, edges), "id")
     return written(grouped.withColumn("split", splits.split_of(F.col("group_id"))), "assigned"), pairs
 
 
