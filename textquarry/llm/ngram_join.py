@@ -4,7 +4,8 @@ The documents' shingle sets are the rows of a 0/1 matrix; two documents link
 when their rows' product is large against their sizes.  The product is taken in
 blocks and only where a link is possible:
 
-1. Documents with equal sets are one class.  Each task sends its documents'
+1. Documents with equal sets are one class.  Part of each set tells which classes
+   may link at all (``prefixes``).  Each task sends these classes'
    shingle hashes to blocks of the shingle range, packed, with the class each
    belongs to.  A block counts in how many classes each shingle occurs and sends
    on, by class, only the shingles of two classes or more: others are in no
@@ -49,11 +50,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textquarry.llm.words import portions, release, shingle_set, words_of
+from textquarry.operators import prefixes
 from textquarry.operators.components import connected_components
+from textquarry.operators.marks import Marks, marks
 from textquarry.storage import forget, small_batches, written
 
-#: Characters of text whose shingles a task sends at once, and of the input for each block of the shingle range.
-PORTION, BLOCK = 2_000_000, 8_000_000
+#: Characters of text whose shingles a task sends at once, and shingles for each block of the shingle range.
+PORTION, BLOCK = 2_000_000, 1_500_000
 #: Shingles of rows in one block of the product, and classes of a column in one task, about.
 ENTRIES, DEALT = 1_000_000, 512
 #: Rounds of multiplying classes with centres before all that is left is multiplied.
@@ -65,8 +68,18 @@ def _parts(sorted_keys: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(sorted_keys, np.arange(n + 1))
 
 
-def _incidence(docs: DataFrame, words: int, blocks: int) -> DataFrame:
-    """Rows of two kinds: a document with its class, and a block's packed part of the matrix."""
+def _sets(words: int):
+    """For ``prefixes.able``: classes and shingles of texts."""
+
+    def run(texts: list[str | None], keys: list) -> tuple[np.ndarray, list[np.ndarray]]:
+        sets = [shingle_set(w, words) for w in words_of(texts)]
+        return np.array([_class_of(s) for s in sets], dtype=np.int64), sets
+
+    return run
+
+
+def _incidence(docs: DataFrame, words: int, blocks: int, able: Marks) -> DataFrame:
+    """Rows of two kinds: a document with its class, and a block's packed part of the matrix, of classes that may link only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in portions(batches, lambda r: len(r[1] or ""), PORTION):
@@ -78,7 +91,7 @@ def _incidence(docs: DataFrame, words: int, blocks: int) -> DataFrame:
                 _put(out, block=k % blocks, doc_id=doc, text_key=key, n=int(sizes[k]), **{"class": int(classes[k]) if sizes[k] else None})
             del rows
             _, first = np.unique(classes, return_index=True)
-            first = first[sizes[first] > 0]
+            first = first[(sizes[first] > 0) & able.holds(classes[first])]
             if len(first):
                 flat, of = np.concatenate([sets[k] for k in first]), np.repeat(np.arange(len(first), dtype=np.int32), sizes[first])
                 del sets
@@ -328,9 +341,9 @@ def _links(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id, text_key, n_shingles, root`` for every row; rows of one component, and no others, share a root (null: no shingles)."""
     small_batches(docs.sparkSession)
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(8, -(-chars // BLOCK))
-    matrix = _incidence(docs, words, blocks).repartition(blocks, "block")
+    able = prefixes.able(docs.select(F.lit(0).cast("long").alias("key"), "text"), "key", "text", _sets(words), percent / 100)
+    blocks = max(8, -(-(able.agg(F.sum("n")).first()[0] or 0) // BLOCK))
+    matrix = _incidence(docs, words, blocks, marks(able, "key")).repartition(blocks, "block")
     held = written(matrix.groupBy("block").applyInArrow(lambda t: _shared(t, blocks), SHARED), "incidence")
     rows = written(held.where("shingles is null").select("doc_id", "text_key", F.col("n").cast("long").alias("n_shingles"), F.col("class")), "classed")
     packed = held.where("shingles is not null").select("bucket", "classes", "sizes", "counts", "shingles", "frequencies")
