@@ -5,6 +5,7 @@ import ipaddress
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -321,6 +322,23 @@ def test_far_cells_are_not_visited(spark):
     assert got == {i: int(near[i].sum()) - 1 for i in range(600)}
 
 
+def test_vectors_without_clusters_are_compared_by_products_only():
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 64))
+    x = covertree.scaled(np.concatenate([rng.normal(size=(2800, 64)), *(c + rng.normal(size=(30, 64)) * s for c, s in zip(centres, np.linspace(0.01, 0.9, 40), strict=True))]))
+    a, b = covertree.Tree(x[::2], math.sqrt(0.2)), covertree.Tree(x[1::2], math.sqrt(0.2))
+    u = x / np.sqrt((x * x).sum(1))[:, None]
+    for same, other in ((True, u[::2]), (False, u[1::2])):
+        near = u[::2] @ other.T >= 0.9
+        weights = np.ones(2000 if same else 4000, dtype=np.int64)
+        tracemalloc.start()
+        count, _, edges = covertree.links(a, a if same else b, 0.9, same, weights)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert count[:2000].tolist() == (near.sum(1) - same).tolist() and near.sum() > 2000 and edges
+        assert peak < 12 << 20  # pairs of nodes whose radii are wide are never listed
+
+
 def test_directions_of_very_small_vectors(spark):
     rows = [(0, [1e-50, 2e-50]), (1, [1e-50, 2e-50]), (2, [1.0, 2.0]), (3, [1e300, 2e300]), (4, [2.0, -1.0]), (5, [-0.0, 0.0])]
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in covertree.near_copies(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}

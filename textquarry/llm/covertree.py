@@ -11,10 +11,12 @@ within ``r`` of its centre, a node's centre is also the centre of its first
 child, and radii halve from level to level.  Two trees are walked together.  A
 pair of nodes is dropped when centres are further apart than the threshold and
 both covering radii; it is accepted whole, without looking inside, when even the
-farthest members are near; otherwise both nodes' children are paired, down to
-single vectors, which are compared by cosine in double precision.  A level's
-centres are compared by matrix products, in single precision with a margin; only
-the margin's pairs go on to double precision.
+farthest members are near; otherwise both nodes' descendants are paired, down to
+single vectors, which are compared by cosine in double precision.  Wide levels
+that have nearly as many nodes as the fine ones drop next to nothing and are
+passed over.  A level's centres are compared by matrix products, in single
+precision with a margin; only the margin's pairs are listed, in runs of bounded
+size, and go on to double precision.
 
 A pair of blocks is one task of bounded size.  It returns a link count for each
 vector and the edges of a spanning forest, never the pairs themselves, so a
@@ -46,7 +48,7 @@ from textquarry.llm.words import release
 from textquarry.operators.components import connected_components
 from textquarry.storage import written
 
-BLOCK, MARGIN, CHUNK, BATCH = 8192, 1e-3, 1 << 17, 64
+BLOCK, MARGIN, CHUNK, BATCH, TILE = 8192, 1e-3, 1 << 17, 64, 512
 
 
 def scaled(x: np.ndarray) -> np.ndarray:
@@ -123,12 +125,12 @@ class Tree:
     def level(self, k: int) -> tuple:
         return self.levels[min(k, len(self.levels) - 1)]
 
-    def children(self, k: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the nodes' children begin on the next level, and how many; nodes of the last level stand for themselves."""
-        if k + 1 >= len(self.levels):
-            return nodes, np.ones(len(nodes), dtype=np.int64)
-        begin = self.first[k][nodes]
-        return begin, self.first[k][nodes + 1] - begin
+    def descendants(self, level: int, k: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the nodes' descendants on level ``k`` begin, and how many they are; nodes of the last level stand for themselves."""
+        begin, end = nodes, nodes + 1
+        for z in range(level, min(k, len(self.levels) - 1)):
+            begin, end = self.first[z][begin], self.first[z][end]
+        return begin, end - begin
 
     def packed(self) -> bytes:
         small = self.x.astype(np.float32)
@@ -145,74 +147,98 @@ class Tree:
         return out
 
 
+def steps(a: Tree, b: Tree, limit: float) -> list[int]:
+    """The levels at which two trees are compared.
+
+    Nodes that are wide against the limit and nearly as many as the first fine
+    ones keep almost every pair: such levels are passed over.
+    """
+    depth = max(len(a.levels), len(b.levels))
+    fine = next((k for k in range(depth) if max(t.level(k)[3].max() for t in (a, b)) <= limit / 2), depth - 1)
+    number = lambda k: len(a.level(k)[0]) * len(b.level(k)[0])
+    return [k for k in range(1, depth) if k >= fine or 4 * number(k) <= number(fine)] or [depth - 1]
+
+
 def dual(a: Tree, b: Tree, cosine: float, same: bool):
-    """Groups that may link: yields ``(rows of a, rows of b, whole, own)``.
+    """Groups that may link: yields ``(nodes of a, nodes of b, level, whole)`` in arrays.
 
     ``whole`` groups link entirely, of others each pair is still to be compared;
-    ``own`` groups are pairs within one set of rows.
+    with one tree, equal nodes are pairs within one set of rows.
     """
     limit = float(np.sqrt(2 - 2 * cosine))
-    i = j = np.zeros(1, dtype=np.int64)
-    for k in range(max(len(a.levels), len(b.levels))):
-        # (i, j) are the pairs of level k whose children are still to be compared
-        i, j = _paired(a, b, k, i, j, limit, same)
-        (ca, sa, ea, ra, _), (cb, sb, eb, rb, _) = a.level(k + 1), b.level(k + 1)
-        away = np.concatenate([np.einsum("nd,nd->n", a.unit[ca[i[s : s + CHUNK]]], b.unit[cb[j[s : s + CHUNK]]]) for s in range(0, len(i), CHUNK)] or [np.zeros(0)])
-        away = np.sqrt(np.maximum(0.0, 2 - 2 * away.astype(np.float64)))
-        near = away - ra[i] - rb[j] <= limit + MARGIN
-        i, j, away = i[near], j[near], away[near]
-        own = (i == j) & same
-        whole = (away + ra[i] + rb[j] <= limit - MARGIN) & (~own | (2 * ra[i] <= limit - MARGIN))
-        last = k + 2 >= max(len(a.levels), len(b.levels))
-        exact = ~whole & (last | ((ra[i] == 0) & (rb[j] == 0)))
-        for mask in (whole, exact):
-            for m, n, mine in zip(i[mask].tolist(), j[mask].tolist(), own[mask].tolist(), strict=True):
-                yield a.order[sa[m] : ea[m]], b.order[sb[n] : eb[n]], mask is whole, mine
-        i, j = i[~whole & ~exact], j[~whole & ~exact]
-        if not len(i):
-            return
-
-
-def _paired(a: Tree, b: Tree, k: int, i: np.ndarray, j: np.ndarray, limit: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of children of the given pairs; where one pair has very many, only those near enough, by products of centres."""
-    (fa, na), (fb, nb) = a.children(k, i), b.children(k, j)
-    own = (i == j) & same
-    many = na * nb >= CHUNK
-    some = ~many
-    total = (na * nb)[some]
-    at = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
-    wide = np.repeat(nb[some], total)
-    x, y = np.repeat(fa[some], total) + at // wide, np.repeat(fb[some], total) + at % wide
-    kept = ~(np.repeat(own[some], total) & (x > y))
-    found = [(x[kept], y[kept])]
-    (ca, _, _, ra, _), (cb, _, _, rb, _) = a.level(k + 1), b.level(k + 1)
-    for p in np.flatnonzero(many):
-        x, y = fa[p] + np.arange(na[p]), fb[p] + np.arange(nb[p])
+    levels = steps(a, b, limit)
+
+    def walk(at: int, level: int, i: np.ndarray, j: np.ndarray):
+        # (i, j) are the pairs of this level whose descendants are still to be compared
+        k, last = levels[at], at + 1 == len(levels)
+        (ca, _, _, ra, _), (cb, _, _, rb, _) = a.level(k), b.level(k)
+        for m, n in _paired(a, b, level, k, i, j, limit, same):
+            away = np.einsum("nd,nd->n", a.unit[ca[m]], b.unit[cb[n]])
+            away = np.sqrt(np.maximum(0.0, 2 - 2 * away.astype(np.float64)))
+            near = away - ra[m] - rb[n] <= limit + MARGIN
+            m, n, away = m[near], n[near], away[near]
+            own = (m == n) & same
+            whole = (away + ra[m] + rb[n] <= limit - MARGIN) & (~own | (2 * ra[m] <= limit - MARGIN))
+            exact = ~whole & (last | ((ra[m] == 0) & (rb[n] == 0)))
+            for mask in (whole, exact):
+                if mask.any():
+                    yield m[mask], n[mask], k, mask is whole
+            m, n = m[~whole & ~exact], n[~whole & ~exact]
+            if len(m):
+                yield from walk(at + 1, k, m, n)
+
+    yield from walk(0, 0, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))
+
+
+def _paired(a: Tree, b: Tree, level: int, k: int, i: np.ndarray, j: np.ndarray, limit: float, same: bool):
+    """Pairs of descendants on level ``k`` of the given pairs of nodes, in runs of bounded size; where a node has very many, only those near enough, by products of centres."""
+    (fa, na), (fb, nb) = a.descendants(level, k, i), b.descendants(level, k, j)
+    order = np.argsort(i, kind="stable")
+    i, fa, na, fb, nb = i[order], fa[order], na[order], fb[order], nb[order]
+    begin = np.flatnonzero(np.diff(i, prepend=-1))
+    size = np.add.reduceat(na * nb, begin)
+    ends = np.append(begin[1:], len(i))
+    few = np.repeat(size < CHUNK, ends - begin)
+    total = na * nb
+    cuts = np.cumsum(np.where(few, total, 0)) // (8 * CHUNK)
+    for part in np.unique(cuts[few]):
+        some = few & (cuts == part)
+        n = total[some]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        wide = np.repeat(nb[some], n)
+        x, y = np.repeat(fa[some], n) + at // wide, np.repeat(fb[some], n) + at % wide
+        kept = x <= y if same else slice(None)
+        yield x[kept], y[kept]
+    (ca, _, _, ra, _), (cb, _, _, rb, _) = a.level(k), b.level(k)
+    for g in np.flatnonzero(size >= CHUNK):
+        s, e = begin[g], ends[g]
+        x = fa[s] + np.arange(na[s])
+        y = np.repeat(fb[s:e] - np.cumsum(nb[s:e]) + nb[s:e], nb[s:e]) + np.arange(nb[s:e].sum())
         # single vectors apart from nodes with a radius: their bounds differ
         for u in (x[ra[x] == 0], x[ra[x] > 0]):
             for v in (y[rb[y] == 0], y[rb[y] > 0]):
                 for m, n in _near(a.unit, b.unit, ca, cb, u, v, ra, rb, limit):
-                    kept = m <= n if own[p] else slice(None)
-                    found.append((m[kept], n[kept]))
-    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
+                    kept = m <= n if same else slice(None)
+                    yield m[kept], n[kept]
 
 
 def _near(x: np.ndarray, y: np.ndarray, ca, cb, u: np.ndarray, v: np.ndarray, ra, rb, limit: float):
-    """Pairs of nodes whose centres are near enough, found by products of their centres, some rows at a time."""
+    """Pairs of nodes whose centres are near enough, found by products of their centres, TILE x TILE at a time."""
     if not len(u) or not len(v):
         return
-    right = y[cb[v]].T
-    widest = min(2.0, limit + MARGIN + float(ra[u].max()) + float(rb[v].max()))
+    left, widest = x[ca[u]], min(2.0, limit + MARGIN + float(ra[u].max()) + float(rb[v].max()))
     floor = np.float32(1 - widest * widest / 2 - MARGIN)
-    step = max(1, (1 << 22) // len(v))
-    for s in range(0, len(u), step):
-        some = u[s : s + step]
-        cosine = x[ca[some]] @ right
-        at = np.flatnonzero(cosine >= floor)
-        i, j = some[at // len(v)], v[at % len(v)]
-        d = np.sqrt(np.maximum(0.0, 2 - 2 * cosine.ravel()[at].astype(np.float64)))
-        good = d - ra[i] - rb[j] <= limit + MARGIN
-        yield i[good], j[good]
+    for c in range(0, len(v), TILE):
+        others = v[c : c + TILE]
+        right = y[cb[others]].T
+        for s in range(0, len(u), TILE):
+            cosine = left[s : s + TILE] @ right
+            if cosine.max() >= floor:
+                at = np.flatnonzero(cosine >= floor)
+                i, j = u[s + at // len(others)], others[at % len(others)]
+                d = np.sqrt(np.maximum(0.0, 2 - 2 * cosine.ravel()[at].astype(np.float64)))
+                good = d - ra[i] - rb[j] <= limit + MARGIN
+                yield i[good], j[good]
 
 
 def links(a: Tree, b: Tree, cosine: float, same: bool, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
@@ -235,26 +261,41 @@ def links(a: Tree, b: Tree, cosine: float, same: bool, weights: np.ndarray) -> t
             edges.append((x, y))
 
     na, nb = (np.sqrt((t.x * t.x).sum(axis=1)) for t in (a, b))
-    for p, q, whole, own in dual(a, b, cosine, same):
-        if whole:
-            if own:
-                count[p] += weights[p].sum() - weights[p]
+    for i, j, k, whole in dual(a, b, cosine, same):
+        (_, sa, ea, _, _), (_, sb, eb, _, _) = a.level(k), b.level(k)
+        single = (ea[i] - sa[i] == 1) & (eb[j] - sb[j] == 1)
+        if not whole and single.any():
+            p, q = a.order[sa[i[single]]].astype(np.int64), b.order[sb[j[single]]].astype(np.int64)
+            if same:
+                p, q = p[p != q], q[p != q]
+            good = np.einsum("nd,nd->n", a.x[p], b.x[q]) / (na[p] * nb[q]) >= cosine
+            p, q = p[good], q[good] + shift
+            np.add.at(count, p, weights[q])
+            np.add.at(count, q, weights[p])
+            for x, y in zip(p.tolist(), q.tolist(), strict=True):
+                join(x, y)
+            i, j = i[~single], j[~single]
+        for m, n in zip(i.tolist(), j.tolist(), strict=True):
+            p, q, own = a.order[sa[m] : ea[m]], b.order[sb[n] : eb[n]], same and m == n
+            if whole:
+                if own:
+                    count[p] += weights[p].sum() - weights[p]
+                else:
+                    count[p] += weights[q + shift].sum()
+                    count[q + shift] += weights[p].sum()
+                for y in q.tolist():
+                    join(int(p[0]), y + shift)
+                for x in p.tolist()[1:]:
+                    join(x, int(q[0]) + shift)
             else:
-                count[p] += weights[q + shift].sum()
-                count[q + shift] += weights[p].sum()
-            for y in q.tolist():
-                join(int(p[0]), y + shift)
-            for x in p.tolist()[1:]:
-                join(x, int(q[0]) + shift)
-        else:
-            good = (a.x[p] @ b.x[q].T) / (na[p][:, None] * nb[q][None, :]) >= cosine
-            if own:
-                good = np.triu(good, 1)
-            if good.any():
-                count[p] += good @ weights[q + shift]
-                count[q + shift] += weights[p] @ good
-                for x, y in zip(*np.nonzero(good), strict=True):
-                    join(int(p[x]), int(q[y]) + shift)
+                good = (a.x[p] @ b.x[q].T) / (na[p][:, None] * nb[q][None, :]) >= cosine
+                if own:
+                    good = np.triu(good, 1)
+                if good.any():
+                    count[p] += good @ weights[q + shift]
+                    count[q + shift] += weights[p] @ good
+                    for x, y in zip(*np.nonzero(good), strict=True):
+                        join(int(p[x]), int(q[y]) + shift)
     return count, root, edges
 
 
