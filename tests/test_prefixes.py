@@ -60,3 +60,21 @@ def test_an_inner_text_has_its_container_s_anchors():
     for begin, size in ((0, 64), (301, 63), (500, 400), (836, 64)):
         assert set(hashing.window_minima(text[begin : begin + size], 32)) <= set(hashing.window_minima(text, 32))
     assert len(hashing.window_minima(text[:62], 32)) == 0 and len(hashing.window_minima(text[:63], 32)) == 1
+
+
+def test_wide_rows_do_not_move_where_most_are_removed(spark):
+    rng = np.random.default_rng(6)
+    rows = spark.createDataFrame([(str(i), rng.bytes(1500).hex()) for i in range(2000)], "id string, norm string").repartition(4).cache()
+    removed = rows.select("id", (F.col("id").cast("int") % 6 > 0).alias("removed")).cache()
+    rows.count(), removed.count()
+    moved = lambda: spark._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()  # noqa: E731, SLF001
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as where the ids are too many for a broadcast
+    try:
+        begin = moved()
+        kept = duplicates.survivors(rows, removed)
+        assert {r["id"] for r in kept.where("length(norm) = 3000").collect()} == {str(i) for i in range(0, 2000, 6)}
+        assert moved() - begin < 500_000  # the removed rows have 5 MB
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        rows.unpersist(), removed.unpersist()

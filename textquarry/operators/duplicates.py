@@ -49,10 +49,12 @@ def exact(rows: DataFrame) -> DataFrame:
 
 
 def survivors(rows: DataFrame, removed: DataFrame) -> DataFrame:
-    """The rows that are not removed; only those move that a bitmap of the removed ids does not let pass."""
+    """The rows that are not removed; only those move that the bitmaps of the removed and of the kept ids both let pass."""
     gone = written(removed.where("removed").select("id"), "removed")
-    doubtful = marks(gone.select(F.xxhash64("id").alias("key")), "key").column(F.xxhash64("id"))
-    return rows.where(~doubtful).unionByName(rows.where(doubtful).join(gone, "id", "left_anti"))
+    kept = written(rows.select("id").join(gone, "id", "left_anti"), "kept")
+    key = F.xxhash64("id")
+    out, stays = (marks(t.select(key.alias("key")), "key").column(key) for t in (gone, kept))
+    return rows.where(~out).unionByName(rows.where(out & stays).join(gone, "id", "left_anti"))
 
 
 def _ends(rows: DataFrame, pairs: DataFrame, left: str, right: str) -> DataFrame:
