@@ -339,6 +339,18 @@ def test_vectors_without_clusters_are_compared_by_products_only():
         assert peak < 12 << 20  # pairs of nodes whose radii are wide are never listed
 
 
+def test_letters_need_the_model_only(monkeypatch):
+    words = packing.WordIds(packing.default_tokenizer())
+    latin = [chr(c) for c in range(0xC0, 0x250) if words.FORM.fullmatch(chr(c))]
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(latin + [*"aeiourstlnABC"] * 30) for _ in range(rng.randint(1, 14))) for _ in range(3000)] + latin + ["don't", "x.", "(naïve)", "ŉa", "Ǆž"]
+    whole = [words._encoded(t) for t in texts]  # noqa: SLF001
+    calls, encoded = [], words._encoded  # noqa: SLF001
+    monkeypatch.setattr(words, "_encoded", lambda t: calls.append(t) or encoded(t))
+    assert words.apart and list(words.ids(texts)) == whole
+    assert sum(map(len, calls)) < 200  # signs and other forms
+
+
 def test_directions_of_very_small_vectors(spark):
     rows = [(0, [1e-50, 2e-50]), (1, [1e-50, 2e-50]), (2, [1.0, 2.0]), (3, [1e300, 2e300]), (4, [2.0, -1.0]), (5, [-0.0, 0.0])]
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in covertree.near_copies(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}

@@ -26,6 +26,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Rows of a length that are ranked together, at least.
 CELL_ROWS = 256
+#: The letter that stands for a byte in byte-level models, where it is not the byte's own.
+BYTES = {b: 256 + k for k, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))}
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -57,7 +60,8 @@ class WordIds:
     and signs behind them the ids of both.  Words are put together for a portion
     of text at a time; the letters' ids (small and capital letters are one) are
     kept from portion to portion up to ``LIMIT`` entries and dropped at a task's
-    end, so memory does not grow with the vocabulary.  Unknown letters are
+    end, so memory does not grow with the vocabulary.  Letters are one piece, so
+    the tokenizer's model alone gives their ids, without offsets; signs are
     encoded many at once, parted by a control character that has one id of its
     own; words of other forms, or that may hold a special token, are encoded
     alone.  Under any other tokenizer each text is encoded as a whole.
@@ -69,14 +73,19 @@ class WordIds:
     NORMAL = ["NFC", "Replace", "Lowercase"]
     #: Latin letters whose small form is one letter, then ASCII signs but the apostrophe.
     FORM = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]*)([!-&(-/:-@\\[-`{-~]*)")
+    #: Both parts of each line; none of a line of another form.
+    LINES = re.compile(f"^(?:{FORM.pattern}$|.+$)", re.MULTILINE)
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.model, normal = self.tokenizer.model, self.tokenizer.normalizer
         own = self._encoded(self.PART)
         self.part = int.from_bytes(own, "little")
         self.apart = len(own) == 4 and self._by_words()
+        #: Letters as a byte-level model has them, in small form
+        self.latin = {c: normal.normalize_str(chr(c)).encode().decode("latin-1").translate(BYTES) for c in range(65, 0x250) if chr(c).isalpha()} if self.apart else {}
 
     def _by_words(self) -> bool:
         config = json.loads(self.tokenizer.to_str())
@@ -84,15 +93,24 @@ class WordIds:
         normal = [x["type"] for x in (config["normalizer"] or {}).get("normalizers", [])]
         first = steps[0]
         by_pieces = first.get("type") == "Split" and first["pattern"] == {"Regex": self.PIECES} and first["behavior"] == "Removed" and first["invert"]
-        plain = all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in steps[1:])
+        plain = len(steps) == 2 and all(x["type"] == "ByteLevel" and not x["add_prefix_space"] and not x["use_regex"] for x in steps[1:])
         return bool(by_pieces) and plain and normal == self.NORMAL and all("<|" in x["content"] for x in config["added_tokens"])
 
     def _encoded(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _letters(self, word: str) -> bytes:
+        """The ids of a run of letters, which is one piece."""
+        if not word.isascii():
+            word = word.translate(self.latin)
+        ids = [x.id for x in self.model.tokenize(word)]
+        return pack_ids(f"<{len(ids)}I", *ids)
+
     def _learn(self, new: list[str]) -> None:
         if len(self.known) + len(new) > self.LIMIT:
             self.known.clear()
+        self.known |= {x: self._letters(x) for x in new if x[0].isalpha()}
+        new = [x for x in new if not x[0].isalpha()]
         for i in range(0, len(new), self.AT_ONCE):
             some = new[i : i + self.AT_ONCE]
             raw = self._encoded(f" {self.PART} ".join(some))
@@ -103,23 +121,26 @@ class WordIds:
 
     def table(self, words: set[bytes]) -> dict[bytes, bytes]:
         """The ids of each word."""
-        parts, out = [], {}
-        for w in words:
-            text = w.decode()
-            m = self.FORM.fullmatch(text)
-            if m is None or "<|" in text:
-                out[w] = self._encoded(text)
+        parts, out, known, words = [], {}, self.known, list(words)
+        known[""] = b""
+        for w, (letters, signs) in zip(words, self.LINES.findall(b"\n".join(words).decode()), strict=bool(words)):
+            if not (letters or signs) or "<|" in signs:
+                out[w] = self._encoded(w.decode())
+                continue
+            if letters.isascii():
+                letters = letters.lower()
+            if letters in known and signs in known:
+                out[w] = known[letters] + known[signs] if signs else known[letters]
             else:
-                letters = m[1].lower() if m[1].isascii() else m[1]
-                parts.append((w, letters, m[2]))
+                parts.append((w, letters, signs))
         needed = {x for _, a, b in parts for x in (a, b) if x}
-        new = [x for x in needed if x not in self.known]
-        if len(self.known) + len(new) > self.LIMIT:
+        new = [x for x in needed if x not in known]
+        if len(known) + len(new) > self.LIMIT:
             new = list(needed)
         self._learn(new)
-        self.known[""] = b""
+        known[""] = b""
         for w, a, b in parts:
-            out[w] = self.known[a] + self.known[b]
+            out[w] = known[a] + known[b]
         return out
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
