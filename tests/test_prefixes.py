@@ -78,3 +78,43 @@ def test_wide_rows_do_not_move_where_most_are_removed(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         rows.unpersist(), removed.unpersist()
+
+
+def test_a_large_group_of_near_copies_moves_its_sets_not_its_pairs(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{x}" for x in rng.integers(0, 100_000, 60)]
+    texts = [" ".join([*words[: 20 + k % 2], f"other{k}", *words[20 + k % 2 :]]) for k in range(600)]
+    rows = spark.createDataFrame([(f"{k:04d}", t) for k, t in enumerate(texts)], "id string, norm string")
+    sets = [set(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
+    near = {(f"{i:04d}", f"{j:04d}") for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and len(a & b) >= 0.8 * len(a | b)}
+    store = spark._jsc.sc().statusStore()  # noqa: SLF001
+    begin = store.executorList(False).apply(0).totalShuffleWrite()
+    found = duplicates.marked_pairs(rows, 0.8).collect()
+    moved = store.executorList(False).apply(0).totalShuffleWrite() - begin
+    assert {(r["left_id"], r["right_id"]) for r in found} == near and len(near) > 100_000 and len(found) == len(near)
+    assert moved < 1_000_000, moved
+    assert sum(r["link"] for r in found) == len(texts) - 1  # a tree
+
+
+def test_links_connect_what_the_pairs_connect_across_tiles(spark, monkeypatch):
+    from textquarry.operators.components import connected_components
+
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(_texts())], "id string, norm string")
+    monkeypatch.setattr(duplicates, "TILE", 1)
+    monkeypatch.setattr(duplicates, "AT_ONCE", 50)
+    found = duplicates.marked_pairs(rows, 0.6).cache()
+    groups = lambda t: {tuple(r) for r in connected_components(t, "left_id", "right_id").collect()}
+    assert groups(found.where("link")) == groups(found) and found.count() >= 10
+    found.unpersist()
+
+
+def test_a_written_table_leaves_no_shuffle_behind(spark):
+    import os
+
+    from textquarry.storage import forget, written
+
+    folder = lambda: sum(os.path.getsize(os.path.join(top, f)) for disk in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for top, _, names in os.walk(disk) for f in names)  # noqa: E731, SLF001
+    begin = folder()
+    out = written(spark.range(200_000).select(F.xxhash64("id").alias("key")).repartition(4, "key"), "keys")
+    assert out.count() == 200_000 and folder() - begin < 500_000  # it shuffled 1.6 MB
+    forget(out)

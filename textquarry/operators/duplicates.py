@@ -13,6 +13,8 @@ and give an empty result for an empty table.  Rows must have distinct ids, as
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,8 +30,8 @@ from textquarry.operators.marks import marks
 from textquarry.storage import forget, written
 
 ANCHOR, PLACES = 32, 3
-#: Rows of a tile of pairs to each side, and keys of the sets in one task, about.
-TILE, ENTRIES = 8192, 2_000_000
+#: Rows of a tile of pairs to each side, keys of the sets in one task (about), and what is counted or given back at once.
+TILE, ENTRIES, AT_ONCE = 2048, 2_000_000, 4_000_000
 
 
 def records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: Column) -> DataFrame:
@@ -121,8 +123,15 @@ def near_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5) -> DataF
     first ``shared - ceil(threshold * n) + 1`` of a row must hold one of any
     partner's; rows with fewer shared shingles than that bound drop out.  Before
     any whole row moves, part of its shingles tells whether it may have a near
-    copy (``prefixes``); only rows that may are exploded.
+    copy (``prefixes``); only rows that may are exploded.  Rows that have such a
+    first shingle in common are linked to one of them, not to each other, and
+    compared where their component lies: no pair moves but those found.
     """
+    return marked_pairs(rows, threshold, width).drop("link")
+
+
+def marked_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5) -> DataFrame:
+    """:func:`near_pairs`, with ``link`` for some that connect what all of them connect: no more than the rows, or the rows times the tiles that they stand in."""
     able = prefixes.able(rows.select(F.xxhash64("id").alias("key"), "norm"), "key", "norm", hashing.shingle_sets(width), threshold)
     keyed = written(rows.where(marks(able, "key").column(F.xxhash64("id"))).select("id", hashing.shingle_hashes(F.col("norm"), width).alias("keys")).where("size(keys) > 0"), "shingles")
     each = keyed.select("id", F.size("keys").alias("n"), F.explode("keys").alias("key"))
@@ -130,16 +139,88 @@ def near_pairs(rows: DataFrame, threshold: float = 0.9, width: int = 5) -> DataF
     needed = F.ceil(F.col("n") * F.lit(threshold) - 1e-9)
     shared = each.join(often, "key").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("many", "key"))).alias("shared")).where(F.size("shared") >= needed)
     shared = written(shared.withColumn("keys", F.transform("shared", lambda x: x["key"])).drop("shared"), "shared")
+    forget(keyed), forget(able)
     first = F.slice("keys", F.lit(1), (F.size("keys") - needed + 1).cast("int"))
-    probes = shared.select("id", "n", F.size("keys").alias("s"), F.posexplode(first).alias("at", "key"))
-    a, b = (probes.select(F.col("id").alias(f"{s}_id"), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "s", "at")], "key") for s in ("left", "right"))
-    sizes = (F.col("n_left") >= F.col("n_right") * threshold - 1e-9) & (F.col("n_right") >= F.col("n_left") * threshold - 1e-9)
-    met = a.join(b, "key").where(sizes & (F.col("left_id") < F.col("right_id"))).groupBy("left_id", "right_id", "n_left", "n_right", "s_left", "s_right")
-    met = met.agg(F.count(F.lit(1)).alias("common"), F.max("at_left").alias("at_left"), F.max("at_right").alias("at_right"))
-    # what stands behind the last common probe in both is all that can be common yet
-    most = F.col("common") + F.least(F.col("s_left") - F.col("at_left"), F.col("s_right") - F.col("at_right")) - 1
-    pairs = met.where(most * (1 + threshold) >= threshold * (F.col("n_left") + F.col("n_right")) - 1e-6)
-    return _scored(written(pairs.select("left_id", "right_id"), "pairs"), shared, threshold)
+    probes = shared.select("id", F.explode(first).alias("key"))
+    edges = probes.join(probes.groupBy("key").agg(F.min("id").alias("other")), "key").where("id <> other")
+    found = connected_components(edges, "id", "other").withColumnRenamed("node", "id")
+    found = written(found.join(shared.select("id", F.size("keys").cast("long").alias("size")), "id"), "components")
+    cuts = found.groupBy("component").agg((F.floor(F.greatest(F.count(F.lit(1)) / TILE, F.sum("size") / ENTRIES)) + 1).cast("int").alias("cuts"))
+    placed = written(found.join(cuts, "component").select("id", "component", "size", "cuts", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias("own")), "placed")
+    tiles = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda k: F.struct(F.least("own", k).alias("i"), F.greatest("own", k).alias("j")))
+    moved = shared.join(placed, "id").select("component", F.explode(tiles).alias("t"), "own", "id", "n", "keys").select("component", "t.i", "t.j", "own", "id", "n", "keys")
+    blocks = max(8, -(-(placed.agg(F.sum(F.col("size") * F.col("cuts"))).first()[0] or 0) // ENTRIES))
+    moved = moved.withColumn("block", F.pmod(F.xxhash64("component", "i", "j"), F.lit(blocks)).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        order = pc.sort_indices(table.select(["component", "i", "j", "id"]), sort_keys=[(c, "ascending") for c in ("component", "i", "j", "id")]).to_numpy()
+        ids, column = table["id"].combine_chunks(), table["keys"].combine_chunks()
+        begins, flat, sizes = column.offsets.to_numpy(), column.values.to_numpy(), table["n"].to_numpy()
+        i, j, own = (table[c].to_numpy()[order] for c in ("i", "j", "own"))
+        names = table["component"].combine_chunks().dictionary_encode().indices.to_numpy()[order]
+        other = np.flatnonzero((np.diff(names) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+
+        def pairs() -> Iterator[tuple[np.ndarray, ...]]:
+            for a, b in zip([0, *other.tolist()], [*other.tolist(), len(order)], strict=True):
+                sides = np.flatnonzero(own[a:b] == i[a]), np.flatnonzero(own[a:b] == j[a])
+                at = order[a:b]
+                for x, y, similarity, link in _tile([flat[begins[k] : begins[k + 1]] for k in at.tolist()], sizes[at], *sides, threshold):
+                    yield at[np.minimum(x, y)], at[np.maximum(x, y)], similarity, link
+
+        def given(some: list[tuple]) -> pa.RecordBatch:
+            left, right, similarity, link = (np.concatenate(c) for c in zip(*some, strict=True))
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(left)), ids.take(pa.array(right)), pa.array(similarity), pa.array(link)], names=["left_id", "right_id", "similarity", "link"])
+
+        some, count = [], 0
+        for p in pairs():
+            some.append(p)
+            count += len(p[0])
+            if count * 40 > AT_ONCE:
+                yield given(some)
+                some, count = [], 0
+        if some:
+            yield given(some)
+        release()
+
+    return moved.groupBy("block").applyInArrow(run, "left_id string, right_id string, similarity double, link boolean")
+
+
+def _tile(sets: list[np.ndarray], sizes: np.ndarray, one: np.ndarray, two: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, ...]]:
+    """The near pairs between the rows ``one`` and ``two`` of a tile, which are the same rows or have none in common: for each of ``one`` with any its places, theirs, similarities and what connects them.
+
+    Rows are met through lists of the rows that have a key, so only shared keys are counted, for whole columns at once.
+    """
+    if len(one) == 0 or len(two) == 0:
+        return
+    same = len(one) == len(two) and one[0] == two[0]
+    entries = np.concatenate([sets[k] for k in two.tolist()])
+    order = np.argsort(entries, kind="stable")
+    lists = np.repeat(np.arange(len(two)), [len(sets[k]) for k in two.tolist()])[order]
+    known, begin, count = np.unique(entries[order], return_index=True, return_counts=True)
+    end, label, step = begin + count, np.arange(len(sets)), max(1, AT_ONCE // len(two))
+    for x in one.tolist():
+        place = np.searchsorted(known, sets[x])
+        place = place[known[np.minimum(place, len(known) - 1)] == sets[x]] if not same else place
+        if same:
+            begin[place] += 1  # rows are visited in the order of the lists: what is left comes after this one
+        common = np.zeros(len(two), dtype=np.int64)
+        for c in range(0, len(place), step):
+            some = place[c : c + step]
+            n = end[some] - begin[some]
+            before = np.cumsum(n)
+            if before[-1]:
+                common += np.bincount(lists[np.repeat(begin[some] - before + n, n) + np.arange(before[-1])], minlength=len(two))
+        similarity = common / (sizes[x] + sizes[two] - common)
+        good = np.flatnonzero(similarity >= threshold)
+        if len(good):
+            y = two[good]
+            link = np.zeros(len(y), dtype=bool)
+            theirs, first = np.unique(label[y], return_index=True)
+            link[first[theirs != label[x]]] = True
+            if link.any():
+                label[np.isin(label, theirs)] = label[x]
+            yield np.full(len(y), x), y, similarity[good], link
 
 
 def _scored(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
