@@ -20,7 +20,7 @@ def key_edges(rows: DataFrame, key: Column, id_col: str = "id") -> DataFrame:
 
 def groups(rows: DataFrame, edges: DataFrame, id_col: str = "id") -> DataFrame:
     """``id, group_id``: components of the edges, named by their smallest id."""
-    found = connected_components(edges, "left_id", "right_id")
+    found = connected_components(edges.where(F.col("left_id") != F.col("right_id")), "left_id", "right_id")
     return rows.select(F.col(id_col).alias("id")).join(found, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("group_id"))
 
 

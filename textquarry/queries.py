@@ -13,7 +13,7 @@ from textquarry.operators import accounting, audit, contamination, duplicates, i
 from textquarry.plans import adapters, labelled, samples, validation
 from textquarry.sources import records
 from textquarry.sql import ORACLES
-from textquarry.storage import written
+from textquarry.storage import forget, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,13 +118,17 @@ def a11_contamination_by_source(spark: SparkSession, d: str) -> DataFrame:
     return marked.groupBy("source").agg(F.count_if(F.col("status") == "clean").alias("clean"), F.count_if(F.col("status") == "contaminated").alias("contaminated"), F.sum("n_hits").alias("hits"))
 
 
-def _assigned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _assigned(spark: SparkSession, d: str, every: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows with their groups and splits; and the near pairs that connect the groups, or with ``every`` all near pairs."""
     rows = _records(spark, d)
-    pairs = written(duplicates.near_pairs(duplicates.survivors(rows, duplicates.exact(rows)), 0.8), "pairs")
+    found = duplicates.marked_pairs(duplicates.survivors(rows, duplicates.exact(rows)), 0.8).select("left_id", "right_id", "link")
+    pairs = written(found if every else found.where("link"), "pairs")
     declared = F.concat_ws("/", "source", F.sha2(F.regexp_replace("norm", "[0-9]+", ""), 256))  # texts that differ in numbers only
-    edges = splits.key_edges(rows, F.col("h")).union(splits.key_edges(rows, declared)).union(pairs.select("left_id", "right_id"))
+    edges = splits.key_edges(rows, F.col("h")).union(splits.key_edges(rows, declared)).union(pairs.where("link").select("left_id", "right_id"))
     grouped = rows.drop("norm").join(splits.groups(rows, edges), "id")
-    return written(grouped.withColumn("split", splits.split_of(F.col("group_id"))), "assigned"), pairs
+    assigned = written(grouped.withColumn("split", splits.split_of(F.col("group_id"))), "assigned")
+    forget(rows)
+    return assigned, pairs
 
 
 @query
@@ -139,7 +143,7 @@ def a18_split_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def d10_leakage(spark: SparkSession, d: str) -> DataFrame:
-    assigned, pairs = _assigned(spark, d)
+    assigned, pairs = _assigned(spark, d, every=True)
     return splits.leakage(assigned, pairs)
 
 
@@ -374,7 +378,7 @@ def a21_flow_equations(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def a22_release_gates(spark: SparkSession, d: str) -> DataFrame:
-    assigned, pairs = _assigned(spark, d)
+    assigned, pairs = _assigned(spark, d, every=True)
     leaks = splits.leakage(assigned, pairs).where("n > 0 and measure <> 'exact_duplicates'")
     copies = duplicates.exact(_records(spark, d)).where("removed")
     docs = table(spark, d, "documents")
