@@ -14,18 +14,25 @@ def _all(parts: dict[str, DataFrame], *columns: str) -> DataFrame:
     return out
 
 
+def _compared(df: DataFrame, column: str) -> Column:
+    """The column, or the digest of its text."""
+    return F.unhex(F.sha2(column, 256)) if dict(df.select(F.col(column).alias("x")).dtypes)["x"] == "string" else F.col(column)
+
+
 def partition_faults(whole: DataFrame, parts: dict[str, DataFrame], key: str, content: str) -> DataFrame:
     """``key, fault`` for every way in which the parts fail to be the whole, each row once and unchanged.
 
     Faults: missing (in no part), multiple (more than once), foreign (not in the
-    whole), changed (other content).  No rows: the partition is exact.
+    whole), changed (other content).  No rows: the partition is exact.  Texts are
+    compared by their SHA-256, so they do not move.
     """
-    members = _all(parts, key, content).select(F.col(key).alias("__key"), F.col(content).alias("__content"))
+    members = _all(parts, key, content)
+    members = members.select(F.col(key).alias("__key"), _compared(members, content).alias("__content"))
     n = members.groupBy("__key").agg(F.count(F.lit(1)).alias("n"))
     place = whole.join(n, F.col(key).eqNullSafe(F.col("__key")), "left")
     missing = place.where("n is null").select(F.col(key), F.lit("missing").alias("fault"))
     multiple = place.where("n > 1").select(F.col(key), F.lit("multiple").alias("fault"))
-    ids = whole.select(F.col(key).alias("__id"), F.col(content).alias("__whole"))
+    ids = whole.select(F.col(key).alias("__id"), _compared(whole, content).alias("__whole"))
     foreign = members.join(ids, F.col("__key").eqNullSafe(F.col("__id")), "left_anti").select(F.col("__key").alias(key), F.lit("foreign").alias("fault"))
     both = members.join(ids, F.col("__key").eqNullSafe(F.col("__id")))
     changed = both.where(~F.col("__content").eqNullSafe(F.col("__whole"))).select(F.col("__key").alias(key), F.lit("changed").alias("fault"))

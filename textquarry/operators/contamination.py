@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textquarry.functions import hashing
 from textquarry.functions import text as T
+from textquarry.operators.marks import marks
 from textquarry.storage import written
 
 #: Keys of items that a task may hold.
@@ -23,7 +24,12 @@ WIDTH, SHORT_CHARS, SHORT_WORDS, LEAST_SHINGLES, SHARE = 5, 40, 6, 4, 0.8
 
 def _prepared(df: DataFrame, key: Column, text: Column, label: str) -> DataFrame:
     out = df.select(key.alias("key"), T.word_folded(text).alias("norm")).where("norm is not null")
-    return written(out.withColumn("words", F.split("norm", " ")), label)
+    return written(out, label).withColumn("words", F.split("norm", " "))
+
+
+def _of(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``doc, norm`` of the documents that stand in ``found``, and perhaps a few more: others need not move to a join."""
+    return docs.where(marks(found.select(F.xxhash64("doc").alias("at")).distinct(), "at").column(F.xxhash64("doc"))).select("doc", "norm")
 
 
 def hits(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", item: str = "item_id", text: str = "text") -> DataFrame:
@@ -31,7 +37,8 @@ def hits(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", item: str =
     d, q = _prepared(docs, F.col(doc), F.col(text), "documents"), _prepared(items, F.col(item), F.col(text), "items")
     q = q.select(F.col("key").alias("item"), F.col("norm").alias("q"), F.col("words").alias("q_words")).where("q <> ''")
     d = d.select(F.col("key").alias("doc"), "norm", "words")
-    exact = d.join(q, F.col("norm") == F.col("q")).select("doc", "item", F.lit("exact_field_fingerprint").alias("method"), F.lit(1.0).alias("overlap"))
+    same = d.where(marks(q.select(F.xxhash64("q").alias("at")).distinct(), "at").column(F.xxhash64("norm")))
+    exact = same.join(q, F.col("norm") == F.col("q")).select("doc", "item", F.lit("exact_field_fingerprint").alias("method"), F.lit(1.0).alias("overlap"))
 
     is_short = (F.length("q") < SHORT_CHARS) | (F.size("q_words") < SHORT_WORDS)
     short = q.where(is_short).select("item", "q", F.element_at("q_words", 1).alias("word"))
@@ -40,7 +47,8 @@ def hits(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", item: str =
     else:
         wanted = short.select("word").distinct()
         some = d.select("doc", F.explode(F.array_distinct("words")).alias("word")).join(wanted, "word")
-        pairs = some.join(short, "word").select("doc", "item", "q").join(d.select("doc", "norm"), "doc")
+        pairs = written(some.join(short, "word").select("doc", "item", "q"), "short-pairs")
+        pairs = pairs.join(_of(d, pairs), "doc")
         brief = pairs.where(T.contains_words(F.col("norm"), F.col("q"))).select("doc", "item", F.lit("short_exact_word_sequence_requires_manual_audit").alias("method"), F.lit(1.0).alias("overlap"))
 
     long = written(q.where(~is_short).withColumn("keys", hashing.shingle_hashes(F.col("q"), WIDTH)), "long-items")
@@ -52,8 +60,8 @@ def hits(docs: DataFrame, items: DataFrame, *, doc: str = "doc_id", item: str =
         ours = found.select("doc", F.explode("keys").alias("key"))
     else:
         ours = d.select("doc", F.explode(hashing.shingle_hashes(F.col("norm"), WIDTH)).alias("key")).join(wanted, "key", "left_semi")
-    shared = ours.join(theirs, "key").groupBy("doc", "item").agg(F.count(F.lit(1)).alias("shared"))
-    met = shared.join(long.select("item", "q", F.size("keys").alias("n")), "item").join(d.select("doc", "norm"), "doc")
+    shared = written(ours.join(theirs, "key").groupBy("doc", "item").agg(F.count(F.lit(1)).alias("shared")), "shared")
+    met = shared.join(long.select("item", "q", F.size("keys").alias("n")), "item").join(_of(d, shared), "doc")
     inside = F.col("norm").contains(F.col("q"))
     much = (F.col("n") >= LEAST_SHINGLES) & (F.col("shared") / F.col("n") >= SHARE)
     method = F.when(inside, "normalized_exact_substring").when(much, "five_word_shingle_containment")

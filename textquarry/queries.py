@@ -380,7 +380,7 @@ def a21_flow_equations(spark: SparkSession, d: str) -> DataFrame:
 def a22_release_gates(spark: SparkSession, d: str) -> DataFrame:
     assigned, pairs = _assigned(spark, d, every=True)
     leaks = splits.leakage(assigned, pairs).where("n > 0 and measure <> 'exact_duplicates'")
-    copies = duplicates.exact(_records(spark, d)).where("removed")
+    copies = duplicates.exact(assigned).where("removed")
     docs = table(spark, d, "documents")
     parts = {str(k): docs.where(c) for k, c in enumerate(("lang = 'en'", "lang <> 'en'"))}
     faults = accounting.partition_faults(docs, parts, "doc_id", "text")
